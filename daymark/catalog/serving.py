@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from daymark.catalog.base import Tables, literal_time, query
 from daymark.catalog.plain import (MART_SQL, MONTHLY_DOUBLES, MONTHLY_SQL, mart)
 from daymark.functions.digest import fingerprint
-from daymark.operators import serving
+from daymark.operators import compare, serving
 
 NOW = "2024-01-31 00:00:00"
 MONTHLY = f"WITH mart AS ({MART_SQL}), monthly AS ({MONTHLY_SQL})"
@@ -41,16 +41,24 @@ def _(t: Tables):
         ("duplicate_keys", "0", "duplicate_keys"), ("monthly_rows", "-1", "monthly_rows")])
 
 
-@query("logical_fingerprint")
+@query("logical_fingerprint",
+       f"""{MONTHLY} SELECT 'mart' AS table_name, COUNT(*) AS rows, true AS same_content FROM mart
+UNION ALL SELECT 'reordered', COUNT(*), true FROM mart
+UNION ALL SELECT 'changed', COUNT(*), false FROM mart
+UNION ALL SELECT 'repeated row', COUNT(*) + 2, false FROM mart""")
 def _(t: Tables):
-    """Two layouts of the same rows and one with a changed cell."""
+    """Fingerprints of other layouts of the mart, and of changed ones, against its own."""
     base = mart(t)
-    shuffled = base.repartition(5, "t2m").select(*reversed(base.columns))
+    reordered = base.repartition(5, "t2m").select(*reversed(base.columns))
     changed = base.withColumn("t2m", F.when(
         F.col("location_name") == "S1", F.col("t2m") + 1).otherwise(F.col("t2m")))
-    parts = [fingerprint(df).withColumn("table_name", F.lit(n)) for n, df in (
-        ("mart", base), ("reordered", shuffled), ("changed", changed))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    twice = base.orderBy("location_name", "observation_date").limit(1)
+    repeated = base.unionByName(twice).unionByName(twice)
+    tables = compare.fingerprints({"mart": base, "reordered": reordered, "changed": changed,
+                                   "repeated row": repeated})
+    own = fingerprint(base).select(F.col("digest").alias("_own"))
+    return tables.crossJoin(own).select(
+        "table_name", "rows", (F.col("digest") == F.col("_own")).alias("same_content"))
 
 
 def attempts(t: Tables):
@@ -105,14 +113,18 @@ def _(t: Tables):
     return serving.dashboard_rows(monthly(t))
 
 
-@query("dashboard_fingerprint_check")
+@query("dashboard_fingerprint_check",
+       "SELECT 'same' AS pair, 'mart' AS output_name, true AS ok UNION ALL "
+       "SELECT 'changed', 'mart', (SELECT COUNT(*) FROM w2 WHERE location = 'S1') = 0")
 def _(t: Tables):
     """The stored digest of the mart against the mart, and against a changed one."""
     table = mart(t)
     log = serving.refresh_record(table, "mart", literal_time(NOW))
-    same = serving.dashboard_fingerprint_check(log, table, "mart")
     fewer = table.filter(F.col("location_name") != "S1")
-    return same.unionByName(serving.dashboard_fingerprint_check(log, fewer, "mart"))
+    parts = [serving.dashboard_fingerprint_check(log, df, "mart")
+             .select(F.lit(pair).alias("pair"), "output_name", "ok")
+             for pair, df in (("same", table), ("changed", fewer))]
+    return parts[0].unionByName(parts[1])
 
 
 @query("dashboard_bar_share",

@@ -14,13 +14,18 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; a temporary one where it names none.
 
     The temporary folder is for single-machine runs such as the tests: on a
-    cluster every executor has to see the same files.
+    cluster every executor has to see the same files, so there the setting is
+    required.
     """
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
     current = context.getCheckpointDir()
     if root is None:
-        root = current or tempfile.mkdtemp(prefix="daymark-")
+        root = current
+    if root is None:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors see")
+        root = tempfile.mkdtemp(prefix="daymark-")
     if current is None:
         context.setCheckpointDir(root)
     return root

@@ -518,26 +518,24 @@ def profile_longest_equal_run(df: DataFrame, layout: Layout = WIDE) -> DataFrame
         F.min_by("n", "value").alias("n_low"), F.max_by("n", "value").alias("n_high"),
         F.max(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(1)).alias("longest"))
     by_day = Window.partitionBy(*key).orderBy(layout.date)
-    before = F.lag("high").over(by_day)
-    joins = holds((F.col("nulls") == 0) & (F.col("low") == before))
+    joins = holds((F.col("nulls") == 0) & (F.col("low") == F.lag("high").over(by_day)))
     # A day of one single value carries a run on; any other day ends it at its first value.
     carries = (F.col("kinds") == 1) & (F.col("nulls") == 0)
     chained = days.withColumns({"joins": joins, "carries": carries})
     # An island starts at the last value of a day and takes in the days that carry it on.
     island = F.sum((~(F.col("joins") & F.col("carries"))).cast("int")).over(by_day)
-    numbered = chained.withColumn("island", island)
-    inside = numbered.groupBy(*key, "island").agg(
-        F.sum(F.when(F.col("joins") & F.col("carries"), F.col("n_high"))
-              .otherwise(F.coalesce("n_high", F.lit(0)))).alias("run"),
-        F.max("longest").alias("longest"))
-    # The first value of a day that does not carry on may end the island before it.
-    tails = (numbered.filter(F.col("joins") & ~F.col("carries"))
-             .groupBy(*key, (F.col("island") - 1).alias("island"))
-             .agg(F.max("n_low").alias("tail")))
-    return (inside.join(tails, [*key, "island"], "left")
-            .groupBy(*key).agg(F.greatest(
-                F.max(F.col("run") + F.coalesce("tail", F.lit(0))), F.max("longest"))
-                .alias("longest_identical_run_days")))
+    # A day that joins without carrying on adds its first value to the island before its own.
+    shares = F.array(
+        F.struct(F.col("island"), F.coalesce("n_high", F.lit(0)).alias("n"), F.col("longest")),
+        F.when(F.col("joins") & ~F.col("carries"),
+               F.struct((F.col("island") - 1).alias("island"), F.col("n_low").alias("n"),
+                        F.lit(0).cast("long").alias("longest"))))
+    runs = (chained.withColumn("island", island)
+            .select(*key, F.inline(F.array_compact(shares)))
+            .groupBy(*key, "island").agg(F.sum("n").alias("run"), F.max("longest")
+                                         .alias("longest")))
+    return runs.groupBy(*key).agg(F.greatest(F.max("run"), F.max("longest"))
+                                  .alias("longest_identical_run_days"))
 
 
 def profile_stale_top(df: DataFrame, rows: int = 30, layout: Layout = WIDE) -> DataFrame:

@@ -164,9 +164,9 @@ def iqr_bounds(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
 
 def long_values(df: DataFrame, layout: Layout = WIDE, keep: Sequence[str] = ()) -> DataFrame:
     """(keep, variable_code, value) rows of all measures, nulls included."""
-    pairs = F.array(*[F.struct(F.lit(code_of(m)).alias("variable_code"),
-                               F.col(m).alias("value")) for m in layout.measures])
-    return df.select(*keep, F.inline(pairs))
+    named = df.select(*keep, *[F.col(m).alias(code_of(m)) for m in layout.measures])
+    return named.unpivot(list(keep), [code_of(m) for m in layout.measures],
+                         "variable_code", "value")
 
 
 def beyond(bounds_low: str = "lower_bound", bounds_high: str = "upper_bound") -> Column:

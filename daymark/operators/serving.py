@@ -55,11 +55,14 @@ def monthly_climate(mart: DataFrame, keys: Sequence[str] = ("location_name",),
 
 
 def mart_counts(mart: DataFrame, monthly: DataFrame, layout: Layout = MART) -> DataFrame:
-    """One row: rows, locations, repeated keys and monthly rows."""
-    key = F.struct(layout.date, layout.location, layout.source)
-    daily = mart.agg(F.count("*").alias("rows"),
-                     F.count_distinct(layout.location).alias("locations"),
-                     F.count_distinct(key).alias("_keys"))
+    """One row: rows, locations, repeated keys and monthly rows; keys with nulls count too."""
+    per_key = mart.groupBy(layout.location, layout.date, layout.source).agg(
+        F.count("*").alias("_n"))
+    per_location = per_key.groupBy(layout.location).agg(F.sum("_n").alias("_n"),
+                                                        F.count("*").alias("_k"))
+    daily = per_location.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                             F.count(layout.location).alias("locations"),
+                             F.coalesce(F.sum("_k"), F.lit(0)).alias("_keys"))
     months = monthly.agg(F.count("*").alias("monthly_rows"))
     return daily.crossJoin(months).select(
         "rows", "locations", (F.col("rows") - F.col("_keys")).alias("duplicate_keys"),

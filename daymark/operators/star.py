@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions.ids import calendar_ids, range_ids
 from daymark.functions.skew import repeated_keys
+from daymark.functions.storage import pinned
 from daymark.operators.checks import check_rows
 from daymark.operators.quality import beyond, iqr_bounds, long_values
 from daymark.schema import (DEFAULT_COUNTRY, SOURCE_METADATA, VARIABLE_METADATA, WIDE, Layout)
@@ -157,8 +158,12 @@ def new_facts(incoming: DataFrame, existing: DataFrame) -> DataFrame:
 
 def fact_load(incoming: DataFrame, existing: DataFrame | None = None,
               ingested_at: Column | None = None) -> DataFrame:
-    """New facts, numbered after the stored ones by date, location, variable and source."""
-    fresh = incoming if existing is None else new_facts(incoming, existing)
+    """New facts, numbered after the stored ones by date, location, variable and source.
+
+    Numbering reads the new facts twice.  With stored facts they come out of a
+    large anti join, so they are pinned first and the join runs once.
+    """
+    fresh = incoming if existing is None else pinned(new_facts(incoming, existing))
     numbered = calendar_ids(fresh, "date_id", "location_id", ["variable_id", "source_id"],
                             "observation_id")
     if existing is not None:
