@@ -101,21 +101,33 @@ def repair_units(dim: DataFrame) -> DataFrame:
 
 
 def dim_source(wide: DataFrame, layout: Layout = WIDE,
-               catalog: Sequence[tuple] = SOURCE_METADATA) -> DataFrame:
-    """Sources that occur in the data, described where known and numbered by name."""
+               catalog: Sequence[tuple] = SOURCE_METADATA,
+               existing: DataFrame | None = None) -> DataFrame:
+    """Sources that occur in the data, described where known and numbered by name.
+
+    With `existing`, its rows stay and new names follow.
+    """
     names = wide.select(F.col(layout.source).alias("source_name")) \
         .filter(F.col("source_name").isNotNull()).distinct()
     known = _metadata(wide.sparkSession, catalog,
                       "source_name provider temporal_resolution description")
+    if existing is not None:
+        names = names.join(existing.select("source_name"), "source_name", "left_anti")
+    # The catalogue is a fixed list.
     described = names.join(F.broadcast(known), "source_name", "left")
-    numbered = range_ids(described, ["source_name"], "source_id")
-    return numbered.select(F.col("source_id").cast("int"), "source_name",
+    numbered = range_ids(described, ["source_name"], "_rank")
+    key = F.col("_rank")
+    if existing is not None:
+        top = existing.agg(F.coalesce(F.max("source_id"), F.lit(0)).alias("_top"))
+        numbered, key = numbered.crossJoin(F.broadcast(top)), key + F.col("_top")
+    fresh = numbered.select(key.cast("int").alias("source_id"), "source_name",
                            F.coalesce("provider", "source_name").alias("provider"),
                            F.coalesce("temporal_resolution", F.lit("daily"))
                            .alias("temporal_resolution"),
                            F.coalesce("description",
                                       F.concat("source_name", F.lit(" daily observations")))
                            .alias("description"))
+    return fresh if existing is None else existing.unionByName(fresh)
 
 
 def insert_or_ignore(existing: DataFrame, candidates: DataFrame,

@@ -25,9 +25,9 @@ def _record(spark: SparkSession, root: str, name: str, version: int, status: str
      .write.mode("errorifexists").json(f"{root}/attempts/attempt={version:08d}"))
 
 
-def _has_attempts(spark: SparkSession, root: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/attempts")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def publish_validated(df: DataFrame, root: str, name: str,
@@ -40,7 +40,7 @@ def publish_validated(df: DataFrame, root: str, name: str,
     """
     spark = df.sparkSession
     version = 1
-    if _has_attempts(spark, root):
+    if path_exists(spark, f"{root}/attempts"):
         version += _attempts(spark, root).agg(F.max("attempt")).first()[0]
     path = f"{root}/versions/{name}/version={version:08d}"
     error = None
@@ -58,11 +58,19 @@ def publish_validated(df: DataFrame, root: str, name: str,
     return _attempts(spark, root).filter(F.col("output_name") == name)
 
 
-def current_version(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The last version that passed its checks."""
+def current_or_none(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The last version that passed its checks, if there is one."""
+    if not path_exists(spark, f"{root}/attempts"):
+        return None
     best = (_attempts(spark, root).filter((F.col("output_name") == name)
                                           & (F.col("status") == "SUCCESS"))
             .agg(F.max("version")).first()[0])
-    if best is None:
+    return None if best is None else \
+        spark.read.parquet(f"{root}/versions/{name}/version={best:08d}")
+
+
+def current_version(spark: SparkSession, root: str, name: str) -> DataFrame:
+    found = current_or_none(spark, root, name)
+    if found is None:
         raise ValueError(f"{name} has no published version")
-    return spark.read.parquet(f"{root}/versions/{name}/version={best:08d}")
+    return found
