@@ -323,8 +323,10 @@ def _(t: Tables):
     return profiling.profile_variance(t.d1, LAYOUT)
 
 
-_RUNS = """o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY location, variable_code
- ORDER BY date NULLS FIRST, value NULLS FIRST) AS rn FROM lg WHERE location IS NOT NULL),
+_RUNS = f"""p AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY location ORDER BY date NULLS LAST,
+ {', '.join(f'{m} NULLS FIRST' for m in MEASURES)}) AS rn FROM base WHERE location IS NOT NULL),
+o AS ({' UNION ALL '.join(f"SELECT location, '{m.upper()}' AS variable_code, {m} AS value, rn FROM p"
+                          for m in MEASURES)}),
 s AS (SELECT *, CASE WHEN value = LAG(value) OVER (PARTITION BY location, variable_code
  ORDER BY rn) THEN 0 ELSE 1 END AS starts FROM o),
 g AS (SELECT *, SUM(starts) OVER (PARTITION BY location, variable_code ORDER BY rn) AS run FROM s),
@@ -332,13 +334,13 @@ longest AS (SELECT location, variable_code, MAX(n) AS longest_identical_run_days
  SELECT location, variable_code, run, COUNT(*) AS n FROM g GROUP BY ALL) GROUP BY ALL)"""
 
 
-@query("profile_longest_equal_run", f"{DIRTY}, {LONG}, {_RUNS} SELECT * FROM longest")
+@query("profile_longest_equal_run", f"{DIRTY}, {_RUNS} SELECT * FROM longest")
 def _(t: Tables):
     return profiling.profile_longest_equal_run(t.d1, LAYOUT)
 
 
 @query("profile_stale_top",
-       f"{CLEAN}, {LONG}, {_RUNS} SELECT * FROM longest "
+       f"{CLEAN}, {_RUNS} SELECT * FROM longest "
        "ORDER BY longest_identical_run_days DESC, location, variable_code LIMIT 30")
 def _(t: Tables):
     return profiling.profile_stale_top(t.w2, layout=LAYOUT)

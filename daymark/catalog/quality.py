@@ -50,7 +50,7 @@ def coded(t: Tables):
 
 @query("quarantine_codes", f"WITH {CODED} SELECT row_number, codes FROM coded")
 def _(t: Tables):
-    return coded(t).select("row_number", F.array_join("reasons", "|").alias("codes"))
+    return coded(t).select("row_number", F.col("reason_codes").alias("codes"))
 
 
 @query("quarantine_accepted",

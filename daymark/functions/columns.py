@@ -7,13 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the only accepted shape of a plain decimal number in raw text.
-NUMBER_PATTERN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
-
-# Texts read as positive infinity; the first two also with a minus sign.
-INFINITE_TEXT = ("inf", "infinity", "+inf", "+infinity")
-
-
 def nan_to_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """NaN counts as missing everywhere downstream, so drop it at the source."""
     wanted = set(columns)
@@ -37,11 +30,17 @@ def text_to_date(column: Column) -> Column:
 
 
 def text_to_number(column: Column) -> Column:
-    """Double from raw text; text such as '5d', which a cast accepts, is not a number."""
-    word = F.lower(F.trim(column))
-    return (F.when(column.rlike(NUMBER_PATTERN), column.try_cast("double"))
-            .when(word.isin(*INFINITE_TEXT), F.lit(float("inf")))
-            .when(word.isin(*["-" + w for w in INFINITE_TEXT[:2]]), F.lit(float("-inf"))))
+    """Double from raw text; text for "not a number" gives null.
+
+    A cast also takes type suffixes and hexadecimal text, such as '5d', '5f' and
+    '0x1p3', which are no numbers in raw data.
+    """
+    suffixed = ((column.endswith("f") & ~column.endswith("nf"))
+                | (column.endswith("F") & ~column.endswith("NF")))
+    for letter in "dDxX":
+        suffixed = suffixed | column.contains(letter)
+    number = F.when(~suffixed, column.try_cast("double"))
+    return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def not_finite(column: Column) -> Column:

@@ -9,13 +9,14 @@ bins are then looked at value by value.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Bins per unit of log1p(|value|).  It bounds the histogram of a group, whatever
 # its row count: 12 units cover values up to about 160,000.
-RESOLUTION = 65536
+RESOLUTION = 16384
 
 
 def value_bin(value: Column, resolution: int) -> Column:
@@ -56,16 +57,21 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     def position(p: float) -> Column:
         return F.lit(float(p)) * (F.col("_total") - 1).cast("double")
 
-    ranks = F.array(*[
-        F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"),
-                 (F.floor(position(p)) if side == 0 else F.ceil(position(p)))
-                 .cast("long").alias("rank"))
-        for i, p in enumerate(wanted.values()) for side in (0, 1)])
-    picks = (running
-             .withColumn("_pick", F.explode(F.filter(
-                 ranks, lambda r: (r["rank"] >= F.col("_before"))
-                 & (r["rank"] < F.col("_before") + F.col("_n")))))
-             .select(*group, "_bin", "_before", "_total", "_pick.q", "_pick.side", "_pick.rank"))
+    def rank(p: float, side: int) -> Column:
+        return (F.floor(position(p)) if side == 0 else F.ceil(position(p))).cast("long")
+
+    def covers(wanted_rank: Column) -> Column:
+        return ((wanted_rank >= F.col("_before"))
+                & (wanted_rank < F.col("_before") + F.col("_n")))
+
+    places = [(i, side, rank(p, side)) for i, p in enumerate(wanted.values())
+              for side in (0, 1)]
+    picked = F.array_compact(F.array(*[
+        F.when(covers(r), F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"),
+                                   r.alias("rank"))) for i, side, r in places]))
+    # Few bins cover a wanted rank; the plain condition sorts out all others.
+    picks = (running.filter(reduce(lambda a, b: a | b, [covers(r) for *_, r in places]))
+             .select(*group, "_bin", "_before", "_total", F.inline(picked)))
 
     bins = picks.select(*group, "_bin").distinct()
     # At most two bins per quantile and group.

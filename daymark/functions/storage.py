@@ -36,7 +36,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/daymark/{label}-{uuid.uuid4().hex}"
 
 
-def pinned(df: DataFrame) -> DataFrame:
-    """The rows written to reliable storage, so that later plans see the same rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def pinned(df: DataFrame, label: str = "pinned") -> DataFrame:
+    """The rows written to the shared folder, so that later plans read the same rows.
+
+    A written table is computed once, cuts the lineage and survives lost
+    executors; later reads touch only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from daymark.functions.columns import holds, text_to_date
 from daymark.functions.quantiles import exact_quantiles
 from daymark.functions.skew import repeated_keys
+from daymark.functions.storage import pinned
 from daymark.operators.checks import one_row_table
 from daymark.operators.quality import iqr_flags, long_values
 from daymark.schema import SENTINELS, WIDE, Layout, code_of
@@ -18,6 +19,8 @@ from daymark.schema import SENTINELS, WIDE, Layout, code_of
 # Quantile columns of the percentile report.
 TAIL_QUANTILES = {"p0_1": 0.001, "p1": 0.01, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99,
                   "p99_9": 0.999}
+# Correlations per aggregation.
+PAIRS_AT_ONCE = 7
 # Rows without a date come after all years.
 UNDATED = 100000
 RAIN_QUANTILES = {"p90": 0.9, "p95": 0.95, "p99": 0.99, "p99_5": 0.995, "p99_9": 0.999}
@@ -391,12 +394,16 @@ def profile_location_stats(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
 def profile_correlations(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
     """Full correlation matrix in long form, over pairwise complete rows.
 
-    The 21 pairs are one aggregation; the mirror half and the diagonal follow from it.
+    The mirror half and the diagonal follow from the 21 pairs.  Pairs are
+    aggregated a few at a time: the generated code of all of them together is
+    too long for the JVM to compile, which costs more than reading twice.
     """
     names = list(layout.measures)
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
-    one = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs],
-                 *[F.var_samp(a).alias(f"{a}__var") for a in names])
+    parts = [df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs[i:i + PAIRS_AT_ONCE]])
+             for i in range(0, len(pairs), PAIRS_AT_ONCE)]
+    parts.append(df.agg(*[F.var_samp(a).alias(f"{a}__var") for a in names]))
+    one = reduce(lambda a, b: a.crossJoin(b), parts)
 
     def entry(a: str, b: str, value: Column) -> Column:
         return F.struct(F.lit(code_of(a)).alias("variable_a"), F.lit(code_of(b))
@@ -479,7 +486,8 @@ def profile_jumps(df: DataFrame, measure: str, quantile: float = 0.999,
 
     Further copies of a reading have a change of zero.
     """
-    changes = daily_changes(df, measure, layout).withColumn("_size", F.abs("change"))
+    # Read three times: twice for the quantile and once for the result.
+    changes = pinned(daily_changes(df, measure, layout).withColumn("_size", F.abs("change")))
     sizes = changes.select(F.inline(F.array(
         F.struct(F.col("_size").alias("_size"), F.lit(1).cast("long").alias("_weight")),
         F.struct(F.when(F.col("value").isNotNull(), 0.0).alias("_size"),
@@ -502,40 +510,58 @@ def profile_jumps(df: DataFrame, measure: str, quantile: float = 0.999,
 def profile_longest_equal_run(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
     """Longest run of one value per location and measure; a missing value is its own run.
 
-    Rows are ordered by date and, within a date, by value.  Each day is first
-    summed up: its lowest and highest value with their number of rows, and its
-    longest run.  The window over a location then holds one row per calendar
-    day, however many rows a day has.
+    Rows are ordered by date and, within a date, by their measures.  Identical
+    rows of a day are combined first.  Windows cover one location and year; a
+    second step over the yearly summaries joins runs that cross a year's end.
     """
-    located = df.filter(F.col(layout.location).isNotNull())
-    values = long_values(located, layout, keep=(layout.location, layout.date))
+    measures = layout.measures
+    row = (df.filter(F.col(layout.location).isNotNull())
+           .groupBy(layout.location, layout.date, *measures)
+           .agg(F.count("*").alias("copies"))
+           .withColumn("_year", F.coalesce(F.year(layout.date), F.lit(UNDATED))))
+    per_year = Window.partitionBy(layout.location, "_year").orderBy(
+        F.asc_nulls_last(layout.date), *measures)
+    placed = row.withColumns({
+        "_upto": F.sum("copies").over(per_year),
+        **{f"{m}__same": holds(F.col(m) == F.lag(m).over(per_year)) for m in measures}})
+    # Rows before the start of the current run; it only grows, so a running maximum finds it.
+    started = placed.withColumns({f"{m}__from": F.max(F.when(
+        ~F.col(f"{m}__same"), F.col("_upto") - F.col("copies"))).over(per_year)
+        for m in measures})
+
+    def length(m: str) -> Column:
+        return F.when(F.col(m).isNull(), 1).otherwise(F.col("_upto") - F.col(f"{m}__from"))
+
+    # Per year and measure: longest run, first and last run, and the values at both ends.
+    years = started.groupBy(layout.location, "_year").agg(
+        F.max("_upto").alias("_rows"),
+        *[c for m in measures for c in (
+            F.max(length(m)).alias(f"{m}__longest"),
+            F.max(F.when((F.col(f"{m}__from") == 0) & F.col(m).isNotNull(),
+                         F.col("_upto"))).alias(f"{m}__first"),
+            F.max_by(length(m), F.col("_upto")).alias(f"{m}__last"),
+            F.min_by(F.col(m), F.col("_upto")).alias(f"{m}__head"),
+            F.max_by(F.col(m), F.col("_upto")).alias(f"{m}__tail"))])
+    entries = F.array(*[F.struct(
+        F.lit(code_of(m)).alias("variable_code"),
+        *[F.col(f"{m}__{s}").alias(s) for s in ("longest", "first", "last", "head", "tail")])
+        for m in measures])
+    # From here on there is one row per location, measure and year.
     key = [layout.location, "variable_code"]
-    counted = values.groupBy(*key, layout.date, "value").agg(F.count("*").alias("n"))
-    # Missing values come first within a day.
-    days = counted.groupBy(*key, layout.date).agg(
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
-        F.count("value").alias("kinds"), F.min("value").alias("low"), F.max("value").alias("high"),
-        F.min_by("n", "value").alias("n_low"), F.max_by("n", "value").alias("n_high"),
-        F.max(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(1)).alias("longest"))
-    by_day = Window.partitionBy(*key).orderBy(layout.date)
-    joins = holds((F.col("nulls") == 0) & (F.col("low") == F.lag("high").over(by_day)))
-    # A day of one single value carries a run on; any other day ends it at its first value.
-    carries = (F.col("kinds") == 1) & (F.col("nulls") == 0)
-    chained = days.withColumns({"joins": joins, "carries": carries})
-    # An island starts at the last value of a day and takes in the days that carry it on.
-    island = F.sum((~(F.col("joins") & F.col("carries"))).cast("int")).over(by_day)
-    # A day that joins without carrying on adds its first value to the island before its own.
-    shares = F.array(
-        F.struct(F.col("island"), F.coalesce("n_high", F.lit(0)).alias("n"), F.col("longest")),
-        F.when(F.col("joins") & ~F.col("carries"),
-               F.struct((F.col("island") - 1).alias("island"), F.col("n_low").alias("n"),
-                        F.lit(0).cast("long").alias("longest"))))
-    runs = (chained.withColumn("island", island)
-            .select(*key, F.inline(F.array_compact(shares)))
-            .groupBy(*key, "island").agg(F.sum("n").alias("run"), F.max("longest")
-                                         .alias("longest")))
-    return runs.groupBy(*key).agg(F.greatest(F.max("run"), F.max("longest"))
-                                  .alias("longest_identical_run_days"))
+    summed = years.select(layout.location, "_year", "_rows", F.inline(entries))
+    over_years = Window.partitionBy(*key).orderBy("_year")
+    joins = holds(F.col("head") == F.lag("tail").over(over_years))
+    # A year of one value adds all its rows to the run that reaches it.
+    whole = holds(F.col("first") == F.col("_rows"))
+    linked = summed.withColumns({"joins": joins, "passes": joins & whole})
+    summed = linked.withColumn("_sum", F.sum(
+        F.when(F.col("passes"), F.col("_rows")).otherwise(F.col("last"))).over(over_years))
+    ended = summed.withColumn("_end", F.col("_sum") - F.max(F.when(
+        ~F.col("passes"), F.col("_sum") - F.col("last"))).over(over_years))
+    crossing = F.when(F.col("joins"), F.lag("_end").over(over_years) + F.col("first"))
+    return (ended.withColumn("_crossing", crossing).groupBy(*key)
+            .agg(F.greatest(F.max("longest"), F.max("_end"), F.max("_crossing"))
+                 .alias("longest_identical_run_days")))
 
 
 def profile_stale_top(df: DataFrame, rows: int = 30, layout: Layout = WIDE) -> DataFrame:

@@ -176,15 +176,29 @@ def beyond(bounds_low: str = "lower_bound", bounds_high: str = "upper_bound") ->
 def iqr_flags(df: DataFrame, layout: Layout = WIDE, bounds: DataFrame | None = None) -> DataFrame:
     """Per variable: values strictly beyond the bounds, in number and percent of the non-null."""
     limits = bounds if bounds is not None else iqr_bounds(df, layout)
-    values = long_values(df, layout)
-    # One row of bounds per measure.
-    counted = (values.join(F.broadcast(limits), "variable_code", "left")
-               .groupBy("variable_code", "q1", "q3", "iqr", "lower_bound", "upper_bound")
-               .agg(F.count_if(holds(beyond())).alias("outlier_count"),
-                    F.count("value").alias("n")))
-    share = F.when(F.col("n") > 0, F.col("outlier_count") * 100.0 / F.col("n")).otherwise(0.0)
-    return counted.select("variable_code", "q1", "q3", "iqr", "lower_bound", "upper_bound",
-                          "outlier_count", share.alias("outlier_percent"), "n")
+    names = ["q1", "q3", "iqr", "lower_bound", "upper_bound"]
+    # All bounds as one array in one row, so that both uses below share one broadcast.
+    row = limits.agg(F.array(*[
+        F.max(F.when(F.col("variable_code") == code_of(m), F.col(n)))
+        for m in layout.measures for n in names]).alias("_limits"))
+
+    def limit(measure: str, name: str) -> Column:
+        place = layout.measures.index(measure) * len(names) + names.index(name)
+        return F.col("_limits")[place]
+
+    def is_beyond(m: str) -> Column:
+        return holds((F.col(m) < limit(m, "lower_bound")) | (F.col(m) > limit(m, "upper_bound")))
+
+    counts = df.select(*layout.measures).crossJoin(F.broadcast(row)).agg(
+        *[F.count_if(is_beyond(m)).alias(f"{m}__out") for m in layout.measures],
+        *[F.count(m).alias(f"{m}__n") for m in layout.measures])
+    entries = F.array(*[F.struct(
+        F.lit(code_of(m)).alias("variable_code"), *[limit(m, n).alias(n) for n in names],
+        F.col(f"{m}__out").alias("outlier_count"),
+        F.when(F.col(f"{m}__n") > 0, F.col(f"{m}__out") * 100.0 / F.col(f"{m}__n"))
+        .otherwise(0.0).alias("outlier_percent"), F.col(f"{m}__n").alias("n"))
+        for m in layout.measures])
+    return counts.crossJoin(F.broadcast(row)).select(F.inline(entries))
 
 
 def _iqr_rules(flags: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ def reason_codes(layout: Layout = WIDE) -> list[str]:
 
 
 def quarantine_codes(raw: DataFrame, layout: Layout = WIDE) -> DataFrame:
-    """Raw rows plus `_typed` (parsed values) and `reasons` (ordered list of codes).
+    """Raw rows plus `_typed` (parsed values) and `reason_codes` (codes in rule order, with bars).
 
     Every copy of a repeated key is marked: keeping one of them would hide that
     they may contradict each other.
@@ -68,14 +68,22 @@ def quarantine_codes(raw: DataFrame, layout: Layout = WIDE) -> DataFrame:
         *[text_to_number(F.col(f)).alias(f) for f in layout.numeric])
     parsed = raw.withColumn("_typed", typed).withColumn("_day", _typed(layout.date))
     marked = mark_repeated(parsed, [layout.location, "_day", layout.source], REPEATED)
-    reasons = F.array_compact(F.array(*[
-        F.when(condition, F.lit(code)) for code, condition in _rules(layout)]))
-    return marked.withColumn("reasons", reasons).drop("_day", REPEATED)
+    # Joined text skips the codes that do not apply and stays in generated code.
+    joined = F.concat_ws("|", *[F.when(condition, F.lit(code))
+                                for code, condition in _rules(layout)])
+    return marked.withColumn("reason_codes", joined).drop("_day", REPEATED)
+
+
+def reasons() -> Column:
+    """The codes of a coded row as an ordered list; empty when there are none."""
+    codes = F.col("reason_codes")
+    return F.when(codes != "", F.split(codes, "\\|")).otherwise(
+        F.array().cast("array<string>"))
 
 
 def accepted_rows(coded: DataFrame, layout: Layout = WIDE) -> DataFrame:
     """Rows without any code, in the types of the wide table."""
-    return coded.filter(F.size("reasons") == 0).select(
+    return coded.filter(F.col("reason_codes") == "").select(
         _typed(layout.date).alias(layout.date), layout.location,
         _typed(layout.latitude).alias(layout.latitude),
         _typed(layout.longitude).alias(layout.longitude), layout.source,
@@ -84,20 +92,20 @@ def accepted_rows(coded: DataFrame, layout: Layout = WIDE) -> DataFrame:
 
 def rejected_rows(coded: DataFrame, row_number: str, layout: Layout = WIDE) -> DataFrame:
     """Rejected rows as they came, with their input row number and joined codes."""
-    return coded.filter(F.size("reasons") > 0).select(
+    return coded.filter(F.col("reason_codes") != "").select(
         F.col(row_number).cast("long").alias("input_row_number"), *layout.required,
-        F.array_join("reasons", "|").alias("reason_codes"))
+        "reason_codes")
 
 
 def reason_counts(coded: DataFrame) -> DataFrame:
     """Rows per code; a row counts once under each of its codes."""
-    return (coded.select(F.explode("reasons").alias("code")).groupBy("code")
+    return (coded.select(F.explode(reasons()).alias("code")).groupBy("code")
             .agg(F.count("*").alias("rows")).orderBy("code"))
 
 
 def accounting(coded: DataFrame) -> DataFrame:
     """One row: read = loaded + rejected."""
-    rejected = F.size("reasons") > 0
+    rejected = F.col("reason_codes") != ""
     return coded.agg(F.count("*").alias("rows_read"), F.count_if(~rejected).alias("rows_loaded"),
                      F.count_if(rejected).alias("rows_rejected"))
 
