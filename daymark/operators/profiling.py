@@ -400,7 +400,14 @@ def profile_correlations(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
     """
     names = list(layout.measures)
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
-    parts = [df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs[i:i + PAIRS_AT_ONCE]])
+
+    def correlation(a: str, b: str) -> Column:
+        """The built-in function fails on a measure that never varies."""
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        spread = F.stddev_pop(F.when(both, F.col(a))) * F.stddev_pop(F.when(both, F.col(b)))
+        return F.when(spread > 0, F.covar_pop(a, b) / spread).alias(f"{a}__{b}")
+
+    parts = [df.agg(*[correlation(a, b) for a, b in pairs[i:i + PAIRS_AT_ONCE]])
              for i in range(0, len(pairs), PAIRS_AT_ONCE)]
     parts.append(df.agg(*[F.var_samp(a).alias(f"{a}__var") for a in names]))
     one = reduce(lambda a, b: a.crossJoin(b), parts)
@@ -410,8 +417,8 @@ def profile_correlations(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
                         .alias("variable_b"), value.alias("correlation"))
 
     diagonal = [entry(a, a, F.when(F.col(f"{a}__var") > 0, 1.0)) for a in names]
-    upper = [entry(a, b, F.nanvl(f"{a}__{b}", F.lit(None).cast("double"))) for a, b in pairs]
-    lower = [entry(b, a, F.nanvl(f"{a}__{b}", F.lit(None).cast("double"))) for a, b in pairs]
+    upper = [entry(a, b, F.col(f"{a}__{b}")) for a, b in pairs]
+    lower = [entry(b, a, F.col(f"{a}__{b}")) for a, b in pairs]
     return one.select(F.inline(F.array(*diagonal, *upper, *lower)))
 
 

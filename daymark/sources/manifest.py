@@ -14,11 +14,11 @@ from daymark.schema import DEFAULT_SOURCE, WIDE, Layout, code_of
 
 def _json_text(column: Column) -> Column:
     """JSON string with everything outside ASCII written as escapes."""
-    plain = F.regexp_replace(column, r'(["\\\\])', r"\\\\$1")
+    plain = F.regexp_replace(column, r'(["\\])', r"\\$1")
     letters = F.transform(
         F.split(plain, ""),
         lambda c: F.when(F.ascii(c) < 128, c).otherwise(F.regexp_replace(
-            F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\\\u$1")))
+            F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1")))
     return F.concat(F.lit('"'), F.array_join(letters, ""), F.lit('"'))
 
 
