@@ -262,3 +262,11 @@ def _(t: Tables):
 def _(t: Tables):
     from daymark.operators.serving import daily_mart
     return daily_mart(view(t))
+
+
+@query("daily_mart_from_facts", MART_SQL, "latitude longitude " + " ".join(LAYOUT.measures))
+def _(t: Tables):
+    from daymark.operators.serving import mart_from_facts
+    s = tables(t)
+    return mart_from_facts(s["fact_observation"], s["dim_date"], s["dim_location"],
+                           s["dim_variable"], s["dim_source"])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions.columns import holds, not_finite, outside, text_to_date, text_to_number
 from daymark.functions.skew import mark_repeated
+from daymark.functions.storage import pinned
 from daymark.schema import WIDE, Layout, code_of
 
 REPEATED = "_repeated"
@@ -97,17 +98,33 @@ def rejected_rows(coded: DataFrame, row_number: str, layout: Layout = WIDE) -> D
         "reason_codes")
 
 
+def code_sets(coded: DataFrame) -> DataFrame:
+    """Rows per set of codes: a short table from which all counts follow."""
+    return coded.groupBy("reason_codes").agg(F.count("*").alias("n"))
+
+
 def reason_counts(coded: DataFrame) -> DataFrame:
     """Rows per code; a row counts once under each of its codes."""
-    return (coded.select(F.explode(reasons()).alias("code")).groupBy("code")
-            .agg(F.count("*").alias("rows")).orderBy("code"))
+    return _by_code(code_sets(coded)).orderBy("code")
+
+
+def _by_code(sets: DataFrame) -> DataFrame:
+    return (sets.select(F.explode(reasons()).alias("code"), "n").groupBy("code")
+            .agg(F.sum("n").alias("rows")))
 
 
 def accounting(coded: DataFrame) -> DataFrame:
     """One row: read = loaded + rejected."""
+    return _totals(code_sets(coded))
+
+
+def _totals(sets: DataFrame) -> DataFrame:
+    def total(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias(name)
+
     rejected = F.col("reason_codes") != ""
-    return coded.agg(F.count("*").alias("rows_read"), F.count_if(~rejected).alias("rows_loaded"),
-                     F.count_if(rejected).alias("rows_rejected"))
+    return sets.agg(total(F.lit(True), "rows_read"), total(~rejected, "rows_loaded"),
+                    total(rejected, "rows_rejected"))
 
 
 def quality_gate(counts: DataFrame, overall: DataFrame | None = None) -> DataFrame:
@@ -130,9 +147,10 @@ def quarantine_write(coded: DataFrame, path: str, row_number: str,
     rejected_path, accounting_path = f"{path}/rejected_rows", f"{path}/row_accounting"
     rejected_rows(coded, row_number, layout).write.mode("errorifexists") \
         .option("header", True).csv(rejected_path)
-    totals = accounting(coded)
+    sets = pinned(code_sets(coded))
+    totals = _totals(sets)
     # One entry per code, a fixed short list.
-    by_code = reason_counts(coded).agg(F.map_from_entries(F.array_sort(F.collect_list(
+    by_code = _by_code(sets).agg(F.map_from_entries(F.array_sort(F.collect_list(
         F.struct("code", "rows")))).alias("rejection_reason_counts"))
     totals.crossJoin(by_code).write.mode("errorifexists").json(accounting_path)
     spark = coded.sparkSession

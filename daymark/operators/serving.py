@@ -26,6 +26,29 @@ def daily_mart(view: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame
         for m in measures]))
 
 
+def mart_from_facts(facts: DataFrame, dates: DataFrame, locations: DataFrame,
+                    variables: DataFrame, sources: DataFrame,
+                    measures: Sequence[str] = MEASURES) -> DataFrame:
+    """The same mart from the star tables: readings are brought together by id first.
+
+    The dimension joins and their text columns then meet one row per day and
+    point instead of one per reading.
+    """
+    key = ["date_id", "location_id", "source_id"]
+    # Variables are a fixed list.
+    coded = facts.join(F.broadcast(variables.select("variable_id", "variable_code")),
+                       "variable_id")
+    rows = coded.groupBy(*key).agg(*[
+        F.max(F.when(F.col("variable_code") == code_of(m), F.col("value"))).alias(m)
+        for m in measures])
+    return (rows.join(dates.select("date_id", F.col("full_date").alias("observation_date")),
+                      "date_id")
+            .join(sources.select("source_id", "source_name"), "source_id")
+            .join(locations.select("location_id", "location_name", "latitude", "longitude",
+                                   "country"), "location_id")
+            .select(*GRAIN, *measures))
+
+
 def mart_from_wide(wide: DataFrame, country: str = DEFAULT_COUNTRY,
                    layout: Layout = WIDE) -> DataFrame:
     """The mart's columns straight from a wide table with one row per key."""

@@ -169,11 +169,12 @@ def new_facts(incoming: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def fact_load(incoming: DataFrame, existing: DataFrame | None = None,
-              ingested_at: Column | None = None) -> DataFrame:
+              ingested_at: Column | None = None, after: int = 0) -> DataFrame:
     """New facts, numbered after the stored ones by date, location, variable and source.
 
     Numbering reads the new facts twice.  With stored facts they come out of a
-    large anti join, so they are pinned first and the join runs once.
+    large anti join, so they are pinned first and the join runs once.  `after`
+    is the last id in use, where it is known without reading the stored facts.
     """
     fresh = incoming if existing is None else pinned(new_facts(incoming, existing))
     numbered = calendar_ids(fresh, "date_id", "location_id", ["variable_id", "source_id"],
@@ -183,6 +184,7 @@ def fact_load(incoming: DataFrame, existing: DataFrame | None = None,
         # One row.
         numbered = numbered.crossJoin(F.broadcast(top)).withColumn(
             "observation_id", F.col("observation_id") + F.col("_top")).drop("_top")
+    numbered = numbered.withColumn("observation_id", F.col("observation_id") + F.lit(after))
     at = F.current_timestamp() if ingested_at is None else ingested_at
     return numbered.select("observation_id", *FACT_KEY, "value", at.alias("ingested_at"))
 

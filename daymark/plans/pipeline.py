@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.functions.skew import repeated_keys
+from daymark.functions.storage import pinned
 from daymark.operators import features, profiling, quality, quarantine, serving, star
 from daymark.operators.checks import check_rows
 from daymark.schema import DEFAULT_COUNTRY, SOURCE_METADATA, WIDE, Layout
@@ -27,7 +28,8 @@ def ingest_payloads(spark: SparkSession, raw: str | Sequence[str], points: DataF
                     key: Sequence[str] = ("location",), layout: Layout = WIDE) -> DataFrame:
     """Payloads to the sorted wide table.  Any rejected row is kept aside and stops the run."""
     read = payloads.read_payloads(spark, raw)
-    wide = payloads.payload_to_wide(read, points, key, layout.expected_source, layout)
+    # Parsed once: the rules, the quarantine and the published table all read it.
+    wide = pinned(payloads.payload_to_wide(read, points, key, layout.expected_source, layout))
     text = wide.select(*[F.col(c).cast("string").alias(c) for c in layout.required])
     numbered = text.withColumn("row_number", F.monotonically_increasing_id())
     coded = quarantine.quarantine_codes(numbered, layout)
@@ -85,18 +87,25 @@ def load_star(wide: DataFrame, root: str, at: datetime, layout: Layout = WIDE,
         publish.publish_validated(rows, root, name, _no_repeats(key), at)
         dims[name] = publish.current_version(spark, root, name)
 
+    if repeated_keys(wide, [layout.location, layout.date, layout.source]).limit(1).count():
+        raise ValueError("the batch holds several readings for one fact key")
     facts_path = f"{root}/fact_observation"
-    known = publish.path_exists(spark, facts_path)
-    existing = spark.read.parquet(facts_path).drop("year") if known else None
     incoming = star.fact_dim_lookup(long, dims["dim_date"], dims["dim_location"],
                                     dims["dim_variable"], dims["dim_source"], layout)
-    repeats = repeated_keys(incoming, star.FACT_KEY).limit(1).count()
-    if repeats:
-        raise ValueError("the batch holds several readings for one fact key")
-    fresh = star.fact_load(incoming, existing, F.lit(at.isoformat(sep=" ")).cast("timestamp"))
-    (fresh.withColumn("year", F.floor(F.col("date_id") / 10000).cast("int"))
-     .write.mode("append").partitionBy("year").option("compression", "snappy")
-     .parquet(facts_path))
+    if publish.path_exists(spark, facts_path):
+        # Only the years of this batch can hold the same keys.
+        first, last = wide.agg(F.min(F.year(layout.date)), F.max(F.year(layout.date))).first()
+        stored_facts = spark.read.parquet(facts_path).filter(F.col("year").between(first, last))
+        incoming = star.new_facts(incoming, stored_facts)
+    fresh = pinned(incoming, "facts")
+    size = fresh.count()
+    if size:
+        start = publish.reserve_ids(spark, root, "observation_id", size, at)
+        stamped = star.fact_load(fresh, ingested_at=F.lit(at.isoformat(sep=" "))
+                                 .cast("timestamp"), after=start)
+        (stamped.withColumn("year", F.floor(F.col("date_id") / 10000).cast("int"))
+         .write.mode("append").partitionBy("year").option("compression", "snappy")
+         .parquet(facts_path))
     return {**dims, "fact_observation": spark.read.parquet(facts_path).drop("year")}
 
 
@@ -107,16 +116,14 @@ def refresh_serving(schema: dict[str, DataFrame], root: str, at: datetime,
     Returns the current mart.  `checks` maps a candidate to check rows; the
     default asks for rows and for unique keys.
     """
-    view = star.observation_view(schema["fact_observation"], schema["dim_date"],
-                                 schema["dim_location"], schema["dim_variable"],
-                                 schema["dim_source"])
-
     def default(df: DataFrame) -> DataFrame:
         counts = serving.mart_counts(df, serving.monthly_climate(df))
         return check_rows(counts, [("has rows", "1", "CAST(rows > 0 AS INT)"),
                                    ("duplicate_keys", "0", "duplicate_keys")])
 
-    mart = serving.daily_mart(view)
+    mart = serving.mart_from_facts(schema["fact_observation"], schema["dim_date"],
+                                   schema["dim_location"], schema["dim_variable"],
+                                   schema["dim_source"])
     publish.publish_validated(mart, root, MART, checks or default, at)
     return publish.current_version(mart.sparkSession, root, MART)
 

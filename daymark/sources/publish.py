@@ -74,3 +74,21 @@ def current_version(spark: SparkSession, root: str, name: str) -> DataFrame:
     if found is None:
         raise ValueError(f"{name} has no published version")
     return found
+
+
+def reserve_ids(spark: SparkSession, root: str, name: str, size: int, at: datetime) -> int:
+    """Reserve `size` ids and return the last one used before.
+
+    The reservation is recorded before any row is written: a failed load leaves a
+    hole in the numbers, never two rows with one number.  The records are one
+    short row per load, so the stored rows need not be read for their highest id.
+    """
+    folder = f"{root}/reserved/{name}"
+    schema = "batch long, last_id long, reserved_at timestamp"
+    batch, last = 0, 0
+    if path_exists(spark, folder):
+        known = spark.read.schema(schema).option("recursiveFileLookup", True).json(folder)
+        batch, last = known.agg(F.max("batch"), F.max("last_id")).first()
+    row = spark.createDataFrame([(batch + 1, last + size, at)], schema)
+    row.coalesce(1).write.mode("errorifexists").json(f"{folder}/load={batch + 1:08d}")
+    return last
