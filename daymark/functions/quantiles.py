@@ -9,7 +9,6 @@ bins are then looked at value by value.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +35,6 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     the list of wanted bins broadcast.
     """
     keys = list(keys)
-    names = list(wanted)
     rows = (df.select(*keys, F.col(value).alias("_v"),
                       (weight if weight is not None else F.lit(1)).cast("long").alias("_w"))
             .filter(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.col("_w") > 0)))
@@ -54,24 +52,23 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         (F.sum("_n").over(by_bin) - F.col("_n")).alias("_before"), "_n",
         F.sum("_n").over(Window.partitionBy(*group)).alias("_total"))
 
-    def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("_total") - 1).cast("double")
+    # SQL texts keep the number of calls into the JVM small.
+    def position(p: float) -> str:
+        return f"({float(p)!r}D * CAST(_total - 1 AS DOUBLE))"
 
-    def rank(p: float, side: int) -> Column:
-        return (F.floor(position(p)) if side == 0 else F.ceil(position(p))).cast("long")
+    places = [(i, side, f"CAST({'floor' if side == 0 else 'ceil'}({position(p)}) AS BIGINT)")
+              for i, p in enumerate(wanted.values()) for side in (0, 1)]
 
-    def covers(wanted_rank: Column) -> Column:
-        return ((wanted_rank >= F.col("_before"))
-                & (wanted_rank < F.col("_before") + F.col("_n")))
+    def covers(rank: str) -> str:
+        return f"({rank} >= _before AND {rank} < _before + _n)"
 
-    places = [(i, side, rank(p, side)) for i, p in enumerate(wanted.values())
-              for side in (0, 1)]
-    picked = F.array_compact(F.array(*[
-        F.when(covers(r), F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"),
-                                   r.alias("rank"))) for i, side, r in places]))
+    picked = ", ".join(
+        f"CASE WHEN {covers(rank)} THEN named_struct('q', {i}, 'side', {side}, 'rank', {rank}) END"
+        for i, side, rank in places)
     # Few bins cover a wanted rank; the plain condition sorts out all others.
-    picks = (running.filter(reduce(lambda a, b: a | b, [covers(r) for *_, r in places]))
-             .select(*group, "_bin", "_before", "_total", F.inline(picked)))
+    picks = (running.filter(" OR ".join(covers(rank) for *_, rank in places))
+             .select(*group, "_bin", "_before", "_total",
+                     F.expr(f"inline(array_compact(array({picked})))")))
 
     bins = picks.select(*group, "_bin").distinct()
     # At most two bins per quantile and group.
@@ -85,11 +82,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
 
     grouped = found.groupBy(*group).agg(
         F.max("_total").alias("_total"),
-        *[F.max(F.when((F.col("q") == i) & (F.col("side") == side), F.col("_v")))
-          .alias(f"_q{i}_{side}") for i in range(len(names)) for side in (0, 1)])
-    columns = []
-    for i, (name, p) in enumerate(wanted.items()):
-        low, high = F.col(f"_q{i}_0"), F.col(f"_q{i}_1")
-        share = position(p) - F.floor(position(p))
-        columns.append((low + (high - low) * share).alias(name))
-    return grouped.select(*keys, *columns)
+        *[F.expr(f"max(CASE WHEN q = {i} AND side = {side} THEN _v END) AS _q{i}_{side}")
+          for i in range(len(wanted)) for side in (0, 1)])
+    return grouped.select(*keys, *[
+        F.expr(f"_q{i}_0 + (_q{i}_1 - _q{i}_0) * ({position(p)} - floor({position(p)})) AS `{name}`")
+        for i, (name, p) in enumerate(wanted.items())])

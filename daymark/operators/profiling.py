@@ -403,23 +403,23 @@ def profile_correlations(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
 
     def correlation(a: str, b: str) -> Column:
         """The built-in function fails on a measure that never varies."""
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        spread = F.stddev_pop(F.when(both, F.col(a))) * F.stddev_pop(F.when(both, F.col(b)))
-        return F.when(spread > 0, F.covar_pop(a, b) / spread).alias(f"{a}__{b}")
+        spread = (f"stddev_pop(CASE WHEN `{b}` IS NOT NULL THEN `{a}` END) * "
+                  f"stddev_pop(CASE WHEN `{a}` IS NOT NULL THEN `{b}` END)")
+        return F.expr(f"CASE WHEN {spread} > 0 THEN covar_pop(`{a}`, `{b}`) / ({spread}) END "
+                      f"AS `{a}__{b}`")
 
     parts = [df.agg(*[correlation(a, b) for a, b in pairs[i:i + PAIRS_AT_ONCE]])
              for i in range(0, len(pairs), PAIRS_AT_ONCE)]
-    parts.append(df.agg(*[F.var_samp(a).alias(f"{a}__var") for a in names]))
+    parts.append(df.agg(*[F.expr(f"var_samp(`{a}`) AS `{a}__var`") for a in names]))
     one = reduce(lambda a, b: a.crossJoin(b), parts)
 
-    def entry(a: str, b: str, value: Column) -> Column:
-        return F.struct(F.lit(code_of(a)).alias("variable_a"), F.lit(code_of(b))
-                        .alias("variable_b"), value.alias("correlation"))
+    def entry(a: str, b: str, value: str) -> str:
+        return (f"named_struct('variable_a', '{code_of(a)}', 'variable_b', '{code_of(b)}', "
+                f"'correlation', {value})")
 
-    diagonal = [entry(a, a, F.when(F.col(f"{a}__var") > 0, 1.0)) for a in names]
-    upper = [entry(a, b, F.col(f"{a}__{b}")) for a, b in pairs]
-    lower = [entry(b, a, F.col(f"{a}__{b}")) for a, b in pairs]
-    return one.select(F.inline(F.array(*diagonal, *upper, *lower)))
+    entries = [entry(a, a, f"CASE WHEN `{a}__var` > 0 THEN 1.0D END") for a in names]
+    entries += [entry(x, y, f"`{a}__{b}`") for a, b in pairs for x, y in ((a, b), (b, a))]
+    return one.select(F.expr(f"inline(array({', '.join(entries)}))"))
 
 
 def profile_variance(df: DataFrame, layout: Layout = WIDE) -> DataFrame:

@@ -178,27 +178,24 @@ def iqr_flags(df: DataFrame, layout: Layout = WIDE, bounds: DataFrame | None = N
     limits = bounds if bounds is not None else iqr_bounds(df, layout)
     names = ["q1", "q3", "iqr", "lower_bound", "upper_bound"]
     # All bounds as one array in one row, so that both uses below share one broadcast.
-    row = limits.agg(F.array(*[
-        F.max(F.when(F.col("variable_code") == code_of(m), F.col(n)))
-        for m in layout.measures for n in names]).alias("_limits"))
-
-    def limit(measure: str, name: str) -> Column:
-        place = layout.measures.index(measure) * len(names) + names.index(name)
-        return F.col("_limits")[place]
-
-    def is_beyond(m: str) -> Column:
-        return holds((F.col(m) < limit(m, "lower_bound")) | (F.col(m) > limit(m, "upper_bound")))
-
-    counts = df.select(*layout.measures).crossJoin(F.broadcast(row)).agg(
-        *[F.count_if(is_beyond(m)).alias(f"{m}__out") for m in layout.measures],
-        *[F.count(m).alias(f"{m}__n") for m in layout.measures])
-    entries = F.array(*[F.struct(
-        F.lit(code_of(m)).alias("variable_code"), *[limit(m, n).alias(n) for n in names],
-        F.col(f"{m}__out").alias("outlier_count"),
-        F.when(F.col(f"{m}__n") > 0, F.col(f"{m}__out") * 100.0 / F.col(f"{m}__n"))
-        .otherwise(0.0).alias("outlier_percent"), F.col(f"{m}__n").alias("n"))
-        for m in layout.measures])
-    return counts.crossJoin(F.broadcast(row)).select(F.inline(entries))
+    # SQL texts keep the number of calls into the JVM small.
+    cells = ", ".join(f"max(CASE WHEN variable_code = '{code_of(m)}' THEN {n} END)"
+                      for m in layout.measures for n in names)
+    row = limits.agg(F.expr(f"array({cells})").alias("_limits"))
+    place = {(m, n): f"_limits[{i * len(names) + k}]"
+             for i, m in enumerate(layout.measures) for k, n in enumerate(names)}
+    counted = [F.expr(f"count_if(coalesce(`{m}` < {place[m, 'lower_bound']} "
+                      f"OR `{m}` > {place[m, 'upper_bound']}, false)) AS `{m}__out`")
+               for m in layout.measures]
+    counted += [F.expr(f"count(`{m}`) AS `{m}__n`") for m in layout.measures]
+    counts = df.select(*layout.measures).crossJoin(F.broadcast(row)).agg(*counted)
+    entries = ", ".join(
+        f"named_struct('variable_code', '{code_of(m)}', "
+        + "".join(f"'{n}', {place[m, n]}, " for n in names)
+        + f"'outlier_count', `{m}__out`, 'outlier_percent', CASE WHEN `{m}__n` > 0 "
+        f"THEN `{m}__out` * 100.0D / `{m}__n` ELSE 0.0D END, 'n', `{m}__n`)"
+        for m in layout.measures)
+    return counts.crossJoin(F.broadcast(row)).select(F.expr(f"inline(array({entries}))"))
 
 
 def _iqr_rules(flags: DataFrame) -> DataFrame:
