@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer
 
-from daymark.llm import mixing, pieces, pseudonyms, token_counts, url_rules
+from daymark.llm import (class_model, collision_search, inner_products, mixing, near_duplicates, pieces,
+                         pseudonyms, token_counts, toxicity, url_rules)
 
 PSEUDONYM_KEY = "pseudonyms of round two"
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -20,6 +22,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return collision_search.nearest(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {_RULES_SQL} AS rules(host, path, verdict)")
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -31,11 +38,35 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
         *DOCUMENT, "round(rate, 6) AS rate", "n_copies", "copy", "shuffle_key")
 
 
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op5_class_model(spark: SparkSession, folder: str) -> DataFrame:
+    return class_model.score_texts(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return token_counts.token_counts(docs, tokenizer("byte_bpe_50k.json"))
 
 
+def held_out(third: int = 1):
+    """Rows whose crc32 of the id as text leaves this remainder by three; a null id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == third, F.lit(False))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~held_out())
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op8_inner_products(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return inner_products.largest(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pieces.digests(pieces.encode_decode(docs, tokenizer("piece_bpe_32k.model")))
@@ -80,6 +111,16 @@ SELECT doc_id, text, lang, source, n_chars, round(rate, 6) AS rate, n_copies, co
  CAST('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':copy:' || copy), 1, 13)
  AS BIGINT) AS shuffle_key FROM copies"""
 
+OP8_SQL = """
+WITH whole AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len(embedding) > 0
+ AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
+ FROM whole q JOIN whole d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (
+ PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored) WHERE place <= 5"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filters, op3_mixing, op6_token_counts, op9_pieces, op10_pii)}
-SQL: dict[str, str] = {"op2_url_filters": OP2_SQL, "op3_mixing": OP3_SQL}
+    f.__name__: f for f in (op1_nearest, op2_url_filters, op3_mixing, op4_near_duplicates, op5_class_model,
+                            op6_token_counts, op7_toxicity, op8_inner_products, op9_pieces, op10_pii)}
+SQL: dict[str, str] = {"op2_url_filters": OP2_SQL, "op3_mixing": OP3_SQL, "op8_inner_products": OP8_SQL}

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymark.llm.names import ROW, packed
+
 #: Largest mean of one Poisson variable, and how many values its table has (more than that has a
 #: chance below 1e-17).
 PART_MEAN, TERMS = 16.0, 64
@@ -68,13 +70,14 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, power: float = 0.5,
         source: str = "source", text: str = "text") -> DataFrame:
     """Every document as often as drawn, with rate, n_copies, copy (from 1) and shuffle_key."""
     rates = source_rates(docs, weights, power, total, source, text)
-    kept = [c for c in docs.columns if c not in MADE]
-    key = F.coalesce(_name(doc_id).cast("string"), F.lit(""))
+    given = docs.select(packed(docs, MADE), _name(source).alias("of"),
+                        F.coalesce(_name(doc_id).cast("string"), F.lit("")).alias("key"))
     drawn = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda part: F.size(F.filter(
-        "sums", lambda s: s <= hashed(seed, key, part) / F.lit(float(1 << 52)))))
+        "sums", lambda s: s <= hashed(seed, F.col("key"), part) / F.lit(float(1 << 52)))))
     count = F.aggregate(drawn, F.lit(0), lambda a, b: a + b)
-    joined = docs.select(*map(_name, kept)).join(rates, _name(source).eqNullSafe(F.col("s")))
-    counted = joined.select(*map(_name, kept), "rate", count.alias("n_copies")).where("n_copies > 0")
+    counted = given.join(rates, F.col("of").eqNullSafe(F.col("s"))) \
+        .select(ROW, "key", "rate", count.alias("n_copies")).where("n_copies > 0")
     copies = counted.select("*", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy"))
-    return copies.withColumn("shuffle_key", hashed(seed, key, F.lit("copy"), F.col("copy"))) \
-        .repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    copies = copies.withColumn("shuffle_key", hashed(seed, F.col("key"), F.lit("copy"), F.col("copy")))
+    return copies.repartition("shuffle_key").sortWithinPartitions("shuffle_key") \
+        .select(f"{ROW}.*", *MADE)

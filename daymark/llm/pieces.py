@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymark.llm.batches import by_bytes
+from daymark.llm.names import others
 
 SLICE_BYTES = 1 << 20
 #: Marked words that a task keeps between slices, the first ones it meets; the longest of them.
@@ -106,7 +107,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     path: a SentencePiece model; executors read it. The original text is not returned.
     """
     made = {"ids": T.ArrayType(T.IntegerType(), False), "decoded": T.StringType()}
-    kept = [c for c in docs.columns if c not in (*made, text)]
+    kept = others(docs, (*made, text))
     given = docs.select(*[F.col(f"`{c}`") for c in kept],
                         F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("ids"))
     schema = T.StructType([*given.drop("ids").schema.fields,

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymark.llm.names import ROW, others, packed
+
 ROUNDS = 8
 
 # The formats looked for, the most special first.
@@ -182,17 +184,17 @@ def pseudonym(text: Column, key: str) -> Column:
 
 def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str = "n_replaced") -> DataFrame:
     """The rows with replaced values in their texts, and how many values were replaced."""
-    whole = F.col(f"`{text}`")
-    kept = [c for c in docs.columns if c not in (count, "_found", "_new")]
-    found = docs.select(*[F.col(f"`{c}`") for c in kept], F.when(
-        whole.rlike("[0-9@]"), F.regexp_extract_all(whole, F.lit(ANY), 0)).alias("_found"))
-    new = found.withColumn("_new", F.transform("_found", lambda m: F.struct(
+    kept = others(docs, [count])
+    found = docs.select(packed(docs, [count]), F.col(f"`{text}`").alias("whole"))
+    whole = F.col("whole")
+    found = found.withColumn("matches", F.when(
+        whole.rlike("[0-9@]"), F.regexp_extract_all(whole, F.lit(ANY), 0)))
+    new = found.withColumn("put", F.transform("matches", lambda m: F.struct(
         m.alias("old"), pseudonym(m, key).alias("new"))))
     between = F.split(whole, ANY, -1)
-    put = F.array_join(F.transform(F.sequence(F.lit(0), F.size("_new")), lambda i: F.concat(
-        F.get(between, i), F.coalesce(F.get("_new", i)["new"], F.get("_new", i)["old"], F.lit("")))), "")
-    return new.select(
-        *[F.when(F.size("_new") > 0, put).otherwise(whole).alias(c) if c == text else F.col(f"`{c}`")
-          for c in kept],
-        F.coalesce(F.size(F.filter("_new", lambda x: x["new"].isNotNull())), F.lit(0)).cast("long")
-        .alias(count))
+    joined = F.array_join(F.transform(F.sequence(F.lit(0), F.size("put")), lambda i: F.concat(
+        F.get(between, i), F.coalesce(F.get("put", i)["new"], F.get("put", i)["old"], F.lit("")))), "")
+    replaced = F.when(F.size("put") > 0, joined).otherwise(whole)
+    number = F.coalesce(F.size(F.filter("put", lambda x: x["new"].isNotNull())), F.lit(0)).cast("long")
+    return new.select(*[replaced.alias(c) if c == text else F.col(f"{ROW}.`{c}`") for c in kept],
+                      number.alias(count))

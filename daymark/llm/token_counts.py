@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymark.llm.batches import by_bytes
+from daymark.llm.names import others
 
 SLICE_BYTES = 1 << 20
 #: Parts whose lengths a task remembers between slices, the first ones it meets; the longest of them.
@@ -64,7 +65,7 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", limit: int = 51
     The text itself is not returned.
     """
     made = {"n_bytes": T.LongType(), "n_tokens": T.LongType(), "over_limit": T.BooleanType()}
-    kept = [c for c in docs.columns if c not in (*made, text)]
+    kept = others(docs, (*made, text))
     given = docs.select(*[F.col(f"`{c}`") for c in kept],
                         F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("n_bytes"))
     schema = T.StructType([*given.drop("n_bytes").schema.fields,

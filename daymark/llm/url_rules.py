@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymark.llm.names import ROW, packed
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Hex digits of the digests that are joined on.
 PREFIX_DIGITS = 8
@@ -85,7 +87,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise: str =
     most = known.agg(F.max(F.size(F.split("rule_host", r"\.", -1))).alias("labels"),
                      F.max(_slashes(F.col("rule_path"))).alias("depth")).first()
     given = pages.select(host(F.col(f"`{url}`")).alias("host"), path(F.col(f"`{url}`")).alias("path"),
-                         *[F.col(f"`{c}`") for c in pages.columns if c not in made])
+                         packed(pages, made))
     found = expressions(given.select("host", "path").distinct(), most.labels or 1, most.depth or 0) \
         .join(known, "prefix") \
         .where((F.col("digest") == F.col("rule_step"))
@@ -96,6 +98,6 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise: str =
         F.struct(F.length("rule"), F.length("rule_host"), F.col("rule_verdict") == "block",
                  "rule_verdict")).alias("best"))
     return given.join(best, ["host", "path"], "left").select(
-        *[F.col(f"`{c}`") for c in pages.columns if c not in made], "host", "path",
+        f"{ROW}.*", "host", "path",
         F.col("best.rule").alias("rule"),
         F.coalesce("best.rule_verdict", F.lit(otherwise)).alias("verdict"))

@@ -23,6 +23,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+_MARKS = _BLANK.copy()
+_MARKS[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -58,10 +60,14 @@ class Slice:
 
 
 class Hasher:
-    """Hashes words of slices; keeps the powers it has computed so far."""
+    """Hashes words of slices; keeps the powers it has computed so far.
 
-    def __init__(self, tails: bool = False):
+    punctuation: ASCII punctuation ends words, as white space does.
+    """
+
+    def __init__(self, tails: bool = False, punctuation: bool = False):
         self.tails = tails
+        self.blank = _MARKS if punctuation else _BLANK
         self.up = self.down = np.zeros(0, dtype=np.uint64)
 
     def slices(self, texts: pa.Array) -> Iterator[Slice]:
@@ -81,7 +87,7 @@ class Hasher:
         size, rows = len(data), len(edges) - 1
         if size > len(self.up):
             self.up, self.down = _powers(_BASE, size + 1), _powers(_INVERSE, size + 1)
-        blank = _BLANK[data]
+        blank = self.blank[data]
         fresh = np.ones(size + 1, dtype=bool)
         fresh[1:] = blank
         fresh[edges] = True
