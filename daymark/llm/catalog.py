@@ -94,7 +94,7 @@ OP3_SQL = f"""
 WITH RECURSIVE sizes AS (SELECT source AS s, sum(coalesce(strlen(text), 0)) AS size
  FROM documents GROUP BY source),
 weighed AS (SELECT s, size, sqrt(CAST(size AS DOUBLE)) AS w FROM sizes WHERE size > 0),
-rates AS (SELECT s, CAST((SELECT sum(size) FROM weighed) AS DOUBLE) * w / (SELECT sum(w) FROM weighed)
+rates AS (SELECT s, CAST((SELECT sum(size) FROM weighed) AS DOUBLE) * w / (SELECT CAST(sum(CAST(w AS DECIMAL(38,12))) AS DOUBLE) FROM weighed)
  / size AS rate FROM weighed),
 parted AS (SELECT s, rate, greatest(1, CAST(ceil(rate / 16.0) AS INTEGER)) AS parts FROM rates),
 term(s, k, p, total) AS (SELECT s, 0, exp(-rate / parts), exp(-rate / parts) FROM parted

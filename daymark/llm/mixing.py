@@ -9,7 +9,8 @@ copy, and ordered by it within partitions, which is a global shuffle.
 
 A null source is a source of its own. A null id hashes like an empty one; rows with the same id get
 the same count. Null and empty texts have size 0 and take part; sources of size 0, and sources
-without a weight, get the rate 0. Columns named like a result are replaced.
+without a weight, get the rate 0. Weights are
+added with twelve decimals. Columns named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -51,7 +52,9 @@ def source_rates(docs: DataFrame, weights: DataFrame | None, power: float = 0.5,
         weighed = sizes.join(given, F.col("s").eqNullSafe(F.col("of")), "left") \
             .select("s", "size", F.greatest(F.coalesce("w", F.lit(0.0)), F.lit(0.0)).alias("w"))
     weighed = weighed.where("size > 0 AND w > 0")
-    whole = weighed.agg(F.sum("w").alias("all_w"), F.sum("size").alias("all_size"))
+    # A sum of decimals, unlike one of doubles, does not depend on the order of its terms.
+    whole = weighed.agg(F.sum(F.col("w").cast("decimal(38,12)")).cast("double").alias("all_w"),
+                        F.sum("size").alias("all_size"))
     goal = F.lit(float(total)) if total is not None else F.col("all_size").cast("double")
     rates = weighed.crossJoin(F.broadcast(whole)).select(
         "s", (goal * F.col("w") / F.col("all_w") / F.col("size")).alias("rate"))
