@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 
+from pyspark.sql import functions as F
 
 from daymark.catalog.base import SPLITS, Tables, query
 from daymark.operators import features
@@ -155,19 +157,24 @@ def _(t: Tables):
     return features.split_checks(split(t))
 
 
+_REMOVED = ("(SELECT COUNT(*) FROM feats) AS source_rows, "
+            "(SELECT COUNT(*) FROM feats) - (SELECT COUNT(*) FROM complete) "
+            "AS history_or_target_rows_removed, (SELECT COUNT(*) FROM complete) - "
+            "(SELECT COUNT(*) FROM ready) AS target_boundary_rows_removed, "
+            "(SELECT COUNT(*) FROM ready) AS ml_ready_rows")
+
+
 @query("split_metadata",
        f"{FEATS} SELECT split, COUNT(*) AS rows, MAX(observation_date) AS feature_end, "
-       f"MAX(target_date) AS target_end FROM ({split_sql('ready', 'target_date')}) GROUP BY split")
+       f"MAX(target_date) AS target_end, {_REMOVED}, '{'|'.join(AVAILABILITY.predictors)}' "
+       f"AS predictors, '{'|'.join(AVAILABILITY.audit)}' AS excluded "
+       f"FROM ({split_sql('ready', 'target_date')}) GROUP BY split")
 def _(t: Tables):
-    return features.split_metadata(split(t))
+    removed = features.removal_counts(features.create_features(mart(t)), splits=SPLITS)
+    return features.split_metadata(split(t), removed)
 
 
-@query("removal_counts",
-       f"{FEATS} SELECT (SELECT COUNT(*) FROM feats) AS source_rows, "
-       "(SELECT COUNT(*) FROM feats) - (SELECT COUNT(*) FROM complete) "
-       "AS history_or_target_rows_removed, (SELECT COUNT(*) FROM complete) - "
-       "(SELECT COUNT(*) FROM ready) AS target_boundary_rows_removed, "
-       "(SELECT COUNT(*) FROM ready) AS ml_ready_rows")
+@query("removal_counts", f"{FEATS} SELECT {_REMOVED}")
 def _(t: Tables):
     return features.removal_counts(features.create_features(mart(t)), splits=SPLITS)
 
@@ -193,8 +200,17 @@ def _(t: Tables):
         features.removal_counts(features.create_features(mart(t)), splits=SPLITS))
 
 
+LEAKING = replace(AVAILABILITY, lags=(7, 14, 30))
+
+
 @query("leakage_probe",
-       "SELECT DISTINCT location AS location_name, source AS source_name, "
-       "DATE '1998-01-10' AS issue_date, true AS unchanged FROM w1 WHERE date = DATE '1998-01-10'")
+       "SELECT DISTINCT location AS location_name, source AS source_name, date AS issue_date, "
+       "plan, plan = 'available' AS unchanged FROM w1, (VALUES ('available'), ('leaking')) p(plan) "
+       "WHERE date IN (DATE '1998-01-10', DATE '2000-12-31')")
 def _(t: Tables):
-    return features.leakage_probe(mart(t), "1998-01-10")
+    """Two issue dates, with a plan that waits for the readings and one that is a day too early."""
+    dates = ["1998-01-10", "2000-12-31"]
+    parts = [features.leakage_probe(mart(t), dates, plan, delay=AVAILABILITY.delay)
+             .withColumn("plan", F.lit(name))
+             for name, plan in (("available", AVAILABILITY), ("leaking", LEAKING))]
+    return parts[0].unionByName(parts[1])

@@ -148,11 +148,10 @@ def _(t: Tables):
     return profiling.profile_location_counts(t.w2)
 
 
-@query("profile_annual_counts",
-       "SELECT CAST(year(date) AS INTEGER) AS year, NULLIF(COUNT(*) FILTER (location = 'F'), 0) "
-       "AS F, NULLIF(COUNT(*) FILTER (location = 'O'), 0) AS O FROM w1 GROUP BY 1")
+@query("profile_annual_counts", "SELECT CAST(year(date) AS INTEGER) AS year, location, "
+       "COUNT(*) AS rows FROM w2 WHERE location IS NOT NULL GROUP BY ALL")
 def _(t: Tables):
-    return profiling.profile_annual_counts(t.w1, ["F", "O"])
+    return profiling.profile_annual_counts(t.w2, LAYOUT)
 
 
 def _histogram(measure: str, bins: int) -> str:
@@ -291,11 +290,10 @@ def _(t: Tables):
 
 
 @query("profile_monthly_rain_matrix",
-       "SELECT CAST(month(date) AS INTEGER) AS month, "
-       "AVG(CASE WHEN location = 'F' THEN prectotcorr END) AS F, "
-       "AVG(CASE WHEN location = 'O' THEN prectotcorr END) AS O FROM w1 GROUP BY 1", "F O")
+       "SELECT CAST(month(date) AS INTEGER) AS month, location, AVG(prectotcorr) AS mean_rain "
+       "FROM w2 WHERE location IS NOT NULL GROUP BY ALL", "mean_rain")
 def _(t: Tables):
-    return profiling.profile_monthly_rain_matrix(t.w1, ["F", "O"])
+    return profiling.profile_monthly_rain_matrix(t.w2, LAYOUT)
 
 
 @query("profile_location_stats",

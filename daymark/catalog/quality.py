@@ -94,6 +94,23 @@ def _(t: Tables):
     return quarantine.quality_gate(quarantine.accounting(coded(t)))
 
 
+@query("quality_gate_with_rules",
+       f"""WITH {CODED}, acc AS ({_ACCOUNTING}), clean AS (SELECT rows_loaded AS rows_read, rows_loaded,
+ CAST(0 AS BIGINT) AS rows_rejected FROM acc)
+SELECT 'rejected' AS pair, *, 'FAIL' AS overall_status,
+ 'rows were rejected; downstream refresh is blocked' AS reason FROM acc
+UNION ALL SELECT 'rules fail', *, 'FAIL', NULL FROM clean UNION ALL SELECT 'clean', *, 'PASS', NULL FROM clean""")
+def _(t: Tables):
+    """Rejected rows block whatever the rules say; without them the rules decide."""
+    counts = quarantine.accounting(coded(t))
+    clean = counts.select(F.col("rows_loaded").alias("rows_read"), "rows_loaded",
+                          F.lit(0).cast("long").alias("rows_rejected"))
+    passed, failed = quality.quality_overall(t.w2, LAYOUT), quality.quality_overall(t.d1, LAYOUT)
+    parts = [quarantine.quality_gate(c, o).withColumn("pair", F.lit(n)) for n, c, o in (
+        ("rejected", counts, passed), ("rules fail", clean, failed), ("clean", clean, passed))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("quarantine_write",
        f"""WITH {CODED}, acc AS ({_ACCOUNTING}) SELECT rows_rejected AS rejected_rows_written,
  *, true AS ok FROM acc""")

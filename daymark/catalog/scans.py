@@ -19,7 +19,6 @@ from daymark.sources import payloads, publish, tables
 SOURCE = "PROVIDER_A"
 VERIFIED_AT = "2024-01-31 00:00:00"
 W2_SQL = f"SELECT {WIDE_COLUMNS} FROM w2"
-W1_SQL = f"SELECT {WIDE_COLUMNS} FROM w1"
 
 
 @query("read_wide_csv", W2_SQL, WIDE_DOUBLES)
@@ -150,6 +149,27 @@ def manifest_of(t: Tables, path: str) -> tuple[DataFrame, DataFrame]:
     return entries, digests.drop("location", "year")
 
 
+@query("ingest_checks",
+       """WITH p AS (SELECT DISTINCT location, CAST(year(date) AS INTEGER) AS year FROM w1)
+SELECT "check", CAST(expected AS BIGINT) AS expected, actual, expected = actual AS ok FROM (
+ SELECT 'has payloads' AS "check", 1 AS expected, LEAST(COUNT(*), 1) AS actual FROM p
+ UNION ALL SELECT 'without properties', 0, COUNT(*) FILTER (year = 1996) FROM p
+ UNION ALL SELECT 'missing variables', 0, COUNT(*) FILTER (year = 1997) FROM p
+ UNION ALL SELECT 'keys without a point', 0, COUNT(DISTINCT location) FILTER (location = 'O') FROM p
+ UNION ALL SELECT 'keys with several points', 0, COUNT(DISTINCT location) FILTER (location = 'F') FROM p
+ UNION ALL SELECT 'files without a payload', 0, COUNT(*) FILTER (year = 1998) FROM p)""")
+def _(t: Tables):
+    """Payloads without properties or variables, files without payloads, points that do not fit."""
+    path = write_payloads(t)
+    read = payloads.read_payloads(t.spark, path).filter(F.col("year") != 1998)
+    kept = F.map_filter("properties.parameter", lambda code, _: (code != "RH2M") | (F.col("year") != 1997))
+    damaged = read.withColumn("properties", F.when(F.col("year") != 1996, F.struct(kept.alias("parameter"))))
+    known = points(t).filter(F.col("location") != "O")
+    emptied = t.spark.read.format("binaryFile").load(path).filter(F.col("year") == 1998)
+    files = emptied.select(F.col("path").alias("file")).unionByName(read.select("file"))
+    return payloads.payload_checks(damaged, known.unionByName(known), ["location"], LAYOUT, files)
+
+
 @query("raw_file_integrity",
        "SELECT DISTINCT location, CAST(year(date) AS INTEGER) AS year, CASE year(date) "
        "WHEN 1996 THEN 'mismatch' WHEN 1998 THEN 'missing' ELSE 'ok' END AS status FROM w1")
@@ -184,10 +204,14 @@ def _(t: Tables):
     return manifests.manifest_upsert(old, new).select("request_id", "location", "status")
 
 
-@query("assemble_points", W1_SQL, WIDE_DOUBLES)
+@query("assemble_points", W2_SQL, WIDE_DOUBLES)
 def _(t: Tables):
-    frames = [t.w1.filter(F.col("location") == p) for p in ("F", "O")]
-    return tables.assemble_points(frames)
+    """Tables in several folders, dealt out by a hash of the location."""
+    paths = [scratch_path(t.spark, "points") for _ in range(3)]
+    part = F.pmod(F.crc32("location"), F.lit(3))
+    for i, path in enumerate(paths):
+        tables.write_wide_parquet(t.w2.filter(part == i), path)
+    return tables.assemble_points([tables.read_wide_parquet(t.spark, path) for path in paths])
 
 
 @query("publish_sorted_wide", W2_SQL, WIDE_DOUBLES)

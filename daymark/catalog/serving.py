@@ -89,20 +89,33 @@ def _(t: Tables):
     return serving.refresh_log_upsert(ordered(old), ordered(new), at="at").drop("at")
 
 
+@query("refresh_record",
+       f"""{MONTHLY} SELECT 'mart' AS output_name, TIMESTAMP '{NOW}' AS refreshed_at, COUNT(*) AS rows,
+ MIN(observation_date) AS observation_coverage_start, MAX(observation_date)
+ AS observation_coverage_end, true AS has_digest FROM mart""")
+def _(t: Tables):
+    log = serving.refresh_record(mart(t), "mart", literal_time(NOW))
+    return log.select("output_name", "refreshed_at", "rows", "observation_coverage_start",
+                      "observation_coverage_end", (F.length("logical_sha256") == 64).alias("has_digest"))
+
+
 @query("freshness",
        f"""WITH {ATTEMPTS}, state AS (SELECT output_name,
  ARG_MAX(status, (attempted_at, event_id)) AS last_status,
- MAX(CASE WHEN status = 'SUCCESS' THEN attempted_at END) AS good FROM attempts
+ MAX(CASE WHEN status = 'SUCCESS' THEN attempted_at END) AS good,
+ MAX(CASE WHEN status = 'SUCCESS' THEN CAST(attempted_at AS DATE) END) AS covered FROM attempts
  GROUP BY output_name),
 aged AS (SELECT *, (EPOCH_US(TIMESTAMP '{NOW}') - EPOCH_US(good)) / 3600000000.0 AS age
  FROM state)
 SELECT output_name, CASE WHEN last_status = 'FAILED' THEN 'FAILED_REFRESH'
  WHEN age IS NULL THEN 'UNKNOWN' WHEN age <= 24 THEN 'FRESH' ELSE 'STALE' END AS label,
  age AS refresh_age_hours, CAST(24.0 AS DOUBLE) AS threshold_hours,
- CAST(NULL AS DATE) AS observation_coverage_end FROM aged""",
+ covered AS observation_coverage_end FROM aged""",
        "refresh_age_hours threshold_hours")
 def _(t: Tables):
-    return serving.freshness(attempts(t), literal_time(NOW), tie="event_id")
+    covered = F.when(F.col("status") == "SUCCESS", F.to_date("attempted_at"))
+    return serving.freshness(attempts(t).withColumn("covered", covered), literal_time(NOW),
+                             tie="event_id", coverage="covered")
 
 
 @query("dashboard_rows",

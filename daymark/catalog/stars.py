@@ -62,6 +62,30 @@ def view(t: Tables):
                                  s["dim_variable"], s["dim_source"])
 
 
+@query("load_star_checks",
+       f"""{STAR}, gone AS (SELECT * FROM src WHERE location = 'S3')
+SELECT pair, "check", expected, actual, expected = actual AS ok FROM (
+ SELECT 'whole' AS pair, 'has rows' AS "check", CAST(1 AS BIGINT) AS expected, LEAST(COUNT(*), 1) AS actual FROM src
+ UNION ALL SELECT 'whole', 'facts', COUNT(*) * 7, COUNT(*) * 7 FROM src
+ UNION ALL SELECT 'damaged', 'has rows', 1, LEAST(COUNT(*), 1) FROM src
+ UNION ALL SELECT 'damaged', 'facts', COUNT(*) * 7, COUNT(*) * 7 - (SELECT COUNT(*) * 7 FROM gone) FROM src
+ UNION ALL SELECT 'damaged', 'rows without a location', 0, COUNT(*) FROM gone
+ UNION ALL SELECT 'whole', 'rows without a location', 0, 0
+ UNION ALL SELECT p, c, 0, 0 FROM (VALUES ('whole'), ('damaged')) a(p), (VALUES
+  ('rows without a date'), ('rows without a source'), ('unknown variables')) b(c))""")
+def _(t: Tables):
+    """A batch whose readings all become facts, and one with rows that lost their location."""
+    s = tables(t)
+    damaged = t.w2.withColumn("location", F.when(F.col("location") != "S3", F.col("location")))
+    parts = []
+    for name, wide in (("whole", t.w2), ("damaged", damaged)):
+        long = star.wide_to_long(wide, LAYOUT)
+        matched = star.fact_dim_lookup(long, s["dim_date"], s["dim_location"], s["dim_variable"],
+                                       s["dim_source"], LAYOUT)
+        parts.append(star.load_checks(wide, long, matched, LAYOUT).withColumn("pair", F.lit(name)))
+    return parts[0].unionByName(parts[1])
+
+
 def incoming(t: Tables, s=None):
     s = s or tables(t)
     return star.fact_dim_lookup(star.wide_to_long(t.w2, LAYOUT), s["dim_date"],
@@ -84,6 +108,25 @@ def _(t: Tables):
     return star.dim_variable(star.wide_to_long(t.w2, LAYOUT))
 
 
+@query("dim_variable_states",
+       f"""{STAR} SELECT 'known' AS state, variable_code, unit FROM dv WHERE variable_code IN
+ (SELECT variable_code FROM lg) UNION ALL SELECT 'repaired', variable_code, unit FROM dv
+ WHERE variable_code IN (SELECT variable_code FROM lg)
+ UNION ALL SELECT 'unknown', 'SNOW', NULL""")
+def _(t: Tables):
+    """Known codes, stored units after repair of a wrong label, and codes not in the catalogue."""
+    long = star.wide_to_long(t.w2, LAYOUT)
+    more = long.unionByName(long.filter(F.col("location") == "S1").withColumn("variable_code", F.lit("SNOW")))
+    known = star.dim_variable(more)
+    wrong = known.withColumn("unit", F.when(F.col("variable_code") == "ALLSKY_SFC_SW_DWN", "W/m2")
+                             .otherwise(F.col("unit")))
+    parts = [known.select(F.lit("known").alias("state"), "variable_code", "unit"),
+             star.repair_units(wrong).select(F.lit("repaired").alias("state"), "variable_code", "unit"),
+             star.unknown_variables(more).select(F.lit("unknown").alias("state"), "variable_code",
+                                                 F.lit(None).cast("string").alias("unit"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("dim_source", f"{STAR} SELECT * FROM ds")
 def _(t: Tables):
     return star.dim_source(t.w2, LAYOUT, SOURCES)
@@ -152,18 +195,24 @@ def _(t: Tables):
 
 
 _DAMAGE = """bad AS (SELECT * FROM fo UNION ALL SELECT * FROM fo WHERE date_id = 19970101),
-short AS (SELECT * FROM dl WHERE location_name <> 'S3')"""
+short AS (SELECT * FROM dl WHERE location_name <> 'S3'),
+flags AS (SELECT observation_id * 2 + rule AS quality_flag_id,
+ CASE WHEN observation_id % 1000 = 1 THEN -observation_id ELSE observation_id END AS observation_id,
+ CASE WHEN rule = 0 THEN 'rule_0' END AS rule_name FROM fo, (VALUES (0), (1)) r(rule)
+ WHERE observation_id % 100 = 1)"""
 _UNIQUE = [("dim_location", "short", "location_id"), ("dim_location", "short", "location_name"),
            ("dim_date", "dd", "date_id"), ("dim_date", "dd", "full_date"),
            ("dim_variable", "dv", "variable_id"), ("dim_variable", "dv", "variable_code"),
            ("dim_source", "ds", "source_id"), ("dim_source", "ds", "source_name"),
            ("fact_observation", "bad", "observation_id"),
-           ("fact_observation", "bad", "date_id, location_id, variable_id, source_id")]
+           ("fact_observation", "bad", "date_id, location_id, variable_id, source_id"),
+           ("fact_quality_flag", "flags", "quality_flag_id")]
 _REQUIRED = [("dim_location", "short", "location_name latitude longitude"),
              ("dim_date", "dd", "full_date year quarter month month_name day day_of_year"),
              ("dim_variable", "dv", "variable_code variable_name"),
              ("dim_source", "ds", "source_name"),
-             ("fact_observation", "bad", "date_id location_id variable_id source_id")]
+             ("fact_observation", "bad", "date_id location_id variable_id source_id"),
+             ("fact_quality_flag", "flags", "observation_id rule_name")]
 _REFERENCES = [("date_id", "dd", "dim_date"), ("location_id", "short", "dim_location"),
                ("variable_id", "dv", "dim_variable"), ("source_id", "ds", "dim_source")]
 _AUDIT = " UNION ALL ".join(
@@ -172,7 +221,9 @@ _AUDIT = " UNION ALL ".join(
     + [f"SELECT 'not null {n}.{c}', COUNT(*) - COUNT({c}) FROM {q}"
        for n, q, cs in _REQUIRED for c in cs.split()]
     + [f"SELECT 'reference fact_observation.{c} -> {n}', COUNT(*) FROM bad WHERE {c} NOT IN "
-       f"(SELECT {c} FROM {q})" for c, q, n in _REFERENCES])
+       f"(SELECT {c} FROM {q})" for c, q, n in _REFERENCES]
+    + ["SELECT 'reference fact_quality_flag.observation_id -> fact_observation', COUNT(*) FROM flags "
+       "WHERE observation_id < 0"])
 
 
 @query("constraint_audit", f"{STAR}, {_DAMAGE} {_AUDIT}")
@@ -181,6 +232,13 @@ def _(t: Tables):
     facts = s["fact_observation"]
     s["fact_observation"] = facts.unionByName(facts.filter(F.col("date_id") == 19970101))
     s["dim_location"] = s["dim_location"].filter(F.col("location_name") != "S3")
+    # Flags of two rules; every tenth names a fact that is not there, one rule has no name.
+    fact = F.col("observation_id")
+    s["fact_quality_flag"] = facts.filter(fact % 100 == 1).select(
+        F.when(fact % 1000 == 1, -fact).otherwise(fact).alias("observation_id"), fact.alias("own"),
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("rule")).select(
+        (F.col("own") * 2 + F.col("rule")).alias("quality_flag_id"), "observation_id",
+        F.when(F.col("rule") == 0, "rule_0").alias("rule_name"))
     return star.constraint_audit(s)
 
 

@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Number of most frequent keys handled by broadcast in `mark_repeated`.
-HOT_KEYS = 1000
-SPREAD = 1024
-
 
 def repeated_keys(df: DataFrame, keys: Sequence[str], count: str = "copies") -> DataFrame:
     """Keys held by more than one row, with the number of rows; nulls are equal."""
@@ -28,28 +24,17 @@ def mark_repeated(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Add a flag that is true on every row whose key occurs more than once.
 
     A window count would bring all copies of a key into one task.  Here the
-    counts are combined on the map side first.  The `HOT_KEYS` most frequent
-    keys, a list of fixed length, are looked up by broadcast; their rows then
-    carry a spread value that keeps them apart in the second, shuffled lookup,
-    which settles all other keys.
+    counts are combined on the map side, and only repeated keys, one row each,
+    meet the rows in a left join.  Where that join has to shuffle, adaptive
+    execution splits the rows of a frequent key over several tasks, each with
+    the key's one row; the work of a task does not depend on how many keys are
+    frequent.
     """
     counts = repeated_keys(df, keys, "_copies")
     named = {k: f"_k{i}" for i, k in enumerate(keys)}
-    renamed = counts.select([F.col(k).alias(v) for k, v in named.items()] + ["_copies"])
-    hot = (renamed.orderBy(F.desc("_copies")).limit(HOT_KEYS)
-           .select(*named.values(), F.lit(True).alias("_hot")))
-    on_hot = F.lit(True)
-    for key, alias in named.items():
-        on_hot = on_hot & df[key].eqNullSafe(hot[alias])
-    flagged = (df.join(F.broadcast(hot), on_hot, "left").drop(*named.values())
-               .withColumn("_spread", F.when(
-                   F.col("_hot"), F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)) + 1)
-                   .otherwise(F.lit(0)).cast("long")))
-    rest = renamed.select(*named.values(), F.lit(0).cast("long").alias("_s"),
-                          F.lit(True).alias("_rest"))
-    on_rest = flagged["_spread"] == rest["_s"]
+    known = counts.select(*[F.col(k).alias(v) for k, v in named.items()], F.lit(True).alias("_again"))
+    same = F.lit(True)
     for key, alias in named.items():
-        on_rest = on_rest & flagged[key].eqNullSafe(rest[alias])
-    joined = flagged.join(rest, on_rest, "left")
-    return (joined.withColumn(name, F.coalesce("_hot", "_rest", F.lit(False)))
-            .drop(*named.values(), "_s", "_rest", "_hot", "_spread"))
+        same = same & df[key].eqNullSafe(known[alias])
+    return (df.join(known, same, "left").withColumn(name, F.coalesce("_again", F.lit(False)))
+            .drop(*named.values(), "_again"))

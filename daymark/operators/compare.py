@@ -16,35 +16,6 @@ def _apart(left: Column, right: Column, tolerance: float) -> Column:
     return ~(both_missing | F.coalesce(F.abs(left - right) <= tolerance, F.lit(False)))
 
 
-def tolerant_compare_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                          value: str, tolerance: float = 1e-9) -> DataFrame:
-    """One row: are the key sets equal, and how far apart are the values at most.
-
-    Both sides are grouped first, so that repeated keys cannot multiply in the join.
-    """
-    def side(df: DataFrame, mark: str) -> DataFrame:
-        return df.groupBy(*keys).agg(
-            F.count("*").alias(f"_n{mark}"), F.min(value).alias(f"_low{mark}"),
-            F.max(value).alias(f"_high{mark}"))
-
-    a, b = side(left, "a"), side(right, "b")
-    both = a.alias("a").join(b.alias("b"), _same_keys(keys), "full_outer")
-    gap = F.greatest(F.abs(F.col("_lowa") - F.col("_lowb")),
-                     F.abs(F.col("_higha") - F.col("_highb")))
-    differs = _apart(F.col("_lowa"), F.col("_lowb"), tolerance) \
-        | _apart(F.col("_higha"), F.col("_highb"), tolerance)
-    result = both.agg(
-        F.count("_na").alias("left_keys"), F.count("_nb").alias("right_keys"),
-        F.count_if(F.col("_na").isNull() | F.col("_nb").isNull()).alias("unmatched_keys"),
-        F.count_if(F.col("_na") != F.col("_nb")).alias("count_mismatches"),
-        F.max(gap).alias("max_abs_difference"),
-        F.count_if(F.col("_na").isNotNull() & F.col("_nb").isNotNull() & differs)
-        .alias("value_mismatches"))
-    clean = (F.col("unmatched_keys") == 0) & (F.col("count_mismatches") == 0) \
-        & (F.col("value_mismatches") == 0)
-    return result.withColumn("equal", clean)
-
-
 def _same_keys(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -52,12 +23,79 @@ def _same_keys(keys: Sequence[str]) -> Column:
     return condition
 
 
+def _counted(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Each distinct row with how often the sides hold it, `_na` and `_nb`."""
+    signed = left.withColumns({"_a": F.lit(1), "_b": F.lit(0)}).unionByName(
+        right.withColumns({"_a": F.lit(0), "_b": F.lit(1)}))
+    return signed.groupBy(*left.columns).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+
+
+def _paired(counted: DataFrame, exact: Sequence[str], numbers: Sequence[str],
+            tolerance: float) -> DataFrame:
+    """Rows of both sides, `a` and `b`, side by side; a missing partner leaves `_n` null.
+
+    Groups of equal exact columns that the sides hold alike cancel out.  The rows
+    of the other groups, copies included, are paired in the order of their
+    numbers; numbers that follow each other within the tolerance count as one for
+    the order of the next number, so a move below it does not decide which rows
+    meet.
+    """
+    open_ = counted.filter(F.col("_na") != F.col("_nb")).select(*exact).distinct()
+    rest = counted.alias("a").join(open_.alias("b"), _same_keys(exact), "left_semi")
+    for i, c in enumerate(numbers):
+        near = Window.partitionBy(*exact).orderBy(c)
+        apart = F.coalesce(F.col(c) - F.lag(c).over(near) > tolerance, F.lit(False))
+        rest = rest.withColumn(f"_apart{i}", apart.cast("int")) \
+            .withColumn(f"_group{i}", F.sum(f"_apart{i}").over(near))
+    order = Window.partitionBy(*exact).orderBy(
+        *[f"_group{i}" for i in range(len(numbers))], *numbers, F.lit(1))
+
+    def side(count: str) -> DataFrame:
+        held = rest.filter(F.col(count) > 0).select(
+            *exact, *numbers, *[f"_group{i}" for i in range(len(numbers))],
+            F.explode(F.sequence(F.lit(1).cast("long"), F.col(count))).alias("_copy"))
+        return held.select(*exact, *numbers, F.row_number().over(order).alias("_n"))
+
+    return side("_na").alias("a").join(side("_nb").alias("b"), _same_keys([*exact, "_n"]),
+                                       "full_outer")
+
+
+def tolerant_compare_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                          value: str, tolerance: float = 1e-9) -> DataFrame:
+    """One row: are the key sets equal, and how far apart are the values at most.
+
+    A key may occur several times: its values are compared position by position
+    in sorted order, and different numbers of them are a mismatch of counts.
+    """
+    counted = _counted(left.select(*keys, value), right.select(*keys, value))
+    by_key = counted.groupBy(*keys).agg(F.sum("_na").alias("_na"), F.sum("_nb").alias("_nb")).agg(
+        F.count_if(F.col("_na") > 0).alias("left_keys"),
+        F.count_if(F.col("_nb") > 0).alias("right_keys"),
+        F.count_if((F.col("_na") == 0) | (F.col("_nb") == 0)).alias("unmatched_keys"),
+        F.count_if((F.col("_na") > 0) & (F.col("_nb") > 0) & (F.col("_na") != F.col("_nb")))
+        .alias("count_mismatches"))
+    same = counted.agg(F.max(F.when((F.col("_na") > 0) & (F.col("_nb") > 0)
+                                    & F.col(value).isNotNull(), 0.0)).alias("_none"))
+    x, y = F.col(f"a.{value}"), F.col(f"b.{value}")
+    met = F.col("a._n").isNotNull() & F.col("b._n").isNotNull()
+    apart = _paired(counted, keys, [value], tolerance).agg(
+        F.max(F.abs(x - y)).alias("_gap"),
+        F.count_if(met & _apart(x, y, tolerance)).alias("value_mismatches"))
+    clean = F.lit(True)
+    for part in ("unmatched_keys", "count_mismatches", "value_mismatches"):
+        clean = clean & (F.col(part) == 0)
+    return by_key.crossJoin(same).crossJoin(apart).select(
+        "left_keys", "right_keys", "unmatched_keys", "count_mismatches",
+        F.greatest("_gap", "_none").alias("max_abs_difference"), "value_mismatches",
+        clean.alias("equal"))
+
+
 def tables_equal(left: DataFrame, right: DataFrame, keys: Sequence[str],
                  tolerance: float = 1e-12) -> DataFrame:
     """One row: same columns, row count and rows, numbers within the tolerance.
 
-    Rows that occur equally often on both sides cancel out in one grouped pass.
-    Only what is left is paired up, in value order within its key.
+    Rows with the same key and the same other exact columns are paired up in the
+    order of their numbers; see `_paired`.
     """
     same_columns = left.columns == right.columns
     counts = left.agg(F.count("*").alias("left_rows")).crossJoin(
@@ -66,29 +104,14 @@ def tables_equal(left: DataFrame, right: DataFrame, keys: Sequence[str],
         return counts.select(
             F.lit(False).alias("same_columns"), "left_rows", "right_rows",
             F.lit(None).cast("long").alias("differing_rows"), F.lit(False).alias("equal"))
-    columns = left.columns
-    signed = left.withColumn("_side", F.lit(1)).unionByName(
-        right.withColumn("_side", F.lit(-1)))
-    rest = signed.groupBy(*columns).agg(F.sum("_side").alias("_surplus")) \
-        .filter(F.col("_surplus") != 0)
     kinds = dict(left.dtypes)
-    values = [c for c in columns if c not in keys]
-    order = Window.partitionBy(*keys).orderBy(*(values or keys))
-
-    def side(condition: Column) -> DataFrame:
-        return rest.filter(condition).withColumn("_n", F.row_number().over(order)) \
-            .withColumn("_surplus", F.abs("_surplus"))
-
-    a, b = side(F.col("_surplus") > 0).alias("a"), side(F.col("_surplus") < 0).alias("b")
-    differs = ~F.col("a._surplus").eqNullSafe(F.col("b._surplus"))
-    for c in values:
-        x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
-        differs = differs | (_apart(x, y, tolerance) if kinds[c] in ("double", "float")
-                             else ~x.eqNullSafe(y))
-    paired = a.join(b, _same_keys([*keys, "_n"]), "full_outer")
-    bad = paired.agg(F.coalesce(F.sum(F.when(differs, F.greatest(
-        F.coalesce("a._surplus", F.lit(0)), F.coalesce("b._surplus", F.lit(0))))), F.lit(0))
-        .alias("differing_rows"))
+    numbers = [c for c in left.columns if c not in keys and kinds[c] in ("double", "float")]
+    exact = [c for c in left.columns if c not in numbers]
+    differs = F.col("a._n").isNull() | F.col("b._n").isNull()
+    for c in numbers:
+        differs = differs | _apart(F.col(f"a.{c}"), F.col(f"b.{c}"), tolerance)
+    bad = _paired(_counted(left, right), exact, numbers, tolerance).agg(
+        F.count_if(differs).alias("differing_rows"))
     return counts.crossJoin(bad).select(
         F.lit(True).alias("same_columns"), "left_rows", "right_rows", "differing_rows",
         ((F.col("left_rows") == F.col("right_rows")) & (F.col("differing_rows") == 0))

@@ -231,10 +231,11 @@ def ml_ready(mart: DataFrame, plan: FeaturePlan = AVAILABILITY,
 
 
 def temporal_split(features: DataFrame, splits: SplitPlan = SplitPlan(),
-                   by_target: bool = True) -> DataFrame:
-    """Rows of the three splits with a `split` column; rows of none drop out.
+                   by_target: bool = True, keep_others: bool = False) -> DataFrame:
+    """Rows of the three splits with a `split` column.
 
     One pass marks all three; write with partitionBy("split") or filter on it.
+    Rows of no split drop out, or keep a null split with `keep_others`.
     """
     day, target = F.col("observation_date"), F.col("target_date")
 
@@ -248,7 +249,8 @@ def temporal_split(features: DataFrame, splits: SplitPlan = SplitPlan(),
             .when((day >= bound(splits.validation_start)) & inside(splits.validation_end),
                   "validation")
             .when((day >= bound(splits.test_start)) & inside(splits.test_end), "test"))
-    return features.withColumn("split", name).filter(F.col("split").isNotNull())
+    marked = features.withColumn("split", name)
+    return marked if keep_others else marked.filter(F.col("split").isNotNull())
 
 
 SPLITS = ("train", "validation", "test")
@@ -277,11 +279,22 @@ def split_checks(split: DataFrame, delay: int = AVAILABILITY.delay) -> DataFrame
     return check_rows(facts, rows)
 
 
-def split_metadata(split: DataFrame) -> DataFrame:
-    """Rows, last feature day and last target day per split."""
-    return split.groupBy("split").agg(
+def split_metadata(split: DataFrame, removed: DataFrame | None = None,
+                   plan: FeaturePlan = AVAILABILITY) -> DataFrame:
+    """Rows, last feature day and last target day per split.
+
+    With `removed`, the row of `removal_counts`, also the counts of what was taken
+    out, the allowed predictors and the audit columns that are none.
+    """
+    rows = split.groupBy("split").agg(
         F.count("*").alias("rows"), F.max("observation_date").alias("feature_end"),
         F.max("target_date").alias("target_end"))
+    if removed is None:
+        return rows
+    # One row.
+    return rows.crossJoin(F.broadcast(removed)).withColumns({
+        "predictors": F.lit("|".join(plan.predictors)),
+        "excluded": F.lit("|".join(plan.audit))})
 
 
 def retention_rate(counts: DataFrame) -> DataFrame:
@@ -292,27 +305,32 @@ def retention_rate(counts: DataFrame) -> DataFrame:
                          .alias("retention_rate"))
 
 
-def leakage_probe(mart: DataFrame, issue_date: str, plan: FeaturePlan = AVAILABILITY,
-                  layout: Layout = MART, replacement: float = 99999.0) -> DataFrame:
-    """Per series: whether features at the issue date ignore all readings that are too new.
+def leakage_probe(mart: DataFrame, issue_dates: str | Sequence[str],
+                  plan: FeaturePlan = AVAILABILITY, layout: Layout = MART,
+                  replacement: float = 99999.0, delay: int | None = None) -> DataFrame:
+    """Per series and issue date: whether the features ignore all readings that are too new.
 
-    Readings after the newest usable day are replaced; the features must not move.
+    For each issue date the readings after its newest usable day are replaced on
+    the whole series, features are built on the whole series, and those of the
+    issue date must not move.  `delay` is the age that readings must have, by
+    default the plan's own; with it a plan that reads newer ones is found out.
     """
-    limit = F.date_sub(F.lit(issue_date).cast("date"), plan.delay)
+    dates = [issue_dates] if isinstance(issue_dates, str) else issue_dates
+    age = plan.delay if delay is None else delay
     measures = dict.fromkeys([layout.precipitation, *[r.measure for r in plan.rolling]])
-    changed = mart.withColumns({m: F.when(F.col(layout.date) > limit, F.lit(replacement))
-                               .otherwise(F.col(m)) for m in measures})
-
-    def at_issue(df: DataFrame) -> DataFrame:
-        # Only days up to the issue date and within reach can matter.
-        window = df.filter(F.col(layout.date).between(
-            F.date_sub(F.lit(issue_date).cast("date"), plan.reach + 1),
-            F.date_add(F.lit(issue_date).cast("date"), 1)))
-        made = create_features(window, plan, layout)
-        return made.filter(F.col("observation_date") == F.lit(issue_date).cast("date"))
-
-    kept = at_issue(mart).select(*plan.series, F.struct(*plan.predictors).alias("_a"))
-    probed = at_issue(changed).select(*plan.series, F.struct(*plan.predictors).alias("_b"))
-    return kept.join(probed, list(plan.series)).select(
-        *plan.series, F.lit(issue_date).cast("date").alias("issue_date"),
-        F.col("_a").eqNullSafe(F.col("_b")).alias("unchanged"))
+    found = None
+    for text in dates:
+        issue = F.lit(text).cast("date")
+        late = F.col(layout.date) > F.date_sub(issue, age)
+        changed = mart.withColumns({m: F.when(late & F.col(m).isNotNull(), F.lit(replacement) + F.col(m))
+                                   .otherwise(F.col(m)) for m in measures})
+
+        def at_issue(df: DataFrame, name: str) -> DataFrame:
+            return create_features(df, plan, layout).filter(F.col("observation_date") == issue) \
+                .select(*plan.series, F.struct(*plan.predictors).alias(name))
+
+        part = at_issue(mart, "_a").join(at_issue(changed, "_b"), list(plan.series)).select(
+            *plan.series, issue.alias("issue_date"),
+            F.col("_a").eqNullSafe(F.col("_b")).alias("unchanged"))
+        found = part if found is None else found.unionByName(part)
+    return found

@@ -141,12 +141,14 @@ def profile_location_counts(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
             .agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), layout.location))
 
 
-def profile_annual_counts(df: DataFrame, locations: Sequence[str],
-                          layout: Layout = WIDE) -> DataFrame:
-    """Year by location matrix of row counts for the listed locations."""
-    return (df.filter(F.col(layout.location).isin(*locations))
-            .groupBy(F.year(layout.date).alias("year"))
-            .pivot(layout.location, list(locations)).agg(F.count(F.lit(1))))
+def profile_annual_counts(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
+    """Row counts of every year and location that occur together, in long form.
+
+    A matrix needs a column per location and so a list of them; in long form no
+    location is left out, however many there are.
+    """
+    return df.filter(F.col(layout.location).isNotNull()) \
+        .groupBy(F.year(layout.date).alias("year"), layout.location).agg(F.count("*").alias("rows"))
 
 
 def profile_sources(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
@@ -365,12 +367,11 @@ def profile_monthly_climatology(df: DataFrame, layout: Layout = WIDE,
         *[F.round(F.avg(m), digits).alias(m) for m in layout.measures])
 
 
-def profile_monthly_rain_matrix(df: DataFrame, locations: Sequence[str],
-                                layout: Layout = WIDE) -> DataFrame:
-    """Calendar month by location matrix of mean rain for the listed locations."""
-    return (df.filter(F.col(layout.location).isin(*locations))
-            .groupBy(F.month(layout.date).alias("month"))
-            .pivot(layout.location, list(locations)).agg(F.avg(layout.precipitation)))
+def profile_monthly_rain_matrix(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
+    """Mean rain of every calendar month and location, in long form."""
+    return df.filter(F.col(layout.location).isNotNull()) \
+        .groupBy(F.month(layout.date).alias("month"), layout.location) \
+        .agg(F.avg(layout.precipitation).alias("mean_rain"))
 
 
 def profile_location_stats(df: DataFrame, layout: Layout = WIDE) -> DataFrame:

@@ -35,9 +35,7 @@ def mart_from_facts(facts: DataFrame, dates: DataFrame, locations: DataFrame,
     point instead of one per reading.
     """
     key = ["date_id", "location_id", "source_id"]
-    # Variables are a fixed list.
-    coded = facts.join(F.broadcast(variables.select("variable_id", "variable_code")),
-                       "variable_id")
+    coded = facts.join(variables.select("variable_id", "variable_code"), "variable_id")
     rows = coded.groupBy(*key).agg(*[
         F.max(F.when(F.col("variable_code") == code_of(m), F.col("value"))).alias(m)
         for m in measures])

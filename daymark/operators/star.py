@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymark.functions.ids import calendar_ids, range_ids
@@ -12,7 +12,7 @@ from daymark.functions.skew import repeated_keys
 from daymark.functions.storage import pinned
 from daymark.operators.checks import check_rows
 from daymark.operators.quality import beyond, iqr_bounds, long_values
-from daymark.schema import (DEFAULT_COUNTRY, SOURCE_METADATA, VARIABLE_METADATA, WIDE, Layout)
+from daymark.schema import (DEFAULT_COUNTRY, SOURCE_METADATA, VARIABLE_METADATA, WIDE, Layout, code_of)
 
 FACT_KEY = ("date_id", "location_id", "variable_id", "source_id")
 
@@ -148,12 +148,11 @@ def fact_dim_lookup(long: DataFrame, dates: DataFrame, locations: DataFrame,
                     layout: Layout = WIDE) -> DataFrame:
     """Long rows with the ids of their dimension rows; unmatched rows drop out.
 
-    Variables are a fixed list and go by broadcast.  For the other dimensions the
-    planner decides from their measured size; where it has to shuffle, adaptive
-    execution splits the partitions of frequent keys.
+    For every dimension the planner decides from its measured size; where it has
+    to shuffle, adaptive execution splits the partitions of frequent keys.
     """
     return (long
-            .join(F.broadcast(variables.select("variable_id", "variable_code")), "variable_code")
+            .join(variables.select("variable_id", "variable_code"), "variable_code")
             .join(dates.select("date_id", F.col("full_date").alias(layout.date)), layout.date)
             .join(sources.select("source_id", F.col("source_name").alias(layout.source)),
                   layout.source)
@@ -193,8 +192,8 @@ def observation_view(facts: DataFrame, dates: DataFrame, locations: DataFrame,
                      variables: DataFrame, sources: DataFrame) -> DataFrame:
     """Facts with the readable columns of all four dimensions."""
     return (facts
-            .join(F.broadcast(variables.select("variable_id", "variable_code", "variable_name",
-                                               "unit")), "variable_id")
+            .join(variables.select("variable_id", "variable_code", "variable_name", "unit"),
+                  "variable_id")
             .join(dates.select("date_id", F.col("full_date").alias("observation_date"), "year",
                                "quarter", "month", "month_name"), "date_id")
             .join(sources.select("source_id", "source_name"), "source_id")
@@ -223,6 +222,24 @@ def load_reconcile(wide: DataFrame, tables: Mapping[str, DataFrame],
     return rows
 
 
+def load_checks(wide: DataFrame, long: DataFrame, matched: DataFrame,
+                layout: Layout = WIDE) -> DataFrame:
+    """Whether every reading of a batch found its dimension rows, as check rows.
+
+    `matched` are the facts of the batch after the lookup, stored ones included.
+    """
+    one = wide.agg(F.count("*").alias("rows"), *[
+        F.count_if(F.col(c).isNull()).alias(n) for c, n in (
+            (layout.date, "no_date"), (layout.location, "no_location"), (layout.source, "no_source"))])
+    unknown = unknown_variables(long).agg(F.count("*").alias("unknown"))
+    facts = matched.agg(F.count("*").alias("facts"))
+    return check_rows(one.crossJoin(unknown).crossJoin(facts), [
+        ("has rows", "1", "least(rows, 1)"), ("rows without a date", "0", "no_date"),
+        ("rows without a location", "0", "no_location"), ("rows without a source", "0", "no_source"),
+        ("unknown variables", "0", "unknown"),
+        ("facts", f"rows * {len(layout.measures)}", "facts")])
+
+
 def constraint_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Violations of keys, required columns and references of the star schema.
 
@@ -256,7 +273,8 @@ def constraint_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
                               .alias("violations"))
 
     for table, key in unique:
-        if table in tables:
+        # A candidate may still lack its own number.
+        if table in tables and set(key) <= set(tables[table].columns):
             extra = repeated_keys(tables[table], key).agg(
                 F.sum(F.col("copies") - 1).alias("violations"))
             parts.append(named(f"unique {table}({', '.join(key)})", extra))
@@ -282,33 +300,72 @@ def constraint_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def quality_flag_fact(facts: DataFrame, variables: DataFrame, bounds: DataFrame,
-                      flagged_at: Column | None = None) -> DataFrame:
-    """One flag row per fact beyond its variable's bounds; the flag id is the fact's id."""
+                      flagged_at: Column | None = None, rule: int = 0, rules: int = 1) -> DataFrame:
+    """One flag row per fact beyond its variable's bounds.
+
+    `rule` of `rules` numbers the rule that is applied, so that the flags of
+    several rules on one fact have different ids.
+    """
     limits = variables.select("variable_id", "variable_code").join(bounds, "variable_code")
-    # One row of bounds per variable.
-    hits = facts.join(F.broadcast(limits), "variable_id").filter(beyond())
+    hits = facts.join(limits, "variable_id").filter(beyond())
     note = F.when(F.col("value") < F.col("lower_bound"), "below lower bound") \
         .otherwise("above upper bound")
     at = F.current_timestamp() if flagged_at is None else flagged_at
-    return hits.select(F.col("observation_id").alias("quality_flag_id"), "observation_id",
+    return hits.select((F.col("observation_id") * rules + rule).alias("quality_flag_id"), "observation_id",
                        F.concat(F.lit("iqr_flag_"), F.col("variable_code")).alias("rule_name"),
                        F.lit("statistical").alias("flag_type"),
                        F.lit("WARNING").alias("severity"), F.lit(True).alias("flag_value"),
                        at.alias("flagged_at"), note.alias("notes"))
 
 
+def facts_from_wide(wide: DataFrame, tables: Mapping[str, DataFrame], layout: Layout = WIDE,
+                    ingested_at: Column | None = None) -> DataFrame:
+    """The numbered facts of a first load, looked up and numbered before they are unpivoted.
+
+    Dates, locations and sources join, and the numbering sorts, one row per day
+    and point instead of one per reading.  A reading's number follows from its
+    row's place: all readings of earlier rows of other days and points come
+    first, then, within a day and point, variable by variable, the sources in
+    order.
+    """
+    variables = tables["dim_variable"].select("variable_id", "variable_code")
+    rows = (wide
+            .join(tables["dim_date"].select("date_id", F.col("full_date").alias(layout.date)), layout.date)
+            .join(tables["dim_source"].select("source_id", F.col("source_name").alias(layout.source)),
+                  layout.source)
+            .join(tables["dim_location"].select("location_id", F.col("location_name").alias(layout.location)),
+                  layout.location)
+            .select("date_id", "location_id", "source_id", *layout.measures))
+    ranked = calendar_ids(rows, "date_id", "location_id", ["source_id", *layout.measures], "_rank")
+    # The sources of one day and point, a handful of rows.
+    point = Window.partitionBy("date_id", "location_id")
+    placed = ranked.withColumns({"_size": F.count("*").over(point), "_first": F.min("_rank").over(point)})
+    readings = F.array(*[F.struct(F.lit(code_of(m)).alias("variable_code"), F.col(m).cast("double")
+                                  .alias("value")) for m in layout.measures])
+    long = placed.select("date_id", "location_id", "source_id", "_rank", "_size", "_first",
+                         F.inline(readings)).join(variables, "variable_code")
+    count = F.lit(len(layout.measures)).cast("long")
+    number = (F.col("_first") - 1) * count + (F.col("variable_id") - 1) * F.col("_size") \
+        + F.col("_rank") - F.col("_first") + 1
+    at = F.current_timestamp() if ingested_at is None else ingested_at
+    return long.select(number.cast("long").alias("observation_id"), *FACT_KEY, "value",
+                       at.alias("ingested_at"))
+
+
 def build_star(wide: DataFrame, layout: Layout = WIDE, country: str = DEFAULT_COUNTRY,
                source_catalog: Sequence[tuple] = SOURCE_METADATA,
                ingested_at: Column | None = None) -> dict[str, DataFrame]:
-    """First load: all four dimensions and the facts of a wide table."""
+    """First load: all four dimensions and the facts of a wide table.
+
+    Everything is written to the shared folder once; later plans read from there
+    what they need, with their filters and columns.
+    """
     long = wide_to_long(wide, layout)
-    tables = {"dim_location": dim_location(wide, layout, country),
-              "dim_date": dim_date(wide, layout),
-              "dim_variable": dim_variable(long),
-              "dim_source": dim_source(wide, layout, source_catalog)}
-    incoming = fact_dim_lookup(long, tables["dim_date"], tables["dim_location"],
-                               tables["dim_variable"], tables["dim_source"], layout)
-    tables["fact_observation"] = fact_load(incoming, ingested_at=ingested_at)
+    tables = {name: pinned(df, name) for name, df in {
+        "dim_location": dim_location(wide, layout, country), "dim_date": dim_date(wide, layout),
+        "dim_variable": dim_variable(long),
+        "dim_source": dim_source(wide, layout, source_catalog)}.items()}
+    tables["fact_observation"] = pinned(facts_from_wide(wide, tables, layout, ingested_at), "facts")
     return tables
 
 

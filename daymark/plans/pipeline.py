@@ -12,11 +12,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.functions.ids import range_ids
 from daymark.functions.skew import repeated_keys
 from daymark.functions.storage import pinned
 from daymark.operators import features, profiling, quality, quarantine, serving, star
 from daymark.operators.checks import check_rows
 from daymark.schema import DEFAULT_COUNTRY, SOURCE_METADATA, WIDE, Layout
+from daymark.sources import manifest as manifests
 from daymark.sources import payloads, publish, tables
 
 MART = "mart_weather_daily"
@@ -24,14 +26,39 @@ NATURAL_KEYS = {"dim_location": "location_name", "dim_date": "full_date",
                 "dim_variable": "variable_code", "dim_source": "source_name"}
 
 
+def require(checks: DataFrame, what: str) -> None:
+    """Raise when a check does not hold; one short row per check comes to the driver."""
+    failed = [f"{r['check']} (expected {r['expected']}, found {r['actual']})"
+              for r in checks.filter("NOT ok").orderBy("check").collect()]
+    if failed:
+        raise ValueError(f"{what}: {'; '.join(failed)}")
+
+
 def ingest_payloads(spark: SparkSession, raw: str | Sequence[str], points: DataFrame, out: str,
-                    key: Sequence[str] = ("location",), layout: Layout = WIDE) -> DataFrame:
-    """Payloads to the sorted wide table.  Any rejected row is kept aside and stops the run."""
-    read = payloads.read_payloads(spark, raw)
+                    key: Sequence[str] = ("location",), layout: Layout = WIDE,
+                    multi_line: bool = False, manifest: DataFrame | None = None) -> DataFrame:
+    """Payloads to the sorted wide table; whatever would be lost stops the run.
+
+    Checked are the digests of the files where a manifest names them, every
+    payload, its point, and the finished table.  Rejected rows are kept aside,
+    numbered in the order of the table that would have been published.
+    """
+    if manifest is not None:
+        states = manifests.raw_file_integrity(manifest, manifests.file_digests(spark, raw))
+        bad = states.agg(F.count_if(F.col("status") != "ok").alias("bad"))
+        require(check_rows(bad, [("files unlike the manifest", "0", "bad")]), "nothing was read")
+    read = payloads.read_payloads(spark, raw, multi_line)
+    require(payloads.payload_checks(read, points, key, layout, payloads.payload_files(spark, raw)),
+            "nothing was published")
     # Parsed once: the rules, the quarantine and the published table all read it.
     wide = pinned(payloads.payload_to_wide(read, points, key, layout.expected_source, layout))
+    gate = manifests.interim_gate(wide, layout)
+    require(gate.select("check", F.lit(0).cast("long").alias("expected"),
+                        F.coalesce("violations", F.lit(0)).alias("actual"),
+                        (F.coalesce("violations", F.lit(0)) == 0).alias("ok")), "nothing was published")
     text = wide.select(*[F.col(c).cast("string").alias(c) for c in layout.required])
-    numbered = text.withColumn("row_number", F.monotonically_increasing_id())
+    numbered = range_ids(text, list(dict.fromkeys([layout.location, layout.date, *layout.required])),
+                         "row_number")
     coded = quarantine.quarantine_codes(numbered, layout)
     written = quarantine.quarantine_write(coded, f"{out}/quarantine", "row_number", layout)
     rejected = written.first()["rows_rejected"]
@@ -67,7 +94,11 @@ def load_star(wide: DataFrame, root: str, at: datetime, layout: Layout = WIDE,
               source_catalog: Sequence[tuple] = SOURCE_METADATA) -> dict[str, DataFrame]:
     """Add what is new to the star schema under `root`; loading the same rows twice adds none.
 
-    Facts are partitioned by year, so date filters prune whole folders.
+    The batch is reconciled with its facts, and keys, required columns and
+    references are audited, before any fact is added; a difference raises.
+    Facts are partitioned by year, so date filters prune whole folders, and are
+    brought together by year and block of numbers before they are written, so
+    that a task opens few folders.
     """
     spark = wide.sparkSession
     long = star.wide_to_long(wide, layout)
@@ -87,11 +118,16 @@ def load_star(wide: DataFrame, root: str, at: datetime, layout: Layout = WIDE,
         publish.publish_validated(rows, root, name, _no_repeats(key), at)
         dims[name] = publish.current_version(spark, root, name)
 
-    if repeated_keys(wide, [layout.location, layout.date, layout.source]).limit(1).count():
-        raise ValueError("the batch holds several readings for one fact key")
     facts_path = f"{root}/fact_observation"
     incoming = star.fact_dim_lookup(long, dims["dim_date"], dims["dim_location"],
                                     dims["dim_variable"], dims["dim_source"], layout)
+    require(star.load_checks(wide, long, incoming, layout), "no fact was loaded")
+    if repeated_keys(wide, [layout.location, layout.date, layout.source]).limit(1).count():
+        raise ValueError("the batch holds several readings for one fact key")
+    audit = star.constraint_audit({**dims, "fact_observation": incoming})
+    require(audit.select(F.col("constraint").alias("check"), F.lit(0).cast("long").alias("expected"),
+                         F.col("violations").alias("actual"), (F.col("violations") == 0).alias("ok")),
+            "no fact was loaded")
     if publish.path_exists(spark, facts_path):
         # Only the years of this batch can hold the same keys.
         first, last = wide.agg(F.min(F.year(layout.date)), F.max(F.year(layout.date))).first()
@@ -104,6 +140,7 @@ def load_star(wide: DataFrame, root: str, at: datetime, layout: Layout = WIDE,
         stamped = star.fact_load(fresh, ingested_at=F.lit(at.isoformat(sep=" "))
                                  .cast("timestamp"), after=start)
         (stamped.withColumn("year", F.floor(F.col("date_id") / 10000).cast("int"))
+         .hint("rebalance", "year")
          .write.mode("append").partitionBy("year").option("compression", "snappy")
          .parquet(facts_path))
     return {**dims, "fact_observation": spark.read.parquet(facts_path).drop("year")}
@@ -114,28 +151,58 @@ def refresh_serving(schema: dict[str, DataFrame], root: str, at: datetime,
     """Build and publish the daily mart; a failed check keeps the last good version.
 
     Returns the current mart.  `checks` maps a candidate to check rows; the
-    default asks for rows and for unique keys.
+    default asks for a row per day, point and source of the facts, and for unique
+    keys.  The digest, rows and coverage of a good version are added to the
+    refresh log.
     """
+    facts = schema["fact_observation"]
+
     def default(df: DataFrame) -> DataFrame:
-        counts = serving.mart_counts(df, serving.monthly_climate(df))
-        return check_rows(counts, [("has rows", "1", "CAST(rows > 0 AS INT)"),
+        days = facts.select("date_id", "location_id", "source_id").distinct() \
+            .agg(F.count("*").alias("fact_rows"))
+        counts = serving.mart_counts(df, serving.monthly_climate(df)).crossJoin(days)
+        return check_rows(counts, [("has rows", "1", "least(rows, 1)"),
+                                   ("rows of the facts", "fact_rows", "rows"),
                                    ("duplicate_keys", "0", "duplicate_keys")])
 
-    mart = serving.mart_from_facts(schema["fact_observation"], schema["dim_date"],
-                                   schema["dim_location"], schema["dim_variable"],
-                                   schema["dim_source"])
-    publish.publish_validated(mart, root, MART, checks or default, at)
-    return publish.current_version(mart.sparkSession, root, MART)
+    mart = serving.mart_from_facts(facts, schema["dim_date"], schema["dim_location"],
+                                   schema["dim_variable"], schema["dim_source"])
+    spark = mart.sparkSession
+    attempts = publish.publish_validated(mart, root, MART, checks or default, at)
+    current = publish.current_version(spark, root, MART)
+    last = attempts.agg(F.max_by("status", "attempt"), F.max("attempt")).first()
+    if last[0] == "SUCCESS":
+        when = F.lit(at.isoformat(sep=" ")).cast("timestamp")
+        serving.refresh_record(current, MART, when).coalesce(1).write.mode("errorifexists") \
+            .json(f"{root}/refresh_log/attempt={last[1]:08d}")
+    return current
+
+
+def refresh_log(spark: SparkSession, root: str) -> DataFrame:
+    """The stored refresh records, oldest and newest."""
+    return spark.read.schema(
+        "output_name string, refreshed_at timestamp, logical_sha256 string, rows long, "
+        "observation_coverage_start date, observation_coverage_end date") \
+        .option("recursiveFileLookup", True).json(f"{root}/refresh_log")
 
 
 def prepare_features(mart: DataFrame, out: str, splits: features.SplitPlan = features.SplitPlan(),
                      plan: features.FeaturePlan = features.AVAILABILITY) -> DataFrame:
-    """Write the feature rows once, one folder per split, and return the split checks."""
+    """Write all clean feature rows once, one folder per split; return the split checks.
+
+    Rows that lie in no split are kept with a null one.  Beside them goes the
+    metadata: sizes and ends of the splits, what was removed, and the columns
+    that a model may and may not read.
+    """
     spark = mart.sparkSession
-    ready = features.ml_ready(mart, plan, splits)
-    features.temporal_split(ready, splits).write.mode("errorifexists") \
+    made = features.create_features(mart, plan)
+    ready = features.boundary_purge(features.drop_incomplete(made, plan), splits)
+    features.temporal_split(ready, splits, keep_others=True).write.mode("errorifexists") \
         .partitionBy("split").option("compression", "snappy").parquet(f"{out}/features")
-    return features.split_checks(spark.read.parquet(f"{out}/features"), plan.delay)
+    written = spark.read.parquet(f"{out}/features")
+    features.split_metadata(written, features.removal_counts(made, plan, splits), plan) \
+        .coalesce(1).write.mode("errorifexists").json(f"{out}/metadata")
+    return features.split_checks(written.filter(F.col("split").isNotNull()), plan.delay)
 
 
 def profile(wide: DataFrame, out: str, layout: Layout = WIDE) -> None:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.operators.checks import check_rows
 from daymark.schema import DEFAULT_SOURCE, PAYLOAD_SCHEMA, WIDE, Layout, code_of
 
 
@@ -30,6 +31,52 @@ def payload_validate(payloads: DataFrame, key: Sequence[str],
         (has_properties & (F.size(missing) == 0)).alias("ok"))
 
 
+def payload_checks(payloads: DataFrame, points: DataFrame, key: Sequence[str],
+                   layout: Layout = WIDE, files: DataFrame | None = None) -> DataFrame:
+    """What would be lost on the way to the wide table, as (check, expected, actual, ok) rows.
+
+    A payload of broken text has no properties.  `files`, rows with a `file`
+    column, names the files that were to be read; one that yields no payload,
+    such as an empty file, is a failure too.
+    """
+    judged = payload_validate(payloads, key, layout)
+    one = judged.agg(
+        F.count("*").alias("payloads"), F.count_if(~F.col("has_properties")).alias("without_properties"),
+        F.count_if(F.col("has_properties") & ~F.col("ok")).alias("incomplete"))
+    keys = payloads.select(*key).distinct()
+    lost = keys.alias("a").join(points.select(*key).alias("b"), null_safe_names(key), "left_anti")
+    repeated = points.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
+    one = one.crossJoin(lost.agg(F.count("*").alias("without_point"))) \
+        .crossJoin(repeated.agg(F.count("*").alias("repeated_points")))
+    rows = [("has payloads", "1", "least(payloads, 1)"), ("without properties", "0", "without_properties"),
+            ("missing variables", "0", "incomplete"), ("keys without a point", "0", "without_point"),
+            ("keys with several points", "0", "repeated_points")]
+    if files is not None:
+        empty = files.select(_local("file")).distinct().join(
+            payloads.select(_local("file")).distinct(), "file", "left_anti")
+        one = one.crossJoin(empty.agg(F.count("*").alias("empty_files")))
+        rows.append(("files without a payload", "0", "empty_files"))
+    return check_rows(one, rows)
+
+
+def payload_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The files under the path; only their names are read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path) \
+        .select(F.col("path").alias("file"))
+
+
+def _local(name: str):
+    """Readers name local files with one or with three slashes."""
+    return F.regexp_replace(name, "^file:/+", "/").alias(name)
+
+
+def null_safe_names(keys: Sequence[str]):
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return condition
+
+
 def _readings(payloads: DataFrame, key: Sequence[str]) -> DataFrame:
     """(key, code, day, reading) rows from both levels of the nested map."""
     by_code = payloads.select(*key, F.explode("properties.parameter").alias("code", "days"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +27,14 @@ def _record(spark: SparkSession, root: str, name: str, version: int, status: str
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    """Whether a file or folder is there; asked through a reader, so any store will do."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).schema
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def publish_validated(df: DataFrame, root: str, name: str,
@@ -52,7 +59,7 @@ def publish_validated(df: DataFrame, root: str, name: str,
         if names:
             error = "failed checks: " + ", ".join(names)
     except Exception as problem:  # the attempt is recorded, then the caller sees the error
-        _record(spark, root, name, version, "FAILED", at, str(problem)[:500])
+        _record(spark, root, name, version, "FAILED", at, str(problem))
         raise
     _record(spark, root, name, version, "FAILED" if error else "SUCCESS", at, error)
     return _attempts(spark, root).filter(F.col("output_name") == name)

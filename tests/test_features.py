@@ -85,3 +85,13 @@ def test_empty_split_is_reported(series):
     checks = {r["check"]: r["ok"] for r in features.split_checks(
         features.temporal_split(ready)).collect()}
     assert checks["train_not_empty"] and not checks["test_not_empty"]
+
+
+def test_probe_finds_plans_that_read_too_early(series):
+    dates = ["2019-01-10", "2021-01-01"]
+    assert [r["unchanged"] for r in features.leakage_probe(series, dates).collect()] == [True, True]
+    ahead = features.FeaturePlan(lags=(8, 14, -3))
+    early = features.FeaturePlan(lags=(7, 14, 30))
+    for plan in (ahead, early):
+        probe = features.leakage_probe(series, "2019-06-10", plan, delay=AVAILABILITY.delay)
+        assert [r["unchanged"] for r in probe.collect()] == [False]

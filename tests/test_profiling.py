@@ -121,3 +121,24 @@ def test_compare_join_does_not_multiply_repeated_keys(spark):
     a = spark.createDataFrame([("k", 1.0)] * 2000, "key string, v double")
     got = compare.tolerant_compare_join(a, a, ["key"], "v").first()
     assert got["equal"] and got["left_keys"] == 1
+
+
+def test_copies_that_moved_below_the_tolerance_are_equal(spark):
+    a = spark.createDataFrame([("k", 1.0), ("k", 1.0)], "key string, v double")
+    b = spark.createDataFrame([("k", 1.0 + 1e-14), ("k", 1.0 + 3e-14)], "key string, v double")
+    assert compare.tables_equal(a, b, ["key"]).first()["equal"]
+    shape = "key string, v double, w double"
+    a = spark.createDataFrame([("k", 1.0, 5.0), ("k", 1.0 + 2e-14, 2.0)], shape)
+    b = spark.createDataFrame([("k", 1.0 + 3e-14, 5.0), ("k", 1.0 + 1e-14, 2.0)], shape)
+    assert compare.tables_equal(a, b, ["key"]).first()["equal"]
+    c = spark.createDataFrame([("k", 1.0, 5.0), ("k", 1.0, 2.1)], shape)
+    assert compare.tables_equal(a, c, ["key"]).first()["differing_rows"] == 1
+
+
+def test_compare_join_sees_values_between_the_ends(spark):
+    a = spark.createDataFrame([("k", 1.0), ("k", 2.0), ("k", 3.0), ("m", None)], "key string, v double")
+    b = spark.createDataFrame([("k", 3.0), ("k", 2.5), ("k", 1.0), ("m", None)], "key string, v double")
+    got = compare.tolerant_compare_join(a, b, ["key"], "v").first()
+    assert not got["equal"] and got["value_mismatches"] == 1 and got["max_abs_difference"] == 0.5
+    fewer = compare.tolerant_compare_join(a, b.filter("v > 1 OR v IS NULL"), ["key"], "v").first()
+    assert not fewer["equal"] and fewer["count_mismatches"] == 1

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from daymark.functions.skew import mark_repeated
 from daymark.operators import quality, quarantine
 from daymark.schema import WIDE
 
@@ -136,3 +137,14 @@ def test_missing_values_hit_the_range_rules(spark):
     assert got["source_consistency"] == 1
     assert got["negative_precipitation"] == got["temperature_consistency"] == 0
     assert got["daily_date_coverage"] == 0
+
+
+def test_many_frequent_keys_and_identical_rows(spark):
+    """5,000 keys with several rows each, one key with very many, and identical rows of it."""
+    rows = spark.range(5000).select((F.col("id") % 5000).alias("k"), F.lit("a").alias("v")) \
+        .unionAll(spark.range(5000).select("id", F.lit("b"))) \
+        .unionAll(spark.range(20000).select(F.lit(7).cast("long"), F.lit("same"))) \
+        .unionAll(spark.range(3).select(F.lit(None).cast("long"), F.lit("n"))) \
+        .unionAll(spark.range(100).select(F.col("id") + 10000, F.lit("once")))
+    marked = mark_repeated(rows, ["k"], "again").groupBy("again").count().collect()
+    assert {r["again"]: r["count"] for r in marked} == {True: 30003, False: 100}

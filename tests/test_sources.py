@@ -158,3 +158,26 @@ def test_rejected_payload_rows_stop_the_run(spark, tmp_path):
     kept = spark.read.option("header", True).csv(str(tmp_path / "out/quarantine/rejected_rows"))
     assert [r["reason_codes"] for r in kept.collect()] == ["HUMIDITY_RANGE"]
     assert not (tmp_path / "out" / "wide").exists()
+
+
+def test_ingest_refuses_what_it_would_lose(spark, tmp_path):
+    """Broken and pretty-printed text, a payload without properties, unknown keys and empty files."""
+    import json
+
+    def write(name, text):
+        folder = tmp_path / name / "location=A"
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text(text)
+        return str(tmp_path / name)
+
+    body = {"properties": {"parameter": full(["20200101", "20200102"])}}
+    good, pretty = json.dumps(body), write("pretty", json.dumps(body, indent=1))
+    with pytest.raises(ValueError, match="without properties"):
+        ingest_payloads(spark, pretty, points(spark, "A"), str(tmp_path / "o1"))
+    read = ingest_payloads(spark, pretty, points(spark, "A"), str(tmp_path / "o2"), multi_line=True)
+    assert read.count() > 0
+    for i, (text, known, what) in enumerate((
+            ("{}", "A", "without properties"), ("not json", "A", "without properties"),
+            (good, "B", "keys without a point"), ("", "A", "has payloads"))):
+        with pytest.raises(ValueError, match=what):
+            ingest_payloads(spark, write(f"bad{i}", text), points(spark, known), str(tmp_path / f"p{i}"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from daymark.operators import quality, serving, star
 from daymark.plans import load_star, refresh_serving
+from daymark.plans.pipeline import refresh_log
 from daymark.schema import WIDE
 from daymark.sources import publish
 
@@ -89,6 +90,40 @@ def test_pipeline_load_serve_and_failed_refresh(spark, tmp_path):
     assert [r["status"] for r in log.orderBy("attempt").collect()] == ["SUCCESS", "FAILED"]
     label = serving.freshness(log, F.lit("2024-02-01 12:00:00").cast("timestamp")).first()
     assert label["label"] == "FAILED_REFRESH"
+    stored = refresh_log(spark, root)
+    assert [(r["rows"], r["observation_coverage_end"]) for r in stored.collect()] == [
+        (4, dt.date(2020, 1, 3))]
+    assert serving.dashboard_fingerprint_check(stored, mart, "mart_weather_daily").first()["ok"]
+
+
+def test_batch_that_would_lose_readings_is_refused(spark, tmp_path):
+    rows = wide(spark, *THREE)
+    where = F.col("location") == rows.first()["location"]
+    for column in ("date", "location", "source"):
+        broken = rows.withColumn(column, F.when(~where, F.col(column)))
+        with pytest.raises(ValueError, match=f"rows without a {column}"):
+            load_star(broken, str(tmp_path / column), AT)
+        assert not (tmp_path / column / "fact_observation").exists()
+
+
+def test_first_load_numbers_facts_in_order(spark):
+    """Several sources of a day and point: ids follow date, location, variable and source."""
+    tables = star.build_star(wide(spark, *THREE, ("2020-01-03", "AA", "OTHER"), ("2020-01-03", "B", "OTHER"),
+                                  ("2020-01-03", "AA", "THIRD")))
+    facts = tables["fact_observation"].orderBy("observation_id").collect()
+    keys = [(f["date_id"], f["location_id"], f["variable_id"], f["source_id"]) for f in facts]
+    assert keys == sorted(keys) and [f["observation_id"] for f in facts] == list(range(1, 43))
+
+
+def test_flags_of_two_rules_have_different_ids(spark):
+    rows = [(f"2020-01-{d:02d}", "A", "NASA_POWER", 20.0 + d % 3) for d in range(1, 29)]
+    tables = star.build_star(wide(spark, *rows, ("2020-01-29", "A", "NASA_POWER", 90.0)))
+    bounds = quality.iqr_bounds(wide(spark, *rows)).select("variable_code", "lower_bound", "upper_bound")
+    flags = [star.quality_flag_fact(tables["fact_observation"], tables["dim_variable"], bounds, rule=i, rules=2)
+             for i in range(2)]
+    tables["fact_quality_flag"] = flags[0].unionByName(flags[1])
+    audit = {r["constraint"]: r["violations"] for r in star.constraint_audit(tables).collect()}
+    assert audit["unique fact_quality_flag(quality_flag_id)"] == 0
 
 
 def test_batch_with_contradicting_readings_is_refused(spark, tmp_path):
