@@ -1,4 +1,4 @@
-"""Feature, split and leakage queries over the continuous table."""
+"""Feature, split and leakage queries over the dense table."""
 
 from __future__ import annotations
 
@@ -13,11 +13,11 @@ from daymark.operators.serving import mart_from_wide
 
 
 def mart(t: Tables):
-    return mart_from_wide(t.w1)
+    return mart_from_wide(t.w3)
 
 
 MART = """mart AS (SELECT date AS observation_date, location AS location_name,
- source AS source_name, latitude, longitude, t2m, rh2m, prectotcorr FROM w1)"""
+ source AS source_name, latitude, longitude, t2m, rh2m, prectotcorr FROM w3)"""
 OVER = "OVER (PARTITION BY location_name, source_name ORDER BY observation_date{frame})"
 W = OVER.format(frame="")
 
@@ -140,8 +140,8 @@ SELECT c."check", CAST(c.expected AS BIGINT) AS expected, CAST(c.actual AS BIGIN
  ('train_not_empty', 1, CAST(n_train > 0 AS INTEGER)),
  ('validation_not_empty', 1, CAST(n_validation > 0 AS INTEGER)),
  ('test_not_empty', 1, CAST(n_test > 0 AS INTEGER)),
- ('train_before_validation', 1, CAST(end_train < start_validation AS INTEGER)),
- ('validation_before_test', 1, CAST(end_validation < start_test AS INTEGER)),
+ ('train_before_validation', 1, CAST(COALESCE(end_train < start_validation, false) AS INTEGER)),
+ ('validation_before_test', 1, CAST(COALESCE(end_validation < start_test, false) AS INTEGER)),
  ('target_is_next_day', 0, not_next), ('newest_reading_old_enough', 0, too_recent))
  AS c("check", expected, actual)"""
 _COUNTS = ", ".join(
@@ -205,7 +205,7 @@ LEAKING = replace(AVAILABILITY, lags=(7, 14, 30))
 
 @query("leakage_probe",
        "SELECT DISTINCT location AS location_name, source AS source_name, date AS issue_date, "
-       "plan, plan = 'available' AS unchanged FROM w1, (VALUES ('available'), ('leaking')) p(plan) "
+       "plan, plan = 'available' AS unchanged FROM w3, (VALUES ('available'), ('leaking')) p(plan) "
        "WHERE date IN (DATE '1998-01-10', DATE '2000-12-31')")
 def _(t: Tables):
     """Two issue dates, with a plan that waits for the readings and one that is a day too early."""

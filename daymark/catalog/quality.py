@@ -105,7 +105,7 @@ def _(t: Tables):
     counts = quarantine.accounting(coded(t))
     clean = counts.select(F.col("rows_loaded").alias("rows_read"), "rows_loaded",
                           F.lit(0).cast("long").alias("rows_rejected"))
-    passed, failed = quality.quality_overall(t.w2, LAYOUT), quality.quality_overall(t.d1, LAYOUT)
+    passed, failed = quality.quality_overall(t.w3, LAYOUT), quality.quality_overall(t.d1, LAYOUT)
     parts = [quarantine.quality_gate(c, o).withColumn("pair", F.lit(n)) for n, c, o in (
         ("rejected", counts, passed), ("rules fail", clean, failed), ("clean", clean, passed))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -48,17 +48,18 @@ def not_finite(column: Column) -> Column:
     return column.isNull() | F.isnan(column) | (F.abs(column) == float("inf"))
 
 
-def snap_doubles(df: DataFrame, parts: int = 1 << 20) -> DataFrame:
-    """Doubles rounded to a binary grid of about six decimal places.
+def snap_doubles(df: DataFrame, columns: Iterable[str], parts: int = 1 << 20) -> DataFrame:
+    """The named doubles rounded to a binary grid of about six decimal places.
 
     Sums of doubles depend on their order in the last digits.  Readings have few
     decimal places, so their means often lie exactly halfway between two points
     of a decimal grid, where those digits would decide; on a binary grid they
     do not.
     """
+    wanted = set(columns)
     return df.select([
         (F.round(F.col(name) * F.lit(float(parts))) / F.lit(float(parts))).alias(name)
-        if kind == "double" else F.col(name) for name, kind in df.dtypes])
+        if name in wanted else F.col(name) for name in df.columns]) if wanted else df
 
 
 def year_of(column: str) -> Column:

@@ -2,8 +2,10 @@
 
 The built-in exact percentile keeps every distinct value of a group in the
 memory of one task.  Here a coarse histogram, which is combined on the map
-side, first tells in which bin each wanted rank lies.  Only the rows of those
-bins are then looked at value by value.
+side, first tells in which bin each wanted rank lies.  Those bins are then cut
+anew between their own smallest and largest values, so that readings in a narrow
+range, or close to zero, spread over many bins as well.  Only the rows of the
+fine bins that hold a wanted rank are looked at value by value.
 """
 
 from __future__ import annotations
@@ -15,7 +17,9 @@ from pyspark.sql import functions as F
 
 # Bins per unit of log1p(|value|).  It bounds the histogram of a group, whatever
 # its row count: 12 units cover values up to about 160,000.
-RESOLUTION = 16384
+RESOLUTION = 2048
+# Fine bins of a coarse bin that holds a wanted rank, between its own ends.
+FINE = 16384
 
 
 def value_bin(value: Column, resolution: int) -> Column:
@@ -45,10 +49,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         group = keys
     binned = rows.withColumn("_bin", value_bin(F.col("_v"), resolution))
 
-    histogram = binned.groupBy(*group, "_bin").agg(F.sum("_w").alias("_n"))
+    histogram = binned.groupBy(*group, "_bin").agg(
+        F.sum("_w").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     by_bin = Window.partitionBy(*group).orderBy("_bin")
     running = histogram.select(
-        *group, "_bin",
+        *group, "_bin", "_low", "_high",
         (F.sum("_n").over(by_bin) - F.col("_n")).alias("_before"), "_n",
         F.sum("_n").over(Window.partitionBy(*group)).alias("_total"))
 
@@ -67,17 +72,32 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         for i, side, rank in places)
     # Few bins cover a wanted rank; the plain condition sorts out all others.
     picks = (running.filter(" OR ".join(covers(rank) for *_, rank in places))
-             .select(*group, "_bin", "_before", "_total",
+             .select(*group, "_bin", "_low", "_high", "_before", "_total",
                      F.expr(f"inline(array_compact(array({picked})))")))
 
-    bins = picks.select(*group, "_bin").distinct()
-    # At most two bins per quantile and group.
-    near = binned.join(F.broadcast(bins) if few_groups else bins, [*group, "_bin"], "left_semi")
-    values = near.groupBy(*group, "_bin", "_v").agg(F.sum("_w").alias("_c"))
-    by_value = Window.partitionBy(*group, "_bin").orderBy("_v")
+    def sided(df: DataFrame) -> DataFrame:
+        # At most two bins per quantile and group.
+        return F.broadcast(df) if few_groups else df
+
+    bins = picks.select(*group, "_bin", "_low", "_high", "_before").distinct()
+    width = F.col("_high") - F.col("_low")
+    place = F.floor((F.col("_v") - F.col("_low")) / width * F.lit(float(FINE)))
+    near = binned.join(sided(bins), [*group, "_bin"]).withColumn("_fine", F.when(
+        width > 0, F.least(place, F.lit(FINE - 1))).otherwise(F.lit(0)).cast("long"))
+    fine = near.groupBy(*group, "_bin", "_fine").agg(F.sum("_w").alias("_m"),
+                                                     F.first("_before").alias("_before"))
+    by_fine = Window.partitionBy(*group, "_bin").orderBy("_fine")
+    fine = fine.select(*group, "_bin", "_fine", "_m", (
+        F.col("_before") + F.sum("_m").over(by_fine) - F.col("_m")).alias("_start"))
+    chosen = picks.select(*group, "_bin", "_total", "q", "side", "rank").join(
+        fine, [*group, "_bin"]).filter("rank >= _start AND rank < _start + _m")
+    last = chosen.select(*group, "_bin", "_fine").distinct()
+    values = near.join(sided(last), [*group, "_bin", "_fine"], "left_semi") \
+        .groupBy(*group, "_bin", "_fine", "_v").agg(F.sum("_w").alias("_c"))
+    by_value = Window.partitionBy(*group, "_bin", "_fine").orderBy("_v")
     values = values.withColumn("_in_bin", F.sum("_c").over(by_value) - F.col("_c"))
-    offset = F.col("rank") - F.col("_before")
-    found = (picks.join(values, [*group, "_bin"])
+    offset = F.col("rank") - F.col("_start")
+    found = (chosen.join(values, [*group, "_bin", "_fine"])
              .filter((offset >= F.col("_in_bin")) & (offset < F.col("_in_bin") + F.col("_c"))))
 
     grouped = found.groupBy(*group).agg(

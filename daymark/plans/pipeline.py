@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions.ids import range_ids
 from daymark.functions.skew import repeated_keys
-from daymark.functions.storage import pinned
+from daymark.functions.storage import empties_scratch, pinned
 from daymark.operators import features, profiling, quality, quarantine, serving, star
 from daymark.operators.checks import check_rows
 from daymark.schema import DEFAULT_COUNTRY, SOURCE_METADATA, WIDE, Layout
@@ -34,6 +34,7 @@ def require(checks: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: {'; '.join(failed)}")
 
 
+@empties_scratch
 def ingest_payloads(spark: SparkSession, raw: str | Sequence[str], points: DataFrame, out: str,
                     key: Sequence[str] = ("location",), layout: Layout = WIDE,
                     multi_line: bool = False, manifest: DataFrame | None = None) -> DataFrame:
@@ -67,6 +68,7 @@ def ingest_payloads(spark: SparkSession, raw: str | Sequence[str], points: DataF
     return tables.publish_sorted_wide(wide, f"{out}/wide", layout)
 
 
+@empties_scratch
 def validate(wide: DataFrame, out: str, layout: Layout = WIDE,
              baseline: quality.Baseline | None = None) -> DataFrame:
     """Write the rule rows and the verdict; return the verdict."""
@@ -89,6 +91,7 @@ def _no_repeats(key: str):
     return checks
 
 
+@empties_scratch
 def load_star(wide: DataFrame, root: str, at: datetime, layout: Layout = WIDE,
               country: str = DEFAULT_COUNTRY,
               source_catalog: Sequence[tuple] = SOURCE_METADATA) -> dict[str, DataFrame]:
@@ -146,6 +149,7 @@ def load_star(wide: DataFrame, root: str, at: datetime, layout: Layout = WIDE,
     return {**dims, "fact_observation": spark.read.parquet(facts_path).drop("year")}
 
 
+@empties_scratch
 def refresh_serving(schema: dict[str, DataFrame], root: str, at: datetime,
                     checks=None) -> DataFrame:
     """Build and publish the daily mart; a failed check keeps the last good version.
@@ -186,6 +190,7 @@ def refresh_log(spark: SparkSession, root: str) -> DataFrame:
         .option("recursiveFileLookup", True).json(f"{root}/refresh_log")
 
 
+@empties_scratch
 def prepare_features(mart: DataFrame, out: str, splits: features.SplitPlan = features.SplitPlan(),
                      plan: features.FeaturePlan = features.AVAILABILITY) -> DataFrame:
     """Write all clean feature rows once, one folder per split; return the split checks.
@@ -205,6 +210,7 @@ def prepare_features(mart: DataFrame, out: str, splits: features.SplitPlan = fea
     return features.split_checks(written.filter(F.col("split").isNotNull()), plan.delay)
 
 
+@empties_scratch
 def profile(wide: DataFrame, out: str, layout: Layout = WIDE) -> None:
     """Write the profile tables, one folder each."""
     reports = {

@@ -9,6 +9,7 @@ from daymark.functions.columns import outside, text_to_date, text_to_number
 from daymark.functions.digest import fingerprint
 from daymark.functions.ids import calendar_ids, range_ids
 from daymark.functions.quantiles import exact_quantiles
+from daymark.functions.storage import empties_scratch, pinned
 from daymark.functions.skew import mark_repeated
 
 
@@ -109,3 +110,29 @@ def test_fingerprint_sees_content_only(spark):
     assert fingerprint(df.repartition(3).select("v", "k")).first() == base
     assert fingerprint(df.dropDuplicates()).first()["digest"] != base["digest"]
     assert fingerprint(df.fillna(0.0)).first()["digest"] != base["digest"]
+
+
+@pytest.mark.parametrize("values", [
+    [101325 + i * 1e-9 for i in range(4000)], [i * 1e-12 for i in range(-2000, 2000)],
+    [1e300, -1e300, *[i / 1000 for i in range(4000)]], [5.0] * 3000 + [5.0 + i * 1e-13 for i in range(50)]])
+def test_quantiles_in_narrow_and_wide_ranges(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    wanted = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.999, "e": 1.0}
+    got = exact_quantiles(df, [], "v", wanted).first()
+    for name, p in wanted.items():
+        assert got[name] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-15)
+
+
+def test_stage_empties_its_scratch_tables(spark):
+    paths = []
+
+    @empties_scratch
+    def stage():
+        df = pinned(spark.range(1000), "stage")
+        paths.extend(df.inputFiles())
+        return df.count()
+
+    assert stage() == 1000 and paths
+    folder = paths[0].rsplit("/", 1)[0]
+    assert spark.read.parquet(folder).count() == 0
+    assert not set(paths) & set(spark.read.parquet(folder).inputFiles())
