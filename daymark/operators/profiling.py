@@ -33,17 +33,35 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------- schema and nulls
 
 def profile_schema(df: DataFrame) -> DataFrame:
-    """Per column: type, non-null, null and distinct count."""
-    counted = df.agg(
-        F.count("*").alias("_rows"),
-        *[F.count(c).alias(f"n_{c}") for c in df.columns],
-        *[F.count_distinct(c).alias(f"u_{c}") for c in df.columns])
-    entries = F.array(*[F.struct(
-        F.lit(name).alias("column"), F.lit(kind).alias("dtype"),
-        F.col(f"n_{name}").alias("non_null"),
-        (F.col("_rows") - F.col(f"n_{name}")).alias("null"), F.col(f"u_{name}").alias("unique"))
-        for name, kind in df.dtypes])
-    return counted.select(F.inline(entries))
+    """Per column: type, non-null, null and distinct count.
+
+    Equal cells of a column are counted on the map side as (column, text) pairs.
+    A distinct count per column would expand every row once per column instead.
+    """
+    kinds = dict(df.dtypes)
+
+    def text(name: str) -> Column:
+        # Minus zero equals zero.
+        plain = F.col(name) + F.lit(0.0) if kinds[name] in ("double", "float") else F.col(name)
+        return plain.cast("string")
+
+    cells = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_place"), text(c).alias("_value")) for i, c in enumerate(df.columns)])))
+    counts = cells.groupBy("_place", "_value").agg(F.count("*").alias("_n"))
+    totals = counts.groupBy("_place").agg(
+        F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))).alias("_filled"),
+        F.sum(F.when(F.col("_value").isNull(), F.col("_n"))).alias("_empty"),
+        F.count("_value").alias("_unique"))
+    names = F.array(*[F.struct(F.lit(i).alias("_place"), F.lit(c).alias("column"), F.lit(k).alias("dtype"))
+                      for i, (c, k) in enumerate(df.dtypes)])
+    listed = df.sparkSession.range(1).select(F.inline(names))
+
+    def whole(name: str) -> Column:
+        return F.coalesce(name, F.lit(0)).cast("long")
+
+    return listed.join(totals, "_place", "left").select(
+        "column", "dtype", whole("_filled").alias("non_null"), whole("_empty").alias("null"),
+        whole("_unique").alias("unique"))
 
 
 def profile_invalid_dates(raw: DataFrame, layout: Layout = WIDE) -> DataFrame:

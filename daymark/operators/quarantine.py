@@ -143,11 +143,15 @@ def quality_gate(counts: DataFrame, overall: DataFrame | None = None) -> DataFra
 
 def quarantine_write(coded: DataFrame, path: str, row_number: str,
                      layout: Layout = WIDE) -> DataFrame:
-    """Write rejected rows (CSV) and row accounting (JSON); return a check of both."""
+    """Write rejected rows (CSV) and row accounting (JSON); return a check of both.
+
+    The coded rows are pinned, so the rules and the search for repeated keys run once.
+    """
+    coded = pinned(coded, "coded")
     rejected_path, accounting_path = f"{path}/rejected_rows", f"{path}/row_accounting"
     rejected_rows(coded, row_number, layout).write.mode("errorifexists") \
         .option("header", True).csv(rejected_path)
-    sets = pinned(code_sets(coded))
+    sets = code_sets(coded)
     totals = _totals(sets)
     # One entry per code, a fixed short list.
     by_code = _by_code(sets).agg(F.map_from_entries(F.array_sort(F.collect_list(
