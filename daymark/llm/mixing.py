@@ -18,11 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymark.functions.storage import pinned
 from daymark.llm.names import ROW, packed
 
 #: Largest mean of one Poisson variable, and how many values its table has (more than that has a
 #: chance below 1e-17).
 PART_MEAN, TERMS = 16.0, 64
+#: Sources whose rates are broadcast at most; each has a table of about 0.5 KB.
+BROADCAST_SOURCES = 10_000
 MADE = ("rate", "n_copies", "copy", "shuffle_key")
 
 
@@ -72,7 +75,10 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, power: float = 0.5,
         total: float | None = None, seed: int = 7, doc_id: str = "doc_id",
         source: str = "source", text: str = "text") -> DataFrame:
     """Every document as often as drawn, with rate, n_copies, copy (from 1) and shuffle_key."""
-    rates = source_rates(docs, weights, power, total, source, text)
+    rates = pinned(source_rates(docs, weights, power, total, source, text), "rates")
+    # With few sources their tables go to all tasks and texts need no exchange for the join; with
+    # more, rows and sources are brought together by an exchange.
+    rates = F.broadcast(rates) if rates.count() <= BROADCAST_SOURCES else rates
     given = docs.select(packed(docs, MADE), _name(source).alias("of"),
                         F.coalesce(_name(doc_id).cast("string"), F.lit("")).alias("key"))
     drawn = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda part: F.size(F.filter(
