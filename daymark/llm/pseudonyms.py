@@ -54,6 +54,11 @@ def _keyed(key: str, *parts: Column) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
 
 
+def _once(value: Column, use) -> Column:
+    """use(value), with the value computed once however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def permuted(left: Column, right: Column, a, b, key: str, kind) -> Column:
     """A keyed permutation of the pairs of numbers below a and b; fields l and r."""
     a, b = [F.lit(x).cast("long") if isinstance(x, int) else x for x in (a, b)]
@@ -73,6 +78,10 @@ def permuted(left: Column, right: Column, a, b, key: str, kind) -> Column:
 
 def _with_digits(text: Column, digits: Column) -> Column:
     """The text with its digits replaced in order."""
+    return _once(digits, lambda new: _digits_put(text, new))
+
+
+def _digits_put(text: Column, digits: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.when(
         text.substr(i, F.lit(1)).rlike("[0-9]"),
         digits.substr(F.length(_digits(text.substr(F.lit(1), i))), F.lit(1)))
@@ -81,11 +90,12 @@ def _with_digits(text: Column, digits: Column) -> Column:
 
 def _luhn(digits: Column, doubled: int) -> Column:
     """Sum of digits from the right, with every second one doubled, from position `doubled`."""
-    places = F.sequence(F.lit(0), F.length(digits) - 1)
-    return F.aggregate(places, F.lit(0), lambda total, i: total + F.when(
-        i % 2 == doubled, F.element_at(F.array(*[F.lit(x) for x in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)]),
-                                       F.substring(F.reverse(digits), i + 1, 1).cast("int") + 1))
-        .otherwise(F.substring(F.reverse(digits), i + 1, 1).cast("int")))
+    def added(total: Column, i: Column, back: Column) -> Column:
+        digit = F.substring(back, i + 1, 1).cast("int")
+        return total + F.when(i % 2 == doubled, digit * 2 - F.when(digit > 4, 9).otherwise(0)).otherwise(digit)
+
+    return _once(F.reverse(digits), lambda back: F.aggregate(
+        F.sequence(F.lit(0), F.length(back) - 1), F.lit(0), lambda total, i: added(total, i, back)))
 
 
 def card(text: Column, key: str) -> Column:
@@ -97,16 +107,16 @@ def card(text: Column, key: str) -> Column:
     new = permuted(_number(body.substr(F.lit(1), half)), _number(body.substr(half + 1, width)),
                    F.pow(F.lit(10), half).cast("long"), F.pow(F.lit(10), width).cast("long"), key,
                    F.concat(F.lit("card"), F.length(body).cast("string")))
-    made = F.concat(_padded(new["l"], half), _padded(new["r"], width))
-    made = F.concat(made, ((10 - _luhn(made, 0) % 10) % 10).cast("string"))
+    made = _once(_once(new, lambda p: F.concat(_padded(p["l"], half), _padded(p["r"], width))),
+                 lambda d: F.concat(d, ((10 - _luhn(d, 0) % 10) % 10).cast("string")))
     return F.when(_luhn(digits, 1) % 10 == 0, _with_digits(text, made))
 
 
 def ipv4(text: Column, key: str) -> Column:
     octets = F.transform(F.split(text, r"\."), lambda x: x.cast("int"))
     new = permuted(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3], 65536, 65536, key, "ipv4")
-    made = F.concat_ws(".", *[f(new[side]).cast("string") for side in "lr"
-                              for f in (lambda x: F.floor(x / 256), lambda x: x % 256)])
+    made = _once(new, lambda p: F.concat_ws(".", *[
+        f(p[side]).cast("string") for side in "lr" for f in (lambda x: F.floor(x / 256), lambda x: x % 256)]))
     return F.when(F.array_max(octets) < 256, made)
 
 
@@ -114,7 +124,7 @@ def date(text: Column, key: str) -> Column:
     day = F.try_to_date(F.translate(text, "/", "-"), "yyyy-MM-dd")
     number = F.datediff(day, F.lit(EPOCH).cast("date"))
     new = permuted(F.floor(number / DAYS[1]), number % DAYS[1], *DAYS, key, "date")
-    made = F.date_add(F.lit(EPOCH).cast("date"), (new["l"] * DAYS[1] + new["r"]).cast("int"))
+    made = _once(new, lambda p: F.date_add(F.lit(EPOCH).cast("date"), (p["l"] * DAYS[1] + p["r"]).cast("int")))
     return F.when((number >= 0) & (number < DAYS[0] * DAYS[1]),
                   _with_digits(text, F.date_format(made, "yyyyMMdd")))
 
@@ -124,9 +134,13 @@ def ssn(text: Column, key: str) -> Column:
     area, group, serial = [_number(text.substr(*at)) for at in ((1, 3), (5, 2), (8, 4))]
     place = F.when(area > 666, area - 2).otherwise(area - 1)
     new = permuted(place * 99 + group - 1, serial - 1, 898 * 99, 9999, key, "ssn")
-    found = F.floor(new["l"] / 99)
-    made = F.concat(_padded(F.when(found >= 665, found + 2).otherwise(found + 1), 3),
-                    _padded(new["l"] % 99 + 1, 2), _padded(new["r"] + 1, 4))
+
+    def joined(p: Column) -> Column:
+        found = F.floor(p["l"] / 99)
+        return F.concat(_padded(F.when(found >= 665, found + 2).otherwise(found + 1), 3),
+                        _padded(p["l"] % 99 + 1, 2), _padded(p["r"] + 1, 4))
+
+    made = _once(new, joined)
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     return F.when(valid, _with_digits(text, made))
 
@@ -137,8 +151,8 @@ def phone(text: Column, key: str) -> Column:
     ten = F.right(digits, F.lit(10))
     area, rest = _number(F.substring(ten, 1, 3)) - 200, _number(F.substring(ten, 4, 7)) - 2000000
     new = permuted(area, rest, 800, 8000000, key, "phone")
-    made = F.concat(F.left(digits, F.length(digits) - 10), _padded(new["l"] + 200, 3),
-                    _padded(new["r"] + 2000000, 7))
+    made = _once(new, lambda p: F.concat(F.left(digits, F.length(digits) - 10), _padded(p["l"] + 200, 3),
+                                         _padded(p["r"] + 2000000, 7)))
     return F.when((area >= 0) & (rest >= 0), _with_digits(text, made))
 
 
@@ -154,15 +168,15 @@ def email(text: Column, key: str) -> Column:
                                                F.length(local).cast("string"), other), 256)
                             for i in range(2)])
 
-        def step(i: Column) -> Column:
+        def step(i: Column, stream: Column) -> Column:
             c = chars.substr(i, F.lit(1))
             by = F.conv(F.substring(stream, i * 3 - 2, 3), 16, 10).cast("int")
             turn = lambda low, size: F.chr((F.ascii(c) - low + by) % size + low)
             return F.when(c.rlike("[a-z]"), turn(97, 26)).when(c.rlike("[A-Z]"), turn(65, 26)) \
                 .when(c.rlike("[0-9]"), turn(48, 10)).otherwise(c)
 
-        return F.when(F.length(chars) == 0, "").otherwise(F.array_join(
-            F.transform(F.sequence(F.lit(1), F.length(chars)), step), ""))
+        return F.when(F.length(chars) == 0, "").otherwise(_once(stream, lambda bits: F.array_join(
+            F.transform(F.sequence(F.lit(1), F.length(chars)), lambda i: step(i, bits)), "")))
 
     def turn(pair: Column, n: Column) -> Column:
         even = n % 2 == 0
@@ -171,7 +185,7 @@ def email(text: Column, key: str) -> Column:
             F.when(even, pair["r"]).otherwise(shifted(pair["r"], pair["l"], n)).alias("r"))
 
     new = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn)
-    return F.concat(new["l"], new["r"], F.lit("@"), F.substring_index(text, "@", -1))
+    return _once(new, lambda p: F.concat(p["l"], p["r"], F.lit("@"), F.substring_index(text, "@", -1)))
 
 
 def pseudonym(text: Column, key: str) -> Column:
