@@ -277,6 +277,12 @@ def test_mixing_of_odd_rows(odd, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_with_many_sources_gives_the_same_rows(docs, monkeypatch):
+    few = sorted(map(str, mixing.mix(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(str, mixing.mix(docs).collect())) == few
+
+
 LUHN = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
 
 

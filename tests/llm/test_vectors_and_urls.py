@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daymark.llm import collision_search, inner_products, url_rules
+from daymark.llm import collision_search, inner_products, url_rules, vector_blocks
 from daymark.llm.catalog import QUERIES, SQL
 from tests.oracle import connect, normal
 
@@ -42,6 +42,14 @@ def test_collision_search_recall(spark, folder):
     assert hits >= 0.9 * 5 * len(asked)
 
 
+def test_blocks_of_any_size_give_the_same_products(spark, folder, monkeypatch):
+    whole = sorted(map(str, QUERIES["op8_inner_products"](spark, folder).collect()))
+    for name, size in (("BLOCK_ROWS", 60), ("QUERY_ROWS", 3)):
+        monkeypatch.setattr(vector_blocks, name, size)
+    monkeypatch.setattr(inner_products, "STEP_ROWS", 7)
+    assert sorted(map(str, QUERIES["op8_inner_products"](spark, folder).collect())) == whole
+
+
 VECTORS = [(0, [1.0, 0.0]), (50, [0.0, 0.0]), (100, None), (150, [1.0, None]), (200, [NAN, 1.0]), (1, [1.0, 0.0]),
            (2, [1.0, 0.0]), (3, [0.5]), (4, [0.0, -1.0]), (5, [INF, 0.0]), (6, []), (None, [1.0, 1.0]),
            (7, [1.0, 1.0]), (7, [1.0, 1.0])]
