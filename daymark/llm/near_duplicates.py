@@ -34,8 +34,10 @@ from daymark.llm.components import components
 from daymark.llm.words import Hasher, mix, shingles
 
 K, LEAST = 48, 19
-#: Lists with more classes are compared in groups; hashes in a block of such a group.
-SHORT_LIST, BLOCK_HASHES = 64, 400_000
+#: Lists with more classes are compared in groups; hashes and rows in a block of such a group, on average.
+SHORT_LIST, BLOCK_HASHES, BLOCK_ROWS = 64, 400_000, 2000
+#: Rows of a block that are compared with all of its group at a time.
+TILE = 256
 NUMERATOR, DENOMINATOR = 75, 100
 
 
@@ -131,12 +133,23 @@ def _short_pairs(entries: DataFrame) -> DataFrame:
 
 
 def _long_links(entries: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between components from lists with many classes, by pairs of blocks."""
-    sizes = entries.groupBy("value").agg(
-        F.greatest(F.lit(1), F.ceil(F.sum("n") / BLOCK_HASHES)).cast("int").alias("blocks"))
-    dealt = entries.join(sizes, "value").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
-        F.least("block", other).alias("i"), F.greatest("block", other).alias("j")))
+    """Links between components from lists with many classes, by pairs of blocks.
+
+    Rows of a list's most frequent label have blocks of their own, which meet those of other labels only.
+    """
+    held = entries.groupBy("value", "label").agg(F.count("*").alias("m"), F.sum("n").alias("hashes"))
+    blocks = lambda main: F.ceil(F.greatest(
+        F.sum(F.when(main, F.col("hashes")).otherwise(0)) / BLOCK_HASHES,
+        F.sum(F.when(main, F.col("m")).otherwise(0)) / BLOCK_ROWS)).cast("int")
+    most = held.groupBy("value").agg(F.max(F.struct("m", "label"))["label"].alias("most"))
+    sizes = held.join(most, "value").groupBy("value", "most").agg(
+        blocks(F.col("label") == F.col("most")).alias("main"), blocks(F.col("label") != F.col("most")).alias("rest"))
+    place = lambda count: F.pmod(F.xxhash64("cid"), F.col(count)).cast("int")
+    same = F.col("label") == F.col("most")
+    dealt = entries.join(sizes, "value").where("rest > 0").withColumn(
+        "block", F.when(same, place("main")).otherwise(F.col("main") + place("rest")))
+    pairs = F.transform(F.sequence(F.when(same, F.col("main")).otherwise(0), F.col("main") + F.col("rest") - 1),
+                        lambda other: F.struct(F.least("block", other).alias("i"), F.greatest("block", other).alias("j")))
     dealt = dealt.withColumn("p", F.explode(pairs)).select(
         "value", "df", "p.i", "p.j", "block", "cid", "node", "label", "n",
         F.transform("prefix", lambda x: x["df"]).alias("ranks"),
@@ -173,14 +186,19 @@ def group_links(table: pa.Table) -> pa.Table:
         lists = table.column(name).combine_chunks()
         return lists.flatten().to_numpy(), np.repeat(np.arange(m), np.diff(lists.offsets.to_numpy()))
 
+    tiles = lambda count: (slice(low, low + TILE) for low in range(0, count, TILE))
     (values, holder), (ranks, _) = flat("values"), flat("ranks")
     earlier = (ranks < rank) | ((ranks == rank) & (values < at))
-    wanted = (labels[:, None] < labels) & (np.minimum(n[:, None], n) * DENOMINATOR
-                                           >= np.maximum(n[:, None], n) * NUMERATOR)
+    wanted = np.zeros((m, m), bool)
+    for t in tiles(m):
+        wanted[t] = (labels[t, None] < labels) & (np.minimum(n[t, None], n) * DENOMINATOR
+                                                  >= np.maximum(n[t, None], n) * NUMERATOR)
     if table.column("i")[0].as_py() != table.column("j")[0].as_py():
         wanted &= block[:, None] != block
-    for held in _incidence(holder[earlier], values[earlier], m):
-        wanted &= held @ held.T == 0
+    if wanted.any():
+        for held in _incidence(holder[earlier], values[earlier], m):
+            for t in tiles(m):
+                wanted[t] &= held[t] @ held.T == 0
     rows = np.flatnonzero(wanted.any(axis=1) | wanted.any(axis=0))
     links: list[tuple[int, int]] = []
     if len(rows):
@@ -190,9 +208,12 @@ def group_links(table: pa.Table) -> pa.Table:
         new[rows] = np.arange(len(rows))
         keep = new[of] >= 0
         for held in _incidence(new[of[keep]], hashes[keep], len(rows)):
-            shared += held @ held.T
-        total = n[rows][:, None] + n[rows]
-        near = wanted[np.ix_(rows, rows)] & (shared * float(DENOMINATOR) >= (total - shared) * NUMERATOR)
+            for t in tiles(len(rows)):
+                shared[t] += held[t] @ held.T
+        near = wanted[np.ix_(rows, rows)]
+        for t in tiles(len(rows)):
+            total = n[rows[t]][:, None] + n[rows]
+            near[t] &= shared[t] * float(DENOMINATOR) >= (total - shared[t]) * NUMERATOR
         own = labels[rows]
         joined = {int(x): int(x) for x in own}
 

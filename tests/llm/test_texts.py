@@ -145,6 +145,34 @@ def test_groups_of_near_copies_lose_no_link(spark, monkeypatch, short_list, bloc
     assert got == brute_force_components(rows)
 
 
+def test_groups_of_few_rows_lose_no_link(spark, monkeypatch):
+    """Blocks bounded by rows, with and without a label that holds most of a list."""
+    monkeypatch.setattr(near_duplicates, "SHORT_LIST", 4)
+    monkeypatch.setattr(near_duplicates, "BLOCK_ROWS", 7, raising=False)
+    monkeypatch.setattr(near_duplicates, "TILE", 3, raising=False)
+    texts = [*copies(90, 60, 5, 1), *copies(40, 12, 2, 2), *copies(30, 300, 14, 3), *copies(20, 6, 1, 4)]
+    rows = list(enumerate(texts, 1))
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: tuple(r[1:]) for r in near_duplicates.near_duplicates(made).collect()}
+    assert got == brute_force_components(rows)
+
+
+def test_long_lists_of_short_sets_are_cut_by_rows(spark, monkeypatch):
+    """20,000 texts of one template with one word that varies share a list and are never linked."""
+    whole = near_duplicates.group_links
+
+    def bounded(table):
+        assert table.num_rows < 5000
+        return whole(table)
+
+    monkeypatch.setattr(near_duplicates, "group_links", bounded)
+    made = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat_ws(
+        " ", *[F.lit(f"w{i}") for i in range(12)], F.concat(F.lit("x"), "id"),
+        *[F.lit(f"w{i}") for i in range(12, 23)]).alias("text"))
+    got = near_duplicates.near_duplicates(made).agg(F.count("*"), F.sum(F.col("kept").cast("int"))).first()
+    assert tuple(got) == (20_000, 20_000)
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     got = sorted(near_duplicates.near_duplicates(odd).collect(), key=lambda r: (r[0] is None, r[0] or 0))
     by_id = {r.doc_id: r for r in got}
