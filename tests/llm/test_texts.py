@@ -342,6 +342,26 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert got[15][0].endswith("@mail1.example.com")
 
 
+def test_pseudonyms_of_numbers_that_touch_other_signs(spark):
+    dates = ["1990-01-31", "1990-01-31T00:00:00Z", "dob_1990-01-31", "31.01.1990"]
+    cards = ["4111111111111111", "Nr.4111111111111111", "4111111111111111_x"]
+    amex = ["378282246310005", "3782 822463 10005", "3782-822463-10005"]
+    phones = ["+44 20 7946 0958", "+442079460958", "+49 (30) 1234567", "+12295554838", "x229-555-4838"]
+    ibans = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "AT611904300234573201 THE"]
+    kept = ["31.02.1990", "DE88370400440532013000", "+2101234567x", "9c4111111111111111ab3", "3782 822463 10006"]
+    got = [new for new, _ in pseudonyms_of(spark, [*dates, *cards, *amex, *phones, *ibans])]
+    assert not {*got} & {*dates, *cards, *amex, *phones, *ibans}
+    day = got[0]
+    assert got[1:4] == [day + "T00:00:00Z", "dob_" + day, ".".join(reversed(day.split("-")))]
+    assert got[5:7] == ["Nr." + got[4], got[4] + "_x"] and passes(got[4])
+    assert got[8].replace(" ", "") == got[9].replace("-", "") == got[7] and passes(got[7])
+    assert got[10].replace(" ", "") == got[11] and got[11][:3] == "+44" and got[12][:5] == "+49 ("
+    number = lambda t: int("".join(str(int(c, 36)) for c in t[4:] + t[:4]))
+    plain = [t.removesuffix(" THE").replace(" ", "") for t in got[15:]]
+    assert plain[0] == plain[1] and all(number(t) % 97 == 1 for t in plain) and plain[2][4:8] == "WEST"
+    assert pseudonyms_of(spark, kept) == [(v, 0) for v in kept]
+
+
 def test_pseudonyms_are_permutations(spark):
     ips = [f"10.{i // 250}.7.{i % 250}" for i in range(1500)]
     days = [f"{1900 + i // 336}-{1 + i // 28 % 12:02}-{1 + i % 28:02}" for i in range(1500)]
