@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer
 
-from daymark.llm import (class_model, collision_search, inner_products, mixing, near_duplicates, pieces,
-                         pseudonyms, token_counts, toxicity, url_rules)
+from daymark.llm import (class_model, collision_search, conversations, decontamination, inner_products, mixing,
+                         near_duplicates, pieces, pseudonyms, token_counts, toxicity, url_rules, whitening)
 
 PSEUDONYM_KEY = "pseudonyms of round two"
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -77,6 +77,23 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonyms.pseudonymize(docs, PSEUDONYM_KEY)
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.repaired_digests(conversations.damaged(rows), rows)
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.decontaminate(docs, table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 OP2_SQL = f"""
 WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {_RULES_SQL}),
 places AS (SELECT page_id,
@@ -120,7 +137,30 @@ scored AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.v, d.v
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (
  PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored) WHERE place <= 5"""
 
+OP13_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+bw AS (SELECT item, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS t FROM bw),
+sizes AS (SELECT DISTINCT k FROM windows),
+dw AS (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k),
+hits AS (SELECT r, i, x.k, item FROM (SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS t FROM dw) x
+ JOIN windows y ON x.k = y.k AND x.t = y.t),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p
+ FROM (SELECT DISTINCT r, i, k FROM hits)) GROUP BY r),
+listed AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids
+ FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+ sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN listed USING (r)"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_nearest, op2_url_filters, op3_mixing, op4_near_duplicates, op5_class_model,
-                            op6_token_counts, op7_toxicity, op8_inner_products, op9_pieces, op10_pii)}
-SQL: dict[str, str] = {"op2_url_filters": OP2_SQL, "op3_mixing": OP3_SQL, "op8_inner_products": OP8_SQL}
+                            op6_token_counts, op7_toxicity, op8_inner_products, op9_pieces, op10_pii,
+                            op11_conversations, op12_whitening, op13_decontamination)}
+SQL: dict[str, str] = {"op2_url_filters": OP2_SQL, "op3_mixing": OP3_SQL, "op8_inner_products": OP8_SQL,
+                       "op13_decontamination": OP13_SQL}
