@@ -30,34 +30,80 @@ def _counted(left: DataFrame, right: DataFrame) -> DataFrame:
     return signed.groupBy(*left.columns).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
 
 
-def _paired(counted: DataFrame, exact: Sequence[str], numbers: Sequence[str],
-            tolerance: float) -> DataFrame:
-    """Rows of both sides, `a` and `b`, side by side; a missing partner leaves `_n` null.
+# Places of a key's sorted rows that are paired in one group at most.
+BLOCK = 1 << 18
+
+
+def _intervals(counted: DataFrame, exact: Sequence[str], numbers: Sequence[str],
+               tolerance: float) -> DataFrame:
+    """Distinct rows of the keys that the sides hold differently, with the places of their copies.
 
-    Groups of equal exact columns that the sides hold alike cancel out.  The rows
-    of the other groups, copies included, are paired in the order of their
-    numbers; numbers that follow each other within the tolerance count as one for
-    the order of the next number, so a move below it does not decide which rows
-    meet.
+    A row's copies take the places `_a_to - _na` to `_a_to - 1` among the left
+    rows of its exact columns, and likewise among the right ones.  Places follow
+    the numbers; numbers that follow each other within the tolerance count as one
+    for the order of the next number, so a move below it does not decide which
+    rows meet.
     """
     open_ = counted.filter(F.col("_na") != F.col("_nb")).select(*exact).distinct()
     rest = counted.alias("a").join(open_.alias("b"), _same_keys(exact), "left_semi")
-    for i, c in enumerate(numbers):
+    # A single number has the order of its groups.
+    for i, c in enumerate(numbers if len(numbers) > 1 else []):
         near = Window.partitionBy(*exact).orderBy(c)
         apart = F.coalesce(F.col(c) - F.lag(c).over(near) > tolerance, F.lit(False))
         rest = rest.withColumn(f"_apart{i}", apart.cast("int")) \
-            .withColumn(f"_group{i}", F.sum(f"_apart{i}").over(near))
-    order = Window.partitionBy(*exact).orderBy(
-        *[f"_group{i}" for i in range(len(numbers))], *numbers, F.lit(1))
+            .withColumn(f"_group{i}", F.sum(f"_apart{i}").over(near)).drop(f"_apart{i}")
+    groups = [c for c in rest.columns if c.startswith("_group")]
+    order = Window.partitionBy(*exact).orderBy(*groups, *numbers, F.lit(1)) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    return rest.withColumns({"_a_to": F.sum("_na").over(order), "_b_to": F.sum("_nb").over(order)}) \
+        .drop(*groups)
 
-    def side(count: str) -> DataFrame:
-        held = rest.filter(F.col(count) > 0).select(
-            *exact, *numbers, *[f"_group{i}" for i in range(len(numbers))],
-            F.explode(F.sequence(F.lit(1).cast("long"), F.col(count))).alias("_copy"))
-        return held.select(*exact, *numbers, F.row_number().over(order).alias("_n"))
 
-    return side("_na").alias("a").join(side("_nb").alias("b"), _same_keys([*exact, "_n"]),
-                                       "full_outer")
+def _paired(counted: DataFrame, exact: Sequence[str], numbers: Sequence[str],
+            tolerance: float) -> DataFrame:
+    """Rows of both sides side by side, with how often: numbers `a` and `b`, `_times`.
+
+    Groups of equal exact columns that the sides hold alike cancel out; of the
+    others, rows at the same place meet, and `a` or `b` is null where a side has
+    no row left.  Copies are never told apart: each distinct row is an interval of
+    places, and a sweep over the ends of both sides' intervals, cut into blocks of
+    BLOCK places, gives the runs of places at which the same two rows meet.
+    """
+    rest = _intervals(counted, exact, numbers, tolerance)
+    held = F.struct(F.lit(True).alias("held"), *numbers)
+    none = F.struct(F.lit(False).alias("held"), *[F.lit(None).cast(dict(rest.dtypes)[c]).alias(c)
+                                                  for c in numbers])
+
+    def ends(count: str, to: str, side: str) -> DataFrame:
+        """Where the side's rows start and end, per block."""
+        first, last = F.col(to) - F.col(count), F.col(to)
+        block = F.explode(F.sequence(F.floor(first / BLOCK), F.floor((last - 1) / BLOCK)))
+        cut = rest.filter(F.col(count) > 0).select(
+            *exact, held.alias("_row"), first.alias("_from"), last.alias("_to"),
+            block.alias("_block"))
+        start = F.greatest("_from", F.col("_block") * BLOCK)
+        stop = F.least("_to", (F.col("_block") + 1) * BLOCK)
+        other = "b" if side == "a" else "a"
+        return cut.select(*exact, "_block", F.inline(F.array(
+            F.struct(start.alias("_at"), F.lit(1).alias("_starts"), F.col("_row").alias(side)),
+            F.struct(stop.alias("_at"), F.lit(0).alias("_starts"), none.alias(side))))) \
+            .withColumn(other, F.lit(None).cast(none_type))
+
+    none_type = rest.select(none.alias("none")).schema["none"].dataType
+    both = ends("_na", "_a_to", "a").unionByName(ends("_nb", "_b_to", "b"))
+    sweep = Window.partitionBy(*exact, "_block").orderBy("_at", "_starts")
+    running = sweep.rowsBetween(Window.unboundedPreceding, 0)
+    end = F.least(F.lead("_at").over(sweep), (F.col("_block") + 1) * BLOCK)
+    met = both.select(*exact, (end - F.col("_at")).alias("_times"),
+                      F.last("a", ignorenulls=True).over(running).alias("a"),
+                      F.last("b", ignorenulls=True).over(running).alias("b")).filter("_times > 0")
+    return met.withColumns({side: F.when(F.col(f"{side}.held"), F.col(side)) for side in "ab"}) \
+        .filter("a IS NOT NULL OR b IS NOT NULL")
+
+
+def _times(condition: Column) -> Column:
+    """Number of pairs for which the condition holds."""
+    return F.coalesce(F.sum(F.when(condition, F.col("_times"))), F.lit(0))
 
 
 def tolerant_compare_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -77,10 +123,10 @@ def tolerant_compare_join(left: DataFrame, right: DataFrame, keys: Sequence[str]
     same = counted.agg(F.max(F.when((F.col("_na") > 0) & (F.col("_nb") > 0)
                                     & F.col(value).isNotNull(), 0.0)).alias("_none"))
     x, y = F.col(f"a.{value}"), F.col(f"b.{value}")
-    met = F.col("a._n").isNotNull() & F.col("b._n").isNotNull()
+    met = F.col("a").isNotNull() & F.col("b").isNotNull()
     apart = _paired(counted, keys, [value], tolerance).agg(
         F.max(F.abs(x - y)).alias("_gap"),
-        F.count_if(met & _apart(x, y, tolerance)).alias("value_mismatches"))
+        _times(met & _apart(x, y, tolerance)).alias("value_mismatches"))
     clean = F.lit(True)
     for part in ("unmatched_keys", "count_mismatches", "value_mismatches"):
         clean = clean & (F.col(part) == 0)
@@ -107,11 +153,11 @@ def tables_equal(left: DataFrame, right: DataFrame, keys: Sequence[str],
     kinds = dict(left.dtypes)
     numbers = [c for c in left.columns if c not in keys and kinds[c] in ("double", "float")]
     exact = [c for c in left.columns if c not in numbers]
-    differs = F.col("a._n").isNull() | F.col("b._n").isNull()
+    differs = F.col("a").isNull() | F.col("b").isNull()
     for c in numbers:
         differs = differs | _apart(F.col(f"a.{c}"), F.col(f"b.{c}"), tolerance)
     bad = _paired(_counted(left, right), exact, numbers, tolerance).agg(
-        F.count_if(differs).alias("differing_rows"))
+        _times(differs).alias("differing_rows"))
     return counts.crossJoin(bad).select(
         F.lit(True).alias("same_columns"), "left_rows", "right_rows", "differing_rows",
         ((F.col("left_rows") == F.col("right_rows")) & (F.col("differing_rows") == 0))

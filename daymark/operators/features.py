@@ -86,27 +86,35 @@ def continuity_check(mart: DataFrame, series: Sequence[str] = ("location_name",
             .filter((F.col("copies") > 1) | (F.col("gap_days") != 1)))
 
 
-def series_breaks(mart: DataFrame, series: Sequence[str], layout: Layout = MART) -> DataFrame:
-    """One row: number of series that are not made of unique consecutive days."""
-    days = mart.groupBy(*series, layout.date).agg(F.count("*").alias("_copies"))
-    spans = days.groupBy(*series).agg(
-        F.sum("_copies").alias("_rows"), F.count("*").alias("_days"),
-        (F.date_diff(F.max(layout.date), F.min(layout.date)) + 1).alias("_span"))
-    whole = (F.col("_rows") == F.col("_days")) & (F.col("_days") == F.col("_span"))
-    return spans.agg(F.count_if(~F.coalesce(whole, F.lit(False))).alias("_breaks"))
-
-
-def require_continuity(mart: DataFrame, series: Sequence[str],
-                       layout: Layout = MART) -> DataFrame:
-    """The same rows; the job fails when a series has a gap or a repeated day."""
-    check = series_breaks(mart, series, layout)
+NOT_CONTINUOUS = "features need unique continuous daily observations per series"
+
+
+def require_spans(mart: DataFrame, series: Sequence[str], layout: Layout = MART) -> DataFrame:
+    """The same rows; the job fails when a series has not as many rows as days from first to last.
+
+    Counts and ends per series are combined on the map side.  Together with
+    `_checked_date`, which sees repeated days, no gap can hide.
+    """
+    span = F.date_diff(F.max(layout.date), F.min(layout.date)) + 1
+    check = mart.groupBy(*series).agg((F.count("*") == span).alias("_whole")).agg(
+        F.count_if(~F.coalesce("_whole", F.lit(False))).alias("_breaks"))
     # One row.
     return (mart.crossJoin(F.broadcast(check))
-            .filter(F.when(F.col("_breaks") == 0, True).otherwise(F.raise_error(F.lit(
-                "features need unique continuous daily observations per series"))))
+            .filter(F.when(F.col("_breaks") == 0, True).otherwise(F.raise_error(F.lit(NOT_CONTINUOUS))))
             .drop("_breaks"))
 
 
+def _checked_date(previous: Column, layout: Layout) -> Column:
+    """The date, if it is the day after the previous one or the first; stops the job otherwise.
+
+    It is a value and not a filter: in a filter the planner puts a date that is
+    asked for in the place of the column, and tests it on every row.
+    """
+    step = F.date_diff(layout.date, previous)
+    return F.when(previous.isNull() | (step == 1), F.col(layout.date)).otherwise(
+        F.raise_error(F.lit(NOT_CONTINUOUS)))
+
+
 def _with_margin(mart: DataFrame, reach: int, ahead: int, layout: Layout) -> DataFrame:
     """Copy rows near a year's edge into the neighbouring year's window.
 
@@ -131,48 +139,73 @@ def _lag_columns(plan: FeaturePlan, window, layout: Layout) -> dict[str, Column]
             for n in plan.lags}
 
 
-def _rolling_columns(plan: FeaturePlan, window) -> dict[str, Column]:
+def _sum_name(measure: str) -> str:
+    return f"_sum_{measure}"
+
+
+def _running_columns(plan: FeaturePlan, window) -> dict[str, Column]:
+    """Running sums and counts of the readings; one that is missing or not finite counts as none."""
+    to_here = window.rowsBetween(Window.unboundedPreceding, 0)
     columns = {}
-    for r in plan.rolling:
-        frame = window.rowsBetween(-(plan.delay + r.days - 1), -plan.delay)
-        full = F.count(r.measure).over(frame) == r.days
-        columns[r.name] = F.when(full, F.avg(r.measure).over(frame))
+    for measure in dict.fromkeys(r.measure for r in plan.rolling):
+        given = F.coalesce(F.abs(measure) < float("inf"), F.lit(False))
+        columns[_sum_name(measure)] = F.sum(F.when(given, F.col(measure)).otherwise(0.0)).over(to_here)
+        columns[f"{_sum_name(measure)}_n"] = F.sum(F.when(given, 1).otherwise(0)).over(to_here)
     return columns
 
 
+def _rolling_columns(plan: FeaturePlan, window) -> dict[str, Column]:
+    """Means as differences of two running sums; sums of binary fractions are exact.
+
+    Before the first row of a window both are zero, so a window that begins
+    earlier is never full.
+    """
+    def between(name: str, r: Rolling) -> Column:
+        newest, before = (F.lag(name, n, 0).over(window) for n in (plan.delay, plan.delay + r.days))
+        return newest - before
+
+    return {r.name: F.when(between(f"{_sum_name(r.measure)}_n", r) == r.days,
+                           between(_sum_name(r.measure), r) / r.days) for r in plan.rolling}
+
+
 def _target_columns(plan: FeaturePlan, window, layout: Layout) -> dict[str, Column]:
     return {"latest_weather_observation_date": F.lag(layout.date, plan.delay).over(window),
             plan.target: F.lead(layout.precipitation, 1).over(window),
             "target_date": F.lead(layout.date, 1).over(window)}
 
 
-def _windowed(mart: DataFrame, plan: FeaturePlan, layout: Layout, make) -> DataFrame:
-    """Apply window columns per series and year, reading across year edges."""
-    spread = _with_margin(mart, plan.reach, 1, layout)
+def _windowed(mart: DataFrame, plan: FeaturePlan, layout: Layout, *makes) -> DataFrame:
+    """Apply window columns per series and year, reading across year edges.
+
+    `makes` are applied one after the other, so that later ones see the columns
+    of earlier ones; all share one shuffle and one sort.
+    """
+    made = _with_margin(require_spans(mart, plan.series, layout), plan.reach, 1, layout)
     window = _order(plan, layout, ("_year",))
-    return (spread.withColumns(make(window))
-            .filter(F.year(layout.date) == F.col("_year")).drop("_year"))
+    made = made.withColumn("_previous", F.lag(layout.date).over(window))
+    for make in makes:
+        made = made.withColumns(make(window))
+    return made.filter(F.year(layout.date) == F.col("_year")) \
+        .withColumn(layout.date, _checked_date(F.col("_previous"), layout)).drop("_year", "_previous")
 
 
 def delayed_lags(mart: DataFrame, plan: FeaturePlan = AVAILABILITY,
                  layout: Layout = MART) -> DataFrame:
-    ready = require_continuity(mart, plan.series, layout)
-    return _windowed(ready, plan, layout, lambda w: _lag_columns(plan, w, layout)).select(
+    return _windowed(mart, plan, layout, lambda w: _lag_columns(plan, w, layout)).select(
         layout.date, *layout.series, *[f"{plan.lag_prefix}{n}" for n in plan.lags])
 
 
 def delayed_rolling_means(mart: DataFrame, plan: FeaturePlan = AVAILABILITY,
                           layout: Layout = MART) -> DataFrame:
     """Means over a full window of readings; a window with a missing one has none."""
-    ready = require_continuity(mart, plan.series, layout)
-    return _windowed(ready, plan, layout, lambda w: _rolling_columns(plan, w)).select(
+    return _windowed(mart, plan, layout, lambda w: _running_columns(plan, w),
+                     lambda w: _rolling_columns(plan, w)).select(
         layout.date, *layout.series, *[r.name for r in plan.rolling])
 
 
 def as_of_and_target(mart: DataFrame, plan: FeaturePlan = AVAILABILITY,
                      layout: Layout = MART) -> DataFrame:
-    ready = require_continuity(mart, plan.series, layout)
-    return _windowed(ready, plan, layout, lambda w: _target_columns(plan, w, layout)).select(
+    return _windowed(mart, plan, layout, lambda w: _target_columns(plan, w, layout)).select(
         layout.date, *layout.series, "latest_weather_observation_date", plan.target,
         "target_date")
 
@@ -182,10 +215,11 @@ def create_features(mart: DataFrame, plan: FeaturePlan = AVAILABILITY,
     """All audit columns and predictors, from one shuffle and one sort."""
     needed = [layout.date, *layout.series, layout.latitude, layout.longitude,
               *dict.fromkeys([layout.precipitation, *[r.measure for r in plan.rolling]])]
-    ready = require_continuity(mart.select(*needed), plan.series, layout)
-    made = _windowed(ready, plan, layout, lambda w: {
-        **_lag_columns(plan, w, layout), **_rolling_columns(plan, w),
-        **_target_columns(plan, w, layout)})
+    made = _windowed(
+        mart.select(*needed), plan, layout,
+        lambda w: {**_running_columns(plan, w), **_lag_columns(plan, w, layout),
+                   **_target_columns(plan, w, layout)},
+        lambda w: _rolling_columns(plan, w))
     return calendar_features(made, layout).select(*plan.audit, *plan.predictors)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymark.functions.columns import holds, text_to_date
-from daymark.functions.quantiles import exact_quantiles
+from daymark.functions.quantiles import exact_quantiles, quantiles, ranked
 from daymark.functions.skew import repeated_keys
 from daymark.functions.storage import pinned
 from daymark.operators.checks import one_row_table
@@ -317,13 +317,18 @@ def _moments(value: str = "value") -> list[Column]:
 
 
 def profile_describe(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles per measure."""
-    values = long_values(df, layout)
-    moments = values.groupBy("variable_code").agg(*_moments(), F.max("value").alias("max"))
-    quartiles = exact_quantiles(values, ["variable_code"], "value",
-                                {"p25": 0.25, "p50": 0.5, "p75": 0.75}, few_groups=True)
-    return moments.join(quartiles, "variable_code", "left").select(
-        "variable_code", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    """Count, mean, deviation, extremes and quartiles per measure, in the scans of the quartiles."""
+    wanted = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    moments = [*_moments("_v"), F.max("_v").alias("max")]
+    found = ranked(long_values(df, layout), ["variable_code"], "value", list(wanted.values()),
+                   few_groups=True, statistics=moments)
+    codes = ", ".join(f"'{code_of(m)}'" for m in layout.measures)
+    every = df.sparkSession.range(1).select(
+        F.expr(f"explode(array({codes}))").alias("variable_code"))
+    names = ["count", "mean", "std", "min", "max"]
+    return every.join(quantiles(found, wanted, names), "variable_code", "left").select(
+        "variable_code", F.coalesce("count", F.lit(0)).cast("long").alias("count"),
+        "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def profile_percentiles(df: DataFrame, layout: Layout = WIDE) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymark.functions.columns import holds, outside
-from daymark.functions.quantiles import exact_quantiles
+from daymark.functions.quantiles import Ends, Ranked, quantiles, ranked
 from daymark.schema import WIDE, Layout, code_of
 
 ERROR, WARNING = "ERROR", "WARNING"
@@ -150,11 +150,27 @@ def check_daily_coverage(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
     return _result(gaps.agg(F.sum("gap").alias(COVERAGE.name)), [COVERAGE])
 
 
-def iqr_bounds(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
+QUARTILES = {"q1": 0.25, "q3": 0.75}
+LIMITS = ("q1", "q3", "iqr", "lower_bound", "upper_bound")
+
+
+def _fences(ends: Ends) -> list[tuple[str, str]]:
+    """Brackets of the two bounds, from the ends of the quartiles' own brackets."""
+    low1, high1, low3, high3 = (ends(p, side) for p in (0.25, 0.75) for side in ("low", "high"))
+    wide, narrow = f"({high3} - {low1})", f"({low3} - {high1})"
+    return [(f"({low1} - {IQR_FACTOR}D * {wide})", f"({high1} - {IQR_FACTOR}D * {narrow})"),
+            (f"({low3} + {IQR_FACTOR}D * {narrow})", f"({high3} + {IQR_FACTOR}D * {wide})")]
+
+
+def quartile_counts(df: DataFrame, layout: Layout = WIDE) -> Ranked:
+    """Rank counts of all measures, fine around the quartiles and around both bounds."""
+    return ranked(long_values(df, layout), ["variable_code"], "value", list(QUARTILES.values()),
+                  few_groups=True, limits=_fences)
+
+
+def iqr_bounds(df: DataFrame, layout: Layout = WIDE, counts: Ranked | None = None) -> DataFrame:
     """Per variable: quartiles and the bounds 1.5 interquartile ranges away from them."""
-    quartiles = exact_quantiles(
-        long_values(df, layout), ["variable_code"], "value", {"q1": 0.25, "q3": 0.75},
-        few_groups=True)
+    quartiles = quantiles(counts or quartile_counts(df, layout), QUARTILES)
     spread = F.col("q3") - F.col("q1")
     return quartiles.select(
         "variable_code", "q1", "q3", spread.alias("iqr"),
@@ -173,29 +189,29 @@ def beyond(bounds_low: str = "lower_bound", bounds_high: str = "upper_bound") ->
     return (F.col("value") < F.col(bounds_low)) | (F.col("value") > F.col(bounds_high))
 
 
-def iqr_flags(df: DataFrame, layout: Layout = WIDE, bounds: DataFrame | None = None) -> DataFrame:
-    """Per variable: values strictly beyond the bounds, in number and percent of the non-null."""
-    limits = bounds if bounds is not None else iqr_bounds(df, layout)
-    names = ["q1", "q3", "iqr", "lower_bound", "upper_bound"]
-    # All bounds as one array in one row, so that both uses below share one broadcast.
-    # SQL texts keep the number of calls into the JVM small.
-    cells = ", ".join(f"max(CASE WHEN variable_code = '{code_of(m)}' THEN {n} END)"
-                      for m in layout.measures for n in names)
-    row = limits.agg(F.expr(f"array({cells})").alias("_limits"))
-    place = {(m, n): f"_limits[{i * len(names) + k}]"
-             for i, m in enumerate(layout.measures) for k, n in enumerate(names)}
-    counted = [F.expr(f"count_if(coalesce(`{m}` < {place[m, 'lower_bound']} "
-                      f"OR `{m}` > {place[m, 'upper_bound']}, false)) AS `{m}__out`")
-               for m in layout.measures]
-    counted += [F.expr(f"count(`{m}`) AS `{m}__n`") for m in layout.measures]
-    counts = df.select(*layout.measures).crossJoin(F.broadcast(row)).agg(*counted)
-    entries = ", ".join(
-        f"named_struct('variable_code', '{code_of(m)}', "
-        + "".join(f"'{n}', {place[m, n]}, " for n in names)
-        + f"'outlier_count', `{m}__out`, 'outlier_percent', CASE WHEN `{m}__n` > 0 "
-        f"THEN `{m}__out` * 100.0D / `{m}__n` ELSE 0.0D END, 'n', `{m}__n`)"
-        for m in layout.measures)
-    return counts.crossJoin(F.broadcast(row)).select(F.expr(f"inline(array({entries}))"))
+def iqr_flags(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
+    """Per variable: values strictly beyond the bounds, in number and percent of the non-null.
+
+    The counts that give the quartiles are fine around the bounds as well, so
+    values beyond them are counted without another scan.
+    """
+    counts = quartile_counts(df, layout)
+    limits = iqr_bounds(df, layout, counts)
+    below, above = F.col("_high") < F.col("lower_bound"), F.col("_low") > F.col("upper_bound")
+    split = "CAST(raise_error('a bound lies outside its bracket') AS BIGINT)"
+    out = F.when(below | above, F.col("_c")).when(
+        (F.col("_low") < F.col("lower_bound")) | (F.col("_high") > F.col("upper_bound")),
+        F.expr(split)).otherwise(0)
+    # One row per measure.
+    found = counts.counts.join(F.broadcast(limits), "variable_code").groupBy(
+        "variable_code", *LIMITS).agg(F.sum(out).alias("out"), F.sum("_c").alias("n"))
+    codes = ", ".join(f"'{code_of(m)}'" for m in layout.measures)
+    every = df.sparkSession.range(1).select(
+        F.expr(f"explode(array({codes}))").alias("variable_code"))
+    percent = F.when(F.col("n") > 0, F.col("out") * 100.0 / F.col("n")).otherwise(0.0)
+    return every.join(found, "variable_code", "left").select(
+        "variable_code", *LIMITS, F.coalesce("out", F.lit(0)).cast("long").alias("outlier_count"),
+        percent.alias("outlier_percent"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def _iqr_rules(flags: DataFrame) -> DataFrame:

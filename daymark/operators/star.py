@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -265,38 +266,48 @@ def constraint_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
                   ("fact_observation", "variable_id", "dim_variable"),
                   ("fact_observation", "source_id", "dim_source"),
                   ("fact_quality_flag", "observation_id", "fact_observation")]
-    parts = []
-
-    def named(label: str, counted: DataFrame) -> DataFrame:
-        return counted.select(F.lit(label).alias("constraint"),
-                              F.coalesce("violations", F.lit(0)).cast("long")
-                              .alias("violations"))
-
-    for table, key in unique:
-        # A candidate may still lack its own number.
-        if table in tables and set(key) <= set(tables[table].columns):
-            extra = repeated_keys(tables[table], key).agg(
-                F.sum(F.col("copies") - 1).alias("violations"))
-            parts.append(named(f"unique {table}({', '.join(key)})", extra))
-    for table, columns in required.items():
-        if table in tables:
-            counts = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c)
-                                         for c in columns])
-            entries = F.array(*[F.struct(
-                F.lit(f"not null {table}.{c}").alias("constraint"),
-                F.col(c).cast("long").alias("violations")) for c in columns])
-            parts.append(counts.select(F.inline(entries)))
-    for table, column, target in references:
-        if table in tables:
-            # Count per id first: a frequent id then crosses the join as one row.
-            used = tables[table].groupBy(column).agg(F.count("*").alias("n"))
-            lost = used.join(tables[target].select(column).distinct(), column, "left_anti")
-            parts.append(named(f"reference {table}.{column} -> {target}",
-                               lost.agg(F.sum("n").alias("violations"))))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    unique = [(t, k) for t, k in unique
+              # A candidate may still lack its own number.
+              if t in tables and set(k) <= set(tables[t].columns)]
+    references = [r for r in references if r[0] in tables]
+    required = [(t, c) for t, columns in required.items() if t in tables for c in columns]
+    # A domain is a list of columns whose keys are compared; references share that of their target.
+    domains = list(dict.fromkeys([(t, tuple(k)) for t, k in unique]
+                                 + [(target, (c,)) for _, c, target in references]))
+    labels = [f"struct('unique {t}({', '.join(k)})' AS constraint, {domains.index((t, tuple(k)))} AS domain, "
+              "'twice' AS kind)" for t, k in unique]
+    labels += [f"struct('not null {t}.{c}' AS constraint, {-1 - i} AS domain, 'rows' AS kind)" for i, (t, c) in enumerate(required)]
+    labels += [f"struct('reference {t}.{c} -> {target}' AS constraint, "
+               f"{domains.index((target, (c,)))} AS domain, 'lost' AS kind)"
+               for t, c, target in references]
+
+    def text(columns: Sequence[str], missing: str) -> str:
+        return "concat_ws('\u0001', " + ", ".join(
+            f"coalesce(CAST({c} AS STRING), '{missing}')" for c in columns) + ")"
+
+    def tagged(table: str) -> DataFrame:
+        """One row per key that the table holds or refers to, and per missing required cell."""
+        held = [f"struct({d} AS domain, {text(columns, chr(2))} AS key, 1L AS own, 0L AS used)"
+                for d, (owner, columns) in enumerate(domains) if owner == table]
+        # A missing reference equals no key, a missing one included.
+        held += [f"struct({domains.index((target, (c,)))} AS domain, {text([c], chr(3))} AS key, "
+                 "0L AS own, 1L AS used)"
+                 for t, c, target in references if t == table]
+        held += [f"IF({c} IS NULL, struct({-1 - i} AS domain, '' AS key, 1L AS own, 0L AS used), NULL)"
+                 for i, (t, c) in enumerate(required) if t == table]
+        return tables[table].select(F.expr(f"inline(array_compact(array({', '.join(held)})))"))
+
+    every = reduce(DataFrame.unionByName, [tagged(t) for t in tables])
+    found = every.groupBy("domain", "key").agg(F.sum("own").alias("own"), F.sum("used").alias("used")) \
+        .groupBy("domain").agg(
+        F.sum(F.greatest(F.col("own") - 1, F.lit(0))).alias("twice"), F.sum("own").alias("rows"),
+        F.sum(F.when(F.col("own") == 0, F.col("used")).otherwise(0)).alias("lost"))
+    listed = found.sparkSession.range(1).select(F.expr(f"inline(array({', '.join(labels)}))"))
+    violations = F.when(F.col("kind") == "twice", F.col("twice")) \
+        .when(F.col("kind") == "rows", F.col("rows")).otherwise(F.col("lost"))
+    # One row per domain.
+    return listed.join(F.broadcast(found), "domain", "left").select(
+        "constraint", F.coalesce(violations, F.lit(0)).cast("long").alias("violations"))
 
 
 def quality_flag_fact(facts: DataFrame, variables: DataFrame, bounds: DataFrame,

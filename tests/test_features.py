@@ -1,6 +1,7 @@
 """Feature rules on one generated series: a series of known readings per day."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +96,28 @@ def test_probe_finds_plans_that_read_too_early(series):
     for plan in (ahead, early):
         probe = features.leakage_probe(series, "2019-06-10", plan, delay=AVAILABILITY.delay)
         assert [r["unchanged"] for r in probe.collect()] == [False]
+
+
+def test_rolling_means_skip_missing_readings_and_are_exact(spark):
+    """Prefix sums against plain sums: missing and infinite readings, two series, years' edges."""
+    rng = random.Random(5)
+    start = dt.date(2018, 12, 10)
+    rows, values = [], {}
+    for name in ("A", "B"):
+        values[name] = [rng.choice([None, float("inf"), *[rng.randrange(1 << 20) / 64 for _ in range(40)]])
+                        for _ in range(420)]
+        rows += [(start + dt.timedelta(days=i), name, "S", 1.0, 2.0, v, v, 3.0)
+                 for i, v in enumerate(values[name])]
+    df = spark.createDataFrame(rows, "observation_date date, location_name string, source_name string, "
+                               "latitude double, longitude double, prectotcorr double, t2m double, rh2m double")
+    for r in features.delayed_rolling_means(df.repartition(3)).collect():
+        i = (r["observation_date"] - start).days
+        for name, days in (("precip_mean_7d_available", 7), ("precip_mean_30d_available", 30),
+                           ("temperature_mean_7d_available", 7)):
+            window = values[r["location_name"]][max(0, i - 7 - days):max(0, i - 7)]
+            full = len(window) == days and all(v is not None and v != float("inf") for v in window)
+            assert r[name] == (sum(window) / days if full else None)
+
+
+def test_filter_on_one_day_keeps_the_check_quiet(series):
+    assert features.create_features(series).filter("observation_date = DATE '2019-01-10'").count() == 1

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from daymark.functions.columns import outside, text_to_date, text_to_number
 from daymark.functions.digest import fingerprint
 from daymark.functions.ids import calendar_ids, range_ids
-from daymark.functions.quantiles import exact_quantiles
+from daymark.functions.quantiles import exact_quantiles, quantiles, ranked
 from daymark.functions.storage import empties_scratch, pinned
 from daymark.functions.skew import mark_repeated
 
@@ -34,13 +34,47 @@ def test_quantiles_with_weights_and_coarse_bins(spark):
     rows = [(float(v), n) for v, n in ((1, 3), (2, 1), (9, 5), (-4, 2), (0, 1))]
     df = spark.createDataFrame(rows, "v double, n long")
     values = [v for v, n in rows for _ in range(n)]
-    for resolution in (1, 16384):
+    for accuracy in (5, 10000):
         got = exact_quantiles(df, [], "v", {"q": 0.3, "r": 0.9}, weight=F.col("n"),
-                              resolution=resolution).first()
+                              accuracy=accuracy).first()
         assert got["q"] == pytest.approx(np.quantile(values, 0.3))
         assert got["r"] == pytest.approx(np.quantile(values, 0.9))
 
 
+def test_brackets_keep_few_values_and_find_all_ranks(spark):
+    """Large groups: only values near the wanted ranks are kept, whatever their spread."""
+    rng = np.random.default_rng(3)
+    n = 60_000
+    parts = {"wide": rng.lognormal(0, 3, n), "narrow": 1e9 + rng.random(n),
+             "ties": rng.integers(0, 5, n).astype(float), "one": np.full(n, 2.5),
+             "signs": np.where(rng.random(n) < 0.3, -0.0, rng.normal(size=n))}
+    rows = [(k, float(v)) for k, values in parts.items() for v in values]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    wanted = {"a": 0.0, "b": 0.001, "c": 0.25, "d": 0.5, "e": 0.999, "f": 1.0}
+    found = ranked(df, ["k"], "v", list(wanted.values()), few_groups=True)
+    got = {r["k"]: r for r in quantiles(found, wanted).collect()}
+    for key, values in parts.items():
+        for name, p in wanted.items():
+            assert got[key][name] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
+    kept = {r["k"]: r["c"] for r in found.counts.filter("_kept IS NOT NULL").groupBy("k")
+            .agg(F.sum("_c").alias("c")).collect()}
+    assert kept["wide"] < 0.01 * n and kept["narrow"] < 0.01 * n
+    assert found.counts.count() < 0.02 * len(rows)
+    assert [r["_n"] for r in found.summary.select("_n").distinct().collect()] == [n]
+
+
+def test_weighted_ranks_in_large_groups(spark):
+    rng = np.random.default_rng(4)
+    values, weights = rng.normal(size=30_000), rng.integers(0, 4, 30_000)
+    weights[:3] = 20_000
+    df = spark.createDataFrame([(float(v), int(w)) for v, w in zip(values, weights)],
+                               "v double, w long").repartition(5)
+    every = np.repeat(values, weights)
+    got = exact_quantiles(df, [], "v", {"a": 0.01, "b": 0.5, "c": 0.999}, weight=F.col("w")).first()
+    for name, p in (("a", 0.01), ("b", 0.5), ("c", 0.999)):
+        assert got[name] == pytest.approx(np.quantile(every, p), abs=1e-12)
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, [], "v", {"q": 0.5}).count() == 0

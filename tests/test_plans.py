@@ -4,7 +4,8 @@ import datetime as dt
 
 import pytest
 
-from daymark.operators import quality, queries, serving, star
+from daymark.functions import quantiles, storage
+from daymark.operators import features, profiling, quality, queries, serving, star
 from daymark.schema import WIDE
 from daymark.sources import tables
 
@@ -46,3 +47,54 @@ def test_no_pair_joins(stored):
                                    s["dim_variable"], s["dim_source"])
     text = plan(serving.monthly_climate(mart))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def scans(df) -> int:
+    return plan(df).count("FileScan parquet")
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """The plans of the intermediate tables that a call writes, counted scans of its source."""
+    plans = []
+
+    def noted(df, label="pinned"):
+        plans.append(plan(df))
+        return storage.pinned(df, label)
+
+    monkeypatch.setattr(quantiles, "pinned", noted)
+    return plans
+
+
+def test_quantiles_scan_twice(stored, written):
+    """One scan brackets all ranks of all variables, one counts; nothing later reads the source."""
+    for call in (quality.iqr_flags, quality.iqr_bounds, profiling.profile_percentiles,
+                 profiling.profile_describe, profiling.profile_temperature_extremes):
+        written.clear()
+        result = call(stored)
+        source = stored.inputFiles()[0].rsplit("/", 2)[0].replace("file://", "")
+        assert len(written) == 2 and [p.count(f"{source}") > 0 for p in written] == [True, True]
+        assert sum(p.count("ReadSchema") for p in written[:1]) == 1
+        # The second reads the source once, and the short table of brackets.
+        assert written[1].count("ReadSchema") == 2
+        later = plan(result)
+        assert later.count(source) <= (1 if call is profiling.profile_temperature_extremes else 0)
+
+
+def test_audit_reads_each_table_once(spark, stored, tmp_path):
+    made = {}
+    for name, df in star.build_star(stored).items():
+        df.write.parquet(str(tmp_path / name))
+        made[name] = spark.read.parquet(str(tmp_path / name))
+    text = plan(star.constraint_audit(made))
+    assert scans(star.constraint_audit(made)) == len(made)
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_features_shuffle_rows_once_without_sliding_frames(stored, spark):
+    mart = stored.selectExpr("date AS observation_date", "location AS location_name", "latitude", "longitude",
+                             "source AS source_name", "PRECTOTCORR AS prectotcorr", "T2M AS t2m", "RH2M AS rh2m")
+    text = plan(features.create_features(mart))
+    # Rows once, counts per series once.
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("Sort [") == 1
+    assert "avg(" not in text
