@@ -59,7 +59,7 @@ def held_out(third: int = 1):
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, folder, "labels"), ~held_out())
-    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def op8_inner_products(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,48 +8,57 @@ model is the short list of its nonzero weights. That list is bounded by the numb
 goes to all tasks with the scoring function.
 
 The learning rows are a bounded sample: the MAX_ROWS labelled documents with the smallest hashes of
-their ids, visited in that order. All rows are scored, on whole texts. Without labels every score
-is 0.5. Null and empty texts have no feature but the constant. Labels that are null are left out;
-of contradictory labels the larger counts. Columns named like a result are replaced.
+their ids, visited in that order, as far as their texts hold no more than MAX_BYTES together. They
+are one task's work. Their ids are broadcast, so texts that are not learned from are not shuffled.
+Of rows that repeat an id, one text is learned from, that of the smallest hash. All rows are scored,
+on whole texts. Without labels every score is 0.5. Null and empty texts have no feature but the
+constant. Labels that are null are left out; of contradictory labels the larger counts. Columns
+named like a result are replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymark.functions.storage import pinned
 from daymark.llm.names import others
 from daymark.llm.words import Hasher, Slice, mix
 
 CELLS = 1 << 20
-#: Labelled documents that are learned from at most, and how often each is visited.
-MAX_ROWS, PASSES = 16_000, 3
+#: Labelled documents and bytes of their texts that are learned from at most, and how often each is visited.
+MAX_ROWS, MAX_BYTES, PASSES = 16_000, 128 << 20, 3
 RATE, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.0
 THRESHOLD = 0.7
 
 
-def features(part: Slice) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and cells of the features of a slice, repeated ones included; cell 0 is the constant."""
+def features(part: Slice, wanted: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and cells of the distinct features of a slice, in order; cell 0 is the constant.
+
+    wanted: only cells for which it is true, sorted out before anything is held.
+    """
     row = np.repeat(np.arange(part.rows), np.diff(part.bounds))
-    rows, cells = [np.arange(part.rows)], [np.zeros(part.rows, np.int64)]
-    with np.errstate(over="ignore"):
-        for gap in (0, 1, 2):
-            first, own = (x[:max(0, len(x) - gap)] for x in (part.words, row))
+    kept = []
+
+    def add(rows: np.ndarray, cells: np.ndarray) -> None:
+        if wanted is not None:
+            near = wanted(cells)
+            rows, cells = rows[near], cells[near]
+        kept.append(np.unique(rows * CELLS + cells))
+
+    add(np.arange(part.rows), np.zeros(part.rows, np.int64))
+    for gap in (0, 1, 2):
+        first, own = (x[:max(0, len(x) - gap)] for x in (part.words, row))
+        with np.errstate(over="ignore"):
             hashed = first if gap == 0 else mix(first * np.uint64(2 * gap + 1) + part.words[gap:])
-            inside = own == row[gap:]
-            rows.append(own[inside])
-            cells.append((hashed[inside] % np.uint64(CELLS - 1)).astype(np.int64) + 1)
-    return np.concatenate(rows), np.concatenate(cells)
-
-
-def distinct(rows: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct features of each row, in order."""
-    keys = np.unique(rows * CELLS + cells)
+        inside = own == row[gap:]
+        add(own[inside], (hashed[inside] % np.uint64(CELLS - 1)).astype(np.int64) + 1)
+    keys = np.unique(np.concatenate(kept))
     return keys // CELLS, keys % CELLS
 
 
@@ -81,38 +90,54 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc
         .groupBy("doc_id").agg(F.max(F.col(f"`{label}`").cast("int")).alias("label"))
     named = known.select("doc_id", "label").where(usable)
     order = F.xxhash64("doc_id", F.lit(11))
-    chosen = named.select("doc_id", "label", order.alias("at")).orderBy("at", "doc_id").limit(MAX_ROWS)
+    # At most MAX_ROWS short rows.
+    chosen = F.broadcast(named.select("doc_id", "label", order.alias("at")).orderBy("at", "doc_id").limit(MAX_ROWS))
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("blob"))
-    sample = texts.join(chosen, "doc_id").select("at", "label", "blob")
+    found = pinned(texts.join(chosen, "doc_id").groupBy("doc_id", "at", "label").agg(
+        F.expr("min_by(coalesce(blob, X''), xxhash64(blob))").alias("blob")), "sample")
+    # At most MAX_ROWS numbers.
+    before = F.sum("bytes").over(Window.orderBy("at", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    within = found.select("doc_id", "at", F.octet_length("blob").cast("long").alias("bytes")) \
+        .select("doc_id", before.alias("before")).where(F.col("before") <= MAX_BYTES).select("doc_id")
+    sample = found.join(F.broadcast(within), "doc_id").select("at", "label", "blob")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(punctuation=True)
         for batch in batches:
             for part in hasher.slices(batch.column("blob")):
-                row, cells = distinct(*features(part))
+                row, cells = features(part)
                 bounds = np.searchsorted(row, np.arange(part.rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(part.first, part.rows) for c in ("at", "label")]
                     + [pa.ListArray.from_arrays(pa.array(bounds), pa.array(cells.astype(np.int32)))],
                     names=["at", "label", "cells"])
 
-    def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by("at")
-        lists = table.column("cells").combine_chunks()
-        rows = np.split(lists.flatten().to_numpy(), lists.offsets.to_numpy()[1:-1]) if len(lists) else []
-        cells, values = learn(rows, table.column("label").to_numpy())
-        return pa.table({"cell": pa.array(cells, pa.int32()), "weight": pa.array(values)})
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, labels = [], []
+        for batch in batches:
+            lists = batch.column("cells")
+            bounds = lists.offsets.to_numpy()
+            cells = lists.values.to_numpy()
+            rows += [cells[a:b].copy() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            labels += batch.column("label").to_pylist()
+        cells, values = learn(rows, np.array(labels))
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(values)], names=["cell", "weight"])
+
+    made = sample.mapInArrow(extract, "at long, label int, cells array<int>").repartition(1) \
+        .sortWithinPartitions("at").mapInArrow(fit, "cell int, weight double").toArrow()
+    return made.column("cell").to_numpy(), made.column("weight").to_numpy()
 
-    found = sample.mapInArrow(extract, "at long, label int, cells array<int>") \
-        .withColumn("one", F.lit(1)).groupBy("one").applyInArrow(fit, "cell int, weight double").toArrow()
-    return found.column("cell").to_numpy(), found.column("weight").to_numpy()
 
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text",
+          keep: Sequence[str] | None = None) -> DataFrame:
+    """All rows with their columns, or those of `keep`, and score and predicted.
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
-    """All rows with their columns, score and predicted."""
+    A kept text goes to the tasks' Python workers and back, any other only there.
+    """
     made = {"score": T.DoubleType(), "predicted": T.IntegerType()}
-    kept = others(docs, made)
-    given = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("binary").alias("score"))
+    kept = [c for c in others(docs, made) if keep is None or c in keep]
+    given = docs.select(*[F.col(f"`{c}`") for c in kept],
+                        *([] if text in kept else [F.col(f"`{text}`").alias("score")]))
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in kept]).schema.fields,
                            *[T.StructField(n, t, False) for n, t in made.items()]])
     cells, values = model
@@ -122,10 +147,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "te
         weights[cells] = values
         hasher = Hasher(punctuation=True)
         for batch in batches:
-            for part in hasher.slices(batch.column("score")):
-                row, found = features(part)
-                weighty = weights[found] != 0
-                row, found = distinct(row[weighty], found[weighty])
+            for part in hasher.slices(batch.column(text if text in kept else "score").cast(pa.large_binary())):
+                row, found = features(part, lambda cells: weights[cells] != 0)
                 sums = np.bincount(row, weights[found], minlength=part.rows)
                 scores = 1 / (1 + np.exp(-np.clip(sums, -35, 35)))
                 yield pa.RecordBatch.from_arrays(

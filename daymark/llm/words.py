@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that are hashed at a time; a longer text forms a slice of its own.
+#: Bytes of text that are hashed at a time; a longer text forms a slice of its own, hashed in pieces.
 SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
@@ -80,9 +80,29 @@ class Hasher:
         while first < len(texts):
             last = int(np.searchsorted(ends, ends[first] + SLICE_BYTES, side="right")) - 1
             last = min(max(last, first + 1), len(texts))
-            yield self.hashed(first, data[ends[first]:ends[last]], ends[first:last + 1] - ends[first])
+            part = data[ends[first]:ends[last]]
+            yield self.hashed(first, part, ends[first:last + 1] - ends[first]) if len(part) <= SLICE_BYTES \
+                else self.long(first, part)
             first = last
 
+    def long(self, first: int, data: np.ndarray) -> Slice:
+        """One text longer than a slice, hashed in pieces that end at blanks; a longer word is one piece."""
+        words, tails, at = [], [], 0
+        while at < len(data):
+            stop = min(at + SLICE_BYTES, len(data))
+            while stop < len(data):
+                gaps = np.flatnonzero(self.blank[data[at:stop]])
+                if len(gaps):
+                    stop = at + int(gaps[-1]) + 1
+                    break
+                stop = min(stop + SLICE_BYTES, len(data))
+            part = self.hashed(0, data[at:stop], np.array([0, stop - at]))
+            words.append(part.words)
+            tails.append(part.tails)
+            at = stop
+        made = np.concatenate(words)
+        return Slice(first, 1, made, np.concatenate(tails) if self.tails else made[:0], np.array([0, len(made)]))
+
     def hashed(self, first: int, data: np.ndarray, edges: np.ndarray) -> Slice:
         size, rows = len(data), len(edges) - 1
         if size > len(self.up):

@@ -1,8 +1,12 @@
 """Operators on texts against the libraries, brute force and odd rows."""
 
 import hashlib
+import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -398,3 +402,86 @@ def test_tokens_of_odd_rows(odd, empty):
     assert {tuple(r.ids) for r in encoded if r.doc_id in (4, 5)} == {(2,)} and len(encoded) == 13
     assert token_counts.token_counts(empty, tokenizer("byte_bpe_50k.json")).count() == 0
     assert pieces.encode_decode(empty, tokenizer("piece_bpe_32k.model")).count() == 0
+
+
+def test_toxicity_weights_equal_plain_ftrl():
+    """The vectorised learner against one coordinate at a time, on features checked by their number."""
+    rng = np.random.default_rng(9)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 30))) for _ in range(300)]
+    labels = [int("w1 " in t or "w2 w3" in t) for t in texts]
+    rows = []
+    for part in Hasher(punctuation=True).slices(pa.array([t.encode() for t in texts], pa.binary())):
+        row, cells = toxicity.features(part)
+        rows += [cells[row == i] for i in range(part.rows)]
+    for text, cells in zip(texts, rows):
+        words = text.split()
+        grams = {(g, *pair) for g in (1, 2) for pair in zip(words, words[g:])} | {(0, w) for w in words} | {()}
+        assert len(cells) == len(set(cells.tolist())) == len(grams)
+    z, n = {}, {}
+
+    def weight(c):
+        if abs(z.get(c, 0.0)) <= toxicity.L1:
+            return 0.0
+        sign = 1 if z[c] > 0 else -1
+        return -(z[c] - sign * toxicity.L1) / ((toxicity.BETA + n[c] ** 0.5) / toxicity.RATE + toxicity.L2)
+
+    for _ in range(toxicity.PASSES):
+        for cells, label in zip(rows, labels):
+            total = sum(weight(c) for c in cells.tolist())
+            gap = 1 / (1 + math.exp(-max(-35, min(35, total)))) - label
+            for c in cells.tolist():
+                w, before = weight(c), n.get(c, 0.0)
+                n[c] = before + gap * gap
+                z[c] = z.get(c, 0.0) + gap - (n[c] ** 0.5 - before ** 0.5) / toxicity.RATE * w
+    expected = {c: weight(c) for c in z if weight(c)}
+    found = dict(zip(*(x.tolist() for x in toxicity.learn(rows, np.array(labels)))))
+    assert expected.keys() == found.keys() and len(found) > 0
+    assert all(abs(found[c] - w) < 1e-9 for c, w in expected.items())
+
+
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    """One text per id, and no more bytes than the bound; scores keep the asked columns only."""
+    rows = [(i, ("bad " if i % 2 else "good ") * 50 + str(i)) for i in range(40)] + [(0, "other")] * 200 + [(1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "L1", 0.5)
+    seen = []
+    learn = toxicity.learn
+    monkeypatch.setattr(toxicity, "learn", lambda r, y: seen.append(len(r)) or learn(r, y))
+    model = toxicity.train(docs, labels, F.lit(True))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    assert scored.columns == ["doc_id", "score", "predicted"]
+    assert {r.predicted for r in scored.where("doc_id > 1 AND doc_id % 2 = 1").collect()} == {1}
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 0)
+    assert len(toxicity.train(docs, labels, F.lit(True))[0]) == 0
+
+
+def test_long_text_is_hashed_in_bounded_memory():
+    """A text of 40 MB costs the words' hashes and little more; pieces give the hashes of the whole."""
+    code = """
+import resource, numpy as np, pyarrow as pa
+from daymark.llm import toxicity, words
+text = pa.array([("lorem ipsum dolor sit amet, consetetur " * 1_000_000).encode()], pa.binary())
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+part, = words.Hasher(punctuation=True).slices(text)
+few = np.zeros(toxicity.CELLS, bool); few[::1000] = True
+toxicity.features(part, lambda cells: few[cells])
+assert len(part.words) == 6_000_000 and len(set(part.words.tolist())) == 6
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    made = subprocess.run([sys.executable, "-c", code], cwd=root, check=True, capture_output=True, text=True)
+    assert int(made.stdout) < 500
+
+
+def test_pieces_of_a_long_text(monkeypatch):
+    from daymark.llm import words
+    text = ("ab  cde f\t" * 50 + "x" * 300 + " yz").encode()
+    whole, = Hasher(tails=True).slices(pa.array([text], pa.binary()))
+    for size in (1, 7, 64, 301):
+        monkeypatch.setattr(words, "SLICE_BYTES", size)
+        parts = list(Hasher(tails=True).slices(pa.array([b"one", text, b""], pa.binary())))
+        long = next(p for p in parts if len(p.words) > 100)
+        assert (long.words == whole.words).all() and (long.tails == whole.tails).all() and long.rows == 1
+        assert sum(p.rows for p in parts) == 3
