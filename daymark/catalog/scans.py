@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from daymark.catalog.base import (LAYOUT, MEASURES, WIDE_COLUMNS, WIDE_DOUBLES, Tables,
                                   literal_time, query)
-from daymark.functions.storage import scratch_path
+from daymark.catalog.quality import CODED
+from daymark.functions.storage import pinned, scratch_path
 from daymark.operators import compare, quarantine, serving
 from daymark.operators.checks import check_rows
 from daymark.schema import code_of
@@ -42,14 +43,24 @@ def _(t: Tables):
 
 
 @query("csv_to_parquet",
-       "SELECT true AS same_columns, COUNT(*) AS left_rows, COUNT(*) AS right_rows, "
-       "CAST(0 AS BIGINT) AS differing_rows, true AS equal FROM w2")
+       """WITH n AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (location = 'S7' AND t2m IS NOT NULL) AS moved,
+ COUNT(*) FILTER (location = 'S8') AS lost FROM w2)
+SELECT 'rewritten' AS copy, true AS same_columns, n AS left_rows, n AS right_rows,
+ CAST(0 AS BIGINT) AS differing_rows, true AS equal FROM n
+UNION ALL SELECT 'changed', true, n, n, moved, moved = 0 FROM n
+UNION ALL SELECT 'short', true, n, n - lost, lost, lost = 0 FROM n""")
 def _(t: Tables):
+    """The rewritten table is equal; one with other readings or without a location is not."""
     csv, parquet = scratch_path(t.spark, "csv"), scratch_path(t.spark, "parquet")
     tables.write_wide_csv(t.w2, csv)
     rewritten = tables.csv_to_parquet(t.spark, csv, parquet, LAYOUT)
-    return compare.tables_equal(tables.read_wide_csv(t.spark, csv, LAYOUT), rewritten,
-                                ["location", "date"])
+    changed = rewritten.withColumn("t2m", F.when(F.col("location") == "S7", F.col("t2m") + 1)
+                                   .otherwise(F.col("t2m")))
+    source = tables.read_wide_csv(t.spark, csv, LAYOUT)
+    parts = [compare.tables_equal(source, df, ["location", "date"]).withColumn("copy", F.lit(name))
+             for name, df in (("rewritten", rewritten), ("changed", changed),
+                              ("short", rewritten.filter("location <> 'S8'")))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def point_payloads(wide: DataFrame, first_measure_gap: bool = False) -> DataFrame:
@@ -220,13 +231,19 @@ def _(t: Tables):
 
 
 @query("ingest_run_summary",
-       "SELECT COUNT(*) AS rows, COUNT(DISTINCT location) AS locations, MIN(date) AS start_date, "
-       "MAX(date) AS end_date, COUNT(*) AS rows_read, COUNT(*) AS rows_loaded, "
-       "CAST(0 AS BIGINT) AS rows_rejected, CAST(0 AS BIGINT) AS duplicate_keys FROM w1")
+       f"""WITH {CODED}, good AS (SELECT * FROM coded WHERE codes = ''),
+loaded AS (SELECT location, d, source FROM good UNION ALL
+ SELECT location, d, source FROM good WHERE row_number % 7 = 0)
+SELECT (SELECT COUNT(*) FROM loaded) AS rows, (SELECT COUNT(DISTINCT location) FROM loaded) AS locations,
+ (SELECT MIN(d) FROM loaded) AS start_date, (SELECT MAX(d) FROM loaded) AS end_date,
+ COUNT(*) AS rows_read, COUNT(*) FILTER (codes = '') AS rows_loaded,
+ COUNT(*) FILTER (codes <> '') AS rows_rejected,
+ (SELECT COUNT(*) FROM good WHERE row_number % 7 = 0) AS duplicate_keys FROM coded""")
 def _(t: Tables):
-    text = t.w1.select([F.col(c).cast("string").alias(c) for c in t.w1.columns])
-    coded = quarantine.quarantine_codes(text, LAYOUT)
-    return manifests.ingest_run_summary(quarantine.accepted_rows(coded, LAYOUT),
+    """Raw rows with faults, and a loaded table in which every seventh accepted row is there twice."""
+    coded = pinned(quarantine.quarantine_codes(t.r1, LAYOUT), "coded")
+    again = quarantine.accepted_rows(coded.filter("row_number % 7 = 0"), LAYOUT)
+    return manifests.ingest_run_summary(quarantine.accepted_rows(coded, LAYOUT).unionByName(again),
                                         quarantine.accounting(coded), LAYOUT)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymark.functions.digest import fingerprint
+from daymark.functions.storage import pinned
 
 
 def _apart(left: Column, right: Column, tolerance: float) -> Column:
@@ -69,7 +70,8 @@ def _paired(counted: DataFrame, exact: Sequence[str], numbers: Sequence[str],
     places, and a sweep over the ends of both sides' intervals, cut into blocks of
     BLOCK places, gives the runs of places at which the same two rows meet.
     """
-    rest = _intervals(counted, exact, numbers, tolerance)
+    # Read for both sides; keys that the sides hold alike are not in it.
+    rest = pinned(_intervals(counted, exact, numbers, tolerance), "intervals")
     held = F.struct(F.lit(True).alias("held"), *numbers)
     none = F.struct(F.lit(False).alias("held"), *[F.lit(None).cast(dict(rest.dtypes)[c]).alias(c)
                                                   for c in numbers])

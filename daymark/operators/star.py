@@ -163,9 +163,54 @@ def fact_dim_lookup(long: DataFrame, dates: DataFrame, locations: DataFrame,
             .select(*FACT_KEY, "value"))
 
 
-def new_facts(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """Incoming facts whose four-part key is not stored yet."""
-    return incoming.join(existing.select(*FACT_KEY), list(FACT_KEY), "left_anti")
+# Days of a year as bits: 31 for each month, 64 in a number.
+_DAY_WORDS = 6
+SERIES_KEY = ("location_id", "variable_id", "source_id")
+
+
+def _day_bit(date_id: str = "date_id") -> str:
+    return f"(({date_id} DIV 100 % 100 - 1) * 31 + {date_id} % 100 - 1)"
+
+
+def fact_days(facts: DataFrame) -> DataFrame:
+    """The days that have a fact, as bits, one row per location, variable, source and year.
+
+    It holds the four-part keys of all facts exactly, in a few numbers for a
+    year of days, and is combined on the map side.  Rows of several loads are
+    combined by `or`, which never changes what is there.
+    """
+    known = facts.filter(" AND ".join(f"{c} IS NOT NULL" for c in FACT_KEY)) \
+        .select(*SERIES_KEY, F.expr("date_id DIV 10000").cast("int").alias("year"),
+                F.expr(_day_bit()).alias("bit"))
+    words = [F.expr(f"bit_or(IF(bit DIV 64 = {i}, shiftleft(1L, CAST(bit % 64 AS INT)), 0L))")
+             .alias(f"days{i}") for i in range(_DAY_WORDS)]
+    return known.groupBy(*SERIES_KEY, "year").agg(*words)
+
+
+def merged_days(days: DataFrame) -> DataFrame:
+    """One row per series and year from the rows of several loads."""
+    return days.groupBy(*SERIES_KEY, "year").agg(
+        *[F.expr(f"bit_or(days{i})").alias(f"days{i}") for i in range(_DAY_WORDS)])
+
+
+def new_facts(incoming: DataFrame, existing: DataFrame | None = None,
+              days: DataFrame | None = None) -> DataFrame:
+    """Incoming facts whose four-part key is not stored yet.
+
+    Stored keys are asked for by their days (see `fact_days`), which are read
+    where they are kept or made from the stored facts; the facts themselves are
+    never shuffled.
+    """
+    stored = merged_days(days) if days is not None else fact_days(existing)
+    marks = stored.select(*[F.col(c).alias(f"_{c}") for c in (*SERIES_KEY, "year")],
+                          *[f"days{i}" for i in range(_DAY_WORDS)])
+    same = F.expr("date_id DIV 10000 = _year")
+    for c in SERIES_KEY:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    word = " ".join(f"WHEN {i} THEN days{i}" for i in range(_DAY_WORDS))
+    there = F.expr(f"getbit(CASE {_day_bit()} DIV 64 {word} END, CAST({_day_bit()} % 64 AS INT)) = 1")
+    return incoming.join(marks, same, "left").filter(~F.coalesce(there, F.lit(False))) \
+        .select(*incoming.columns)
 
 
 def fact_load(incoming: DataFrame, existing: DataFrame | None = None,

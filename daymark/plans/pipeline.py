@@ -131,62 +131,131 @@ def load_star(wide: DataFrame, root: str, at: datetime, layout: Layout = WIDE,
     require(audit.select(F.col("constraint").alias("check"), F.lit(0).cast("long").alias("expected"),
                          F.col("violations").alias("actual"), (F.col("violations") == 0).alias("ok")),
             "no fact was loaded")
-    if publish.path_exists(spark, facts_path):
+    days_path = f"{root}/fact_days"
+    index_loads(spark, root)
+    if publish.path_exists(spark, days_path):
         # Only the years of this batch can hold the same keys.
         first, last = wide.agg(F.min(F.year(layout.date)), F.max(F.year(layout.date))).first()
-        stored_facts = spark.read.parquet(facts_path).filter(F.col("year").between(first, last))
-        incoming = star.new_facts(incoming, stored_facts)
+        days = spark.read.parquet(days_path).filter(F.col("year").between(first, last))
+        incoming = star.new_facts(incoming, days=days)
     fresh = pinned(incoming, "facts")
     size = fresh.count()
     if size:
-        start = publish.reserve_ids(spark, root, "observation_id", size, at)
+        load, start = publish.reserve_ids(spark, root, "observation_id", size, at)
         stamped = star.fact_load(fresh, ingested_at=F.lit(at.isoformat(sep=" "))
                                  .cast("timestamp"), after=start)
-        (stamped.withColumn("year", F.floor(F.col("date_id") / 10000).cast("int"))
+        (stamped.withColumns({"year": F.floor(F.col("date_id") / 10000).cast("int"),
+                              "load": F.lit(load).cast("int")})
          .hint("rebalance", "year")
-         .write.mode("append").partitionBy("year").option("compression", "snappy")
+         .write.mode("append").partitionBy("year", "load").option("compression", "snappy")
          .parquet(facts_path))
-    return {**dims, "fact_observation": spark.read.parquet(facts_path).drop("year")}
+        star.fact_days(fresh).write.mode("errorifexists").parquet(f"{days_path}/load={load:08d}")
+    return {**dims, "fact_observation": spark.read.parquet(facts_path).drop("year", "load")}
+
+
+def index_loads(spark: SparkSession, root: str) -> None:
+    """Write the days of loads that ended between their facts and their days.
+
+    Reservations, days and facts carry the number of their load; facts are read
+    for loads that lack their days only.
+    """
+    begun = publish.reserved(spark, root, "observation_id")
+    if begun is None:
+        return
+    days_path, facts_path = f"{root}/fact_days", f"{root}/fact_observation"
+    # One number per load.
+    known = {r[0] for r in spark.read.parquet(days_path).select("load").distinct().collect()} \
+        if publish.path_exists(spark, days_path) else set()
+    lacking = sorted({r[0] for r in begun.select("batch").collect()} - known)
+    if not lacking or not publish.path_exists(spark, facts_path):
+        return
+    for load in lacking:
+        facts = spark.read.parquet(facts_path).filter(F.col("load") == load)
+        if not facts.isEmpty():
+            star.fact_days(facts).write.mode("overwrite").parquet(f"{days_path}/load={load:08d}")
+
+
+def changed_years(spark: SparkSession, root: str) -> tuple[list[int] | None, int]:
+    """Years with facts that the last good refresh has not seen, and the last load.
+
+    None for all: there is no such refresh, or it kept the mart whole.
+    """
+    days_path = f"{root}/fact_days"
+    if not publish.path_exists(spark, days_path):
+        return None, 0
+    loads = spark.read.parquet(days_path).select("load", "year").distinct()
+    last = loads.agg(F.max("load")).first()[0] or 0
+    seen = refresh_log(spark, root).agg(F.max("last_load")).first()[0] \
+        if publish.path_exists(spark, f"{root}/refresh_log") else None
+    if seen is None or publish.stored_parts(spark, root, MART) is None:
+        return None, last
+    # One number per year.
+    return sorted(r[0] for r in loads.filter(F.col("load") > seen).select("year").distinct()
+                  .collect()), last
 
 
 @empties_scratch
 def refresh_serving(schema: dict[str, DataFrame], root: str, at: datetime,
-                    checks=None) -> DataFrame:
+                    checks=None, full: bool = False) -> DataFrame:
     """Build and publish the daily mart; a failed check keeps the last good version.
 
+    `schema` are the tables of `load_star` under `root`.  The mart is kept by
+    years; only years with facts that the last good refresh has not seen are
+    built, written and checked anew, all of them with `full`.  Dimension rows
+    never change once stored, so the other years would come out as they are.
+
     Returns the current mart.  `checks` maps a candidate to check rows; the
-    default asks for a row per day, point and source of the facts, and for unique
-    keys.  The digest, rows and coverage of a good version are added to the
-    refresh log.
+    default asks, of the years written, for a row per day, point and source of the
+    facts, and for unique keys.  The digest, rows and coverage of a good version
+    are added to the refresh log.
     """
+    spark = schema["fact_observation"].sparkSession
+    index_loads(spark, root)
+    years, last = changed_years(spark, root)
+    if full:
+        years = None
     facts = schema["fact_observation"]
 
+    def of_years(df: DataFrame, first, past) -> DataFrame:
+        """Rows of the changed years; the ranges reach the scan."""
+        if years is None:
+            return df
+        inside = F.lit(False)
+        for y in years:
+            inside = inside | ((first(y) <= past) & (past <= first(y, True)))
+        return df.filter(inside)
+
+    facts = of_years(facts, lambda y, end=False: F.lit(y * 10000 + (1231 if end else 101)),
+                     F.col("date_id"))
+
     def default(df: DataFrame) -> DataFrame:
+        mine = of_years(df, lambda y, end=False: F.lit(f"{y:04d}-{'12-31' if end else '01-01'}").cast("date"),
+                        F.col("observation_date"))
         days = facts.select("date_id", "location_id", "source_id").distinct() \
             .agg(F.count("*").alias("fact_rows"))
-        counts = serving.mart_counts(df, serving.monthly_climate(df)).crossJoin(days)
-        return check_rows(counts, [("has rows", "1", "least(rows, 1)"),
+        counts = serving.mart_counts(mine, serving.monthly_climate(mine)).crossJoin(days).crossJoin(
+            df.select(F.lit(1).alias("one")).limit(1).agg(F.count("*").alias("filled")))
+        return check_rows(counts, [("has rows", "1", "filled"),
                                    ("rows of the facts", "fact_rows", "rows"),
                                    ("duplicate_keys", "0", "duplicate_keys")])
 
     mart = serving.mart_from_facts(facts, schema["dim_date"], schema["dim_location"],
-                                   schema["dim_variable"], schema["dim_source"])
-    spark = mart.sparkSession
-    attempts = publish.publish_validated(mart, root, MART, checks or default, at)
+                                   schema["dim_variable"], schema["dim_source"]) \
+        .withColumn("mart_year", F.year("observation_date").cast("long"))
+    made = publish.try_publish(mart, root, MART, checks or default, at, "mart_year", years)
     current = publish.current_version(spark, root, MART)
-    last = attempts.agg(F.max_by("status", "attempt"), F.max("attempt")).first()
-    if last[0] == "SUCCESS":
+    if made.ok:
         when = F.lit(at.isoformat(sep=" ")).cast("timestamp")
-        serving.refresh_record(current, MART, when).coalesce(1).write.mode("errorifexists") \
-            .json(f"{root}/refresh_log/attempt={last[1]:08d}")
+        serving.refresh_record(current, MART, when).withColumn("last_load", F.lit(last)).coalesce(1) \
+            .write.mode("errorifexists").json(f"{root}/refresh_log/{made.number:08d}-{made.token}")
     return current
 
 
 def refresh_log(spark: SparkSession, root: str) -> DataFrame:
-    """The stored refresh records, oldest and newest."""
+    """The stored refresh records, oldest and newest, with the last load that each has seen."""
     return spark.read.schema(
         "output_name string, refreshed_at timestamp, logical_sha256 string, rows long, "
-        "observation_coverage_start date, observation_coverage_end date") \
+        "observation_coverage_start date, observation_coverage_end date, last_load long") \
         .option("recursiveFileLookup", True).json(f"{root}/refresh_log")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,12 +54,52 @@ def request_id(requests: DataFrame, source: str = DEFAULT_SOURCE,
     return requests.withColumn(name, F.substring(F.sha2(text, 256), 1, 16))
 
 
-def file_digests(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(raw_file, actual_sha256, bytes) of every file under the path."""
+# Files up to this size are read by Spark in one piece; larger ones in chunks.
+WHOLE_BYTES, CHUNK_BYTES = 32 << 20, 4 << 20
+
+
+def open_file(path: str):
+    """A stream over a file, by its address; local files may lack one."""
+    from pyarrow import fs
+    plain = path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
+    store, inner = fs.FileSystem.from_uri(plain) if "://" in plain else (fs.LocalFileSystem(), plain)
+    return store.open_input_stream(inner)
+
+
+def _chunked_digests(files: DataFrame, opener: Callable) -> DataFrame:
+    """SHA-256 of each file (path, length), read chunk by chunk where a task works on it."""
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for path in batch.column("path").to_pylist():
+                running = hashlib.sha256()
+                with opener(path) as stream:
+                    while chunk := stream.read(CHUNK_BYTES):
+                        running.update(chunk)
+                made.append(running.hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), pa.array(made), batch.column("length")],
+                names=["path", "actual_sha256", "length"])
+
+    return files.mapInArrow(digest, "path string, actual_sha256 string, length long")
+
+
+def file_digests(spark: SparkSession, path: str | Sequence[str],
+                 opener: Callable = open_file) -> DataFrame:
+    """(raw_file, actual_sha256, bytes) of every file under the path.
+
+    Files of more than WHOLE_BYTES are never held whole: they are dealt out by
+    name, and tasks read them in chunks through `opener`, which maps an address to
+    a readable stream and has to suit the store.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.regexp_replace("path", "^file:/+", "/").alias("raw_file"),
-                        F.sha2("content", 256).alias("actual_sha256"),
-                        F.col("length").alias("bytes"))
+    # Only names and lengths are read of the files that a filter on the length leaves out.
+    small = files.filter(F.col("length") <= WHOLE_BYTES).select(
+        "path", F.sha2("content", 256).alias("actual_sha256"), "length")
+    large = files.filter(F.col("length") > WHOLE_BYTES).select("path", "length").repartition("path")
+    return small.unionByName(_chunked_digests(large, opener)).select(
+        F.regexp_replace("path", "^file:/+", "/").alias("raw_file"), "actual_sha256",
+        F.col("length").alias("bytes"))
 
 
 def raw_file_integrity(manifest: DataFrame, digests: DataFrame) -> DataFrame:

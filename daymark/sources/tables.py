@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from daymark.functions.columns import nan_to_null
 from daymark.schema import WIDE, Layout
 
+# The column by which published tables are kept in folders.
+YEAR = "year"
+
 # Cell texts that the reader of raw rows takes as missing.
 MISSING_TEXT = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
                 "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
@@ -78,15 +81,38 @@ def assemble_points(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def publish_sorted_wide(df: DataFrame, path: str, layout: Layout = WIDE,
-                        file_format: str = "csv") -> DataFrame:
-    """Write the table in (location, date) order and return a scan of it.
+                        file_format: str = "parquet", ranges: int | None = None) -> DataFrame:
+    """Write the table by year in (location, date) order and return a scan of it.
+
+    Rows are dealt over files by ranges of year and location and sorted within
+    them, so the smallest and largest values that Parquet keeps of files, row
+    groups and pages let a scan of few locations or days skip the rest.  There is
+    no order over all files; "csv" writes one, in a single sorted table.  `ranges`
+    is the number of tasks that write, by default one per shuffle partition of
+    the session's advised size.
 
     The path must be new: Spark's committer makes the files visible only once
     all tasks have succeeded, so a failed run leaves nothing readable behind.
     """
-    ordered = df.select(*layout.required).orderBy(layout.location, layout.date)
+    rows = df.select(*layout.required)
     if file_format == "csv":
-        write_wide_csv(ordered, path)
+        write_wide_csv(rows.orderBy(layout.location, layout.date), path)
         return read_wide_csv(df.sparkSession, path, layout)
-    write_wide_parquet(ordered, path)
-    return read_wide_parquet(df.sparkSession, path, layout=layout)
+    order = [YEAR, layout.location, layout.date]
+    ranged = rows.withColumn(YEAR, F.year(layout.date)) \
+        .repartitionByRange(*([ranges] if ranges else []), *order).sortWithinPartitions(*order)
+    write_wide_parquet(ranged, path, [YEAR])
+    return read_published_wide(df.sparkSession, path, layout)
+
+
+def read_published_wide(spark: SparkSession, path: str, layout: Layout = WIDE,
+                        days: tuple[str, str] | None = None) -> DataFrame:
+    """The published table, or its rows from the first to the last day of `days`.
+
+    Only the folders of these years are opened; other filters reach the scan.
+    """
+    predicates = []
+    if days:
+        predicates = [F.col(YEAR).between(int(days[0][:4]), int(days[1][:4])),
+                      F.col(layout.date).between(*[F.lit(d).cast("date") for d in days])]
+    return read_wide_parquet(spark, path, layout.required, predicates, layout)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from daymark.plans import ingest_payloads, prepare_features, profile, validate
 from daymark.operators.serving import mart_from_wide
 from daymark.schema import MANIFEST_SCHEMA, WIDE, code_of
-from daymark.sources import manifest, payloads, tables
+from daymark.operators.checks import check_rows
+from daymark.sources import manifest, payloads, publish, tables
 
 CODES = [code_of(m) for m in WIDE.measures]
 
@@ -181,3 +182,84 @@ def test_ingest_refuses_what_it_would_lose(spark, tmp_path):
             (good, "B", "keys without a point"), ("", "A", "has payloads"))):
         with pytest.raises(ValueError, match=what):
             ingest_payloads(spark, write(f"bad{i}", text), points(spark, known), str(tmp_path / f"p{i}"))
+
+
+def rows_read(df):
+    """Rows that the scan handed on, after whole folders, files, row groups and pages were skipped."""
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    found = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith("Scan parquet"):
+            found.append(leaf.metrics().apply("numOutputRows").value())
+    assert found, plan.toString()
+    return sum(found)
+
+
+def test_published_layout_skips_other_locations_and_years(spark, tmp_path):
+    days, places = 730, 40
+    day = F.date_add(F.lit("2019-01-01").cast("date"), (F.col("id") % days).cast("int"))
+    df = spark.range(days * places).select(
+        day.alias("date"), F.format_string("P%02d", (F.col("id") / days).cast("int")).alias("location"),
+        F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"), F.lit("NASA_POWER").alias("source"),
+        *[F.rand(i).alias(m) for i, m in enumerate(WIDE.measures)]).repartition(6)
+    path = str(tmp_path / "wide")
+    stored = tables.publish_sorted_wide(df, path, ranges=16)
+    assert stored.columns == list(WIDE.required) and stored.count() == days * places
+    one = stored.filter("location = 'P17'")
+    assert one.count() == days and rows_read(one) < days * places / 3
+    year = tables.read_published_wide(spark, path, days=("2020-03-01", "2020-12-31"))
+    assert year.count() == 305 * places and rows_read(year) <= 365 * places + places
+    both = year.filter("location = 'P03'")
+    assert both.count() == 305 and rows_read(both) < 366 * places / 3
+    tables.publish_sorted_wide(df, str(tmp_path / "csv"), file_format="csv")
+    assert tables.read_wide_csv(spark, str(tmp_path / "csv")).count() == days * places
+
+
+def test_large_files_are_digested_in_chunks(spark, tmp_path):
+    """A file beyond what Spark holds in one row, and small ones beside it."""
+    import hashlib
+
+    size = 2_300_000_000
+    with open(tmp_path / "large.bin", "wb") as f:
+        f.truncate(size)
+        f.write(b"head")
+    (tmp_path / "small.txt").write_bytes(b"small")
+    expected, block = hashlib.sha256(b"head"), bytes(1 << 20)
+    left = size - 4
+    while left:
+        expected.update(block[:left])
+        left -= len(block[:left])
+    got = {r["raw_file"].rsplit("/", 1)[1]: (r["actual_sha256"], r["bytes"])
+           for r in manifest.file_digests(spark, str(tmp_path)).collect()}
+    assert got == {"large.bin": (expected.hexdigest(), size),
+                   "small.txt": (hashlib.sha256(b"small").hexdigest(), 5)}
+
+
+def test_two_writers_do_not_spoil_each_other(spark, tmp_path):
+    """A second attempt starts and ends while the first one is being checked."""
+    root, at = str(tmp_path / "root"), dt.datetime(2024, 1, 1)
+    good = lambda df: check_rows(df.agg(F.count("*").alias("n")), [("rows", "1", "least(n, 1)")])
+    bad = lambda df: check_rows(df.agg(F.count("*").alias("n")), [("rows", "-1", "n")])
+
+    def meanwhile(other):
+        def checks(df):
+            publish.publish_validated(spark.range(20, 25), root, "t", other, at)
+            return good(df)
+        return checks
+
+    for other, rows in ((bad, 10), (good, 5)):
+        publish.publish_validated(spark.range(10), root, "t", meanwhile(other), at)
+        assert publish.current_version(spark, root, "t").count() == rows
+    log = publish._attempts(spark, root).orderBy("attempt").collect()
+    assert [(r["attempt"], r["status"]) for r in log] == [
+        (1, "SUCCESS"), (2, "FAILED"), (3, "SUCCESS"), (4, "SUCCESS")]
+    # Two attempts that saw the same state have one number and still two records.
+    publish._record(spark, root, "t", 9, "a", "STARTED", at)
+    for token in ("a", "b"):
+        spark.range(3 if token == "a" else 4).write.parquet(publish._folder(root, "t", 9, token))
+        publish._record(spark, root, "t", 9, token, "SUCCESS", at)
+    assert publish.current_version(spark, root, "t").count() == 4

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from daymark.functions import digest
 from daymark.operators import quality, serving, star
 from daymark.plans import load_star, refresh_serving
 from daymark.plans.pipeline import refresh_log
@@ -157,3 +158,85 @@ def test_freshness_labels(spark):
     got = {r["output_name"]: r["label"] for r in serving.freshness(log, now).collect()}
     assert got == {"old": "STALE", "young": "FRESH", "broken": "FAILED_REFRESH",
                    "never": "UNKNOWN"}
+
+
+def days_of(spark, year, n, place="A", t2m=20.0):
+    return wide(spark, *[((dt.date(year, 1, 1) + dt.timedelta(days=i)).isoformat(), place, "NASA_POWER", t2m + i % 5)
+                         for i in range(n)])
+
+
+def test_refresh_writes_changed_years_only(spark, tmp_path):
+    """Later loads touch one year each; rows and digest equal a full rebuild."""
+    root = str(tmp_path / "warehouse")
+    first = days_of(spark, 2018, 40).unionByName(days_of(spark, 2019, 40))
+    refresh_serving(load_star(first, root, AT), root, AT)
+    versions = sorted((tmp_path / "warehouse/versions/mart_weather_daily").glob("version=*"))
+    assert [sorted(p.name for p in v.glob("mart_year=*")) for v in versions] == [["mart_year=2018", "mart_year=2019"]]
+    before = {p: p.stat().st_mtime_ns for p in versions[0].rglob("*.parquet")}
+    for batch, year in ((days_of(spark, 2020, 30), 2020), (days_of(spark, 2019, 50), 2019)):
+        schema = load_star(batch, root, AT + dt.timedelta(days=year - 2018))
+        mart = refresh_serving(schema, root, AT + dt.timedelta(days=year - 2018))
+        newest = max((tmp_path / "warehouse/versions/mart_weather_daily").glob("version=*"), key=lambda p: p.name)
+        assert [p.name for p in newest.glob("mart_year=*")] == [f"mart_year={year}"]
+    assert {p: p.stat().st_mtime_ns for p in versions[0].rglob("*.parquet")} == before
+    assert mart.count() == 40 + 50 + 30
+    rebuilt = serving.mart_from_facts(*[schema[n] for n in (
+        "fact_observation", "dim_date", "dim_location", "dim_variable", "dim_source")])
+    assert digest.fingerprint(mart).first() == digest.fingerprint(rebuilt).first()
+    full = refresh_serving(schema, root, AT + dt.timedelta(days=9), full=True)
+    assert digest.fingerprint(full).first() == digest.fingerprint(rebuilt).first()
+    assert refresh_log(spark, root).agg(F.max("last_load")).first()[0] == 3
+
+
+def test_failed_refresh_leaves_its_years_for_the_next(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    refresh_serving(load_star(days_of(spark, 2018, 5), root, AT), root, AT)
+    wrong = lambda df: serving.mart_invariants(df, serving.monthly_climate(df), 999, 3, 3)
+    kept = refresh_serving(load_star(days_of(spark, 2019, 5), root, AT), root, AT, wrong)
+    assert kept.count() == 5
+    schema = load_star(days_of(spark, 2020, 5), root, AT)
+    assert refresh_serving(schema, root, AT).count() == 15
+    # Nothing new: nothing is written, and the mart stays.
+    assert refresh_serving(schema, root, AT).count() == 15
+
+
+def test_load_that_ended_before_its_days_were_written(spark, tmp_path):
+    """The days of such a load are made from its facts, so nothing is loaded twice."""
+    root = tmp_path / "warehouse"
+    load_star(days_of(spark, 2018, 5), str(root), AT)
+    load_star(days_of(spark, 2018, 8), str(root), AT)
+    lost = root / "fact_days/load=00000002"
+    lost.rename(root / "aside")
+    again = load_star(days_of(spark, 2018, 8), str(root), AT)
+    assert again["fact_observation"].count() == 8 * 7 and lost.exists()
+
+
+def test_stored_keys_equal_a_plain_anti_join(spark):
+    """Days as bits against an anti join on all four columns; missing keys are always new."""
+    import random
+    rng = random.Random(4)
+
+    def facts(n):
+        rows = {(rng.choice([20191231, 20200101, 20200229, 20201231, 20200630, None]), rng.randrange(3),
+                 rng.choice([1, 2, None]), 1) for _ in range(n)}
+        return spark.createDataFrame([(*r, 1.0) for r in rows], "date_id int, location_id int, variable_id int, "
+                                     "source_id int, value double")
+
+    stored, incoming = facts(20), facts(60)
+    plain = incoming.join(stored.select(*star.FACT_KEY), list(star.FACT_KEY), "left_anti")
+    key = lambda r: tuple(-1 if v is None else v for v in r)
+    expected = sorted(map(key, plain.select(*star.FACT_KEY, "value").collect()))
+    for got in (star.new_facts(incoming, stored),
+                star.new_facts(incoming, days=star.fact_days(stored).unionByName(star.fact_days(stored.limit(3))))):
+        assert sorted(map(key, got.select(*star.FACT_KEY, "value").collect())) == expected
+
+
+def test_reload_does_not_shuffle_stored_facts(spark, tmp_path):
+    """The plan of a reload reads days of years, never the stored facts."""
+    root = str(tmp_path / "warehouse")
+    load_star(days_of(spark, 2018, 60), root, AT)
+    days = spark.read.parquet(f"{root}/fact_days").filter("year = 2018")
+    incoming = spark.read.parquet(f"{root}/fact_observation").select(*star.FACT_KEY, "value")
+    text = star.new_facts(incoming, days=days)._jdf.queryExecution().executedPlan().toString()
+    assert days.count() == 7
+    assert text.count("FileScan") == 2 and "SortMergeJoin" not in text
