@@ -151,6 +151,7 @@ ROUNDED = {
     "profile_monthly_climatology": " ".join(MEASURES),
     "profile_monthly_rain_matrix": "mean_rain",
     "profile_location_stats": "mean std",
+    "summary_location_stats": "mean std",
     "profile_correlations": "correlation",
     "profile_variance": "variance std_dev",
     "delayed_rolling_means": _ROLLING,

@@ -297,6 +297,11 @@ def profile_quality_report(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
 
 def profile_candidate_problems(df: DataFrame, layout: Layout = WIDE) -> DataFrame:
     """(dimension, problem, count) rows of the six basic problems."""
+    return problem_rows(_key_facts(df, layout))
+
+
+def problem_rows(totals: DataFrame) -> DataFrame:
+    """The six basic problems from one row of totals."""
     problems = [("Completeness", "Missing daily dates", "missing_days"),
                 ("Uniqueness", "Duplicate location-date records", "duplicate_location_date_rows"),
                 ("Consistency", "Invalid min/mean/max temperature ordering",
@@ -306,7 +311,7 @@ def profile_candidate_problems(df: DataFrame, layout: Layout = WIDE) -> DataFram
                 ("Validity", "Negative wind-speed values", "negative_wind_speed")]
     entries = F.array(*[F.struct(F.lit(d).alias("dimension"), F.lit(p).alias("problem"),
                                  F.col(c).cast("long").alias("count")) for d, p, c in problems])
-    return _key_facts(df, layout).select(F.inline(entries))
+    return totals.select(F.inline(entries))
 
 
 # ---------------------------------------------------------------- distributions

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daymark.functions import days as day_bits
 from daymark.functions.ids import calendar_ids, range_ids
 from daymark.functions.skew import repeated_keys
 from daymark.functions.storage import pinned
@@ -163,13 +164,8 @@ def fact_dim_lookup(long: DataFrame, dates: DataFrame, locations: DataFrame,
             .select(*FACT_KEY, "value"))
 
 
-# Days of a year as bits: 31 for each month, 64 in a number.
-_DAY_WORDS = 6
 SERIES_KEY = ("location_id", "variable_id", "source_id")
-
-
-def _day_bit(date_id: str = "date_id") -> str:
-    return f"(({date_id} DIV 100 % 100 - 1) * 31 + {date_id} % 100 - 1)"
+_DAY = day_bits.place("(date_id DIV 100 % 100)", "(date_id % 100)")
 
 
 def fact_days(facts: DataFrame) -> DataFrame:
@@ -180,17 +176,14 @@ def fact_days(facts: DataFrame) -> DataFrame:
     combined by `or`, which never changes what is there.
     """
     known = facts.filter(" AND ".join(f"{c} IS NOT NULL" for c in FACT_KEY)) \
-        .select(*SERIES_KEY, F.expr("date_id DIV 10000").cast("int").alias("year"),
-                F.expr(_day_bit()).alias("bit"))
-    words = [F.expr(f"bit_or(IF(bit DIV 64 = {i}, shiftleft(1L, CAST(bit % 64 AS INT)), 0L))")
-             .alias(f"days{i}") for i in range(_DAY_WORDS)]
-    return known.groupBy(*SERIES_KEY, "year").agg(*words)
+        .select(*SERIES_KEY, "date_id", F.expr("date_id DIV 10000").cast("int").alias("year"))
+    return known.groupBy(*SERIES_KEY, "year").agg(*day_bits.bits(_DAY, "days"))
 
 
 def merged_days(days: DataFrame) -> DataFrame:
     """One row per series and year from the rows of several loads."""
     return days.groupBy(*SERIES_KEY, "year").agg(
-        *[F.expr(f"bit_or(days{i})").alias(f"days{i}") for i in range(_DAY_WORDS)])
+        *[F.expr(f"bit_or(days{i})").alias(f"days{i}") for i in range(day_bits.WORDS)])
 
 
 def new_facts(incoming: DataFrame, existing: DataFrame | None = None,
@@ -203,12 +196,11 @@ def new_facts(incoming: DataFrame, existing: DataFrame | None = None,
     """
     stored = merged_days(days) if days is not None else fact_days(existing)
     marks = stored.select(*[F.col(c).alias(f"_{c}") for c in (*SERIES_KEY, "year")],
-                          *[f"days{i}" for i in range(_DAY_WORDS)])
+                          *[f"days{i}" for i in range(day_bits.WORDS)])
     same = F.expr("date_id DIV 10000 = _year")
     for c in SERIES_KEY:
         same = same & (F.col(c) == F.col(f"_{c}"))
-    word = " ".join(f"WHEN {i} THEN days{i}" for i in range(_DAY_WORDS))
-    there = F.expr(f"getbit(CASE {_day_bit()} DIV 64 {word} END, CAST({_day_bit()} % 64 AS INT)) = 1")
+    there = F.expr(day_bits.is_set(_DAY, "days"))
     return incoming.join(marks, same, "left").filter(~F.coalesce(there, F.lit(False))) \
         .select(*incoming.columns)
 

@@ -1,7 +1,7 @@
 """Multi-step runs that read, check, write and publish."""
 
-from daymark.plans.pipeline import (ingest_payloads, load_star, prepare_features, profile,
+from daymark.plans.pipeline import (extend_profile, ingest_payloads, load_star, prepare_features, profile,
                                     refresh_serving, validate)
 
-__all__ = ["ingest_payloads", "load_star", "prepare_features", "profile", "refresh_serving",
+__all__ = ["extend_profile", "ingest_payloads", "load_star", "prepare_features", "profile", "refresh_serving",
            "validate"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from daymark.functions.ids import range_ids
 from daymark.functions.skew import repeated_keys
 from daymark.functions.storage import empties_scratch, pinned
-from daymark.operators import features, profiling, quality, quarantine, serving, star
+from daymark.operators import features, profiling, quality, quarantine, serving, star, summary
 from daymark.operators.checks import check_rows
 from daymark.schema import DEFAULT_COUNTRY, SOURCE_METADATA, WIDE, Layout
 from daymark.sources import manifest as manifests
@@ -279,16 +279,29 @@ def prepare_features(mart: DataFrame, out: str, splits: features.SplitPlan = fea
     return features.split_checks(written.filter(F.col("split").isNotNull()), plan.delay)
 
 
+#: Reports that are made from the summary of a table and never read its rows.
+SUMMARY_REPORTS = {
+    "missing": summary.missing, "date_gaps": summary.date_gaps,
+    "candidate_problems": summary.candidate_problems, "points": summary.points,
+    "temporal_coverage": summary.temporal_coverage, "bounding_box": summary.bounding_box,
+    "coordinate_variants": summary.coordinate_variants, "coverage": summary.coverage,
+    "rule_violations": summary.rule_violations, "location_counts": summary.location_counts,
+    "annual_counts": summary.annual_counts, "location_stats": summary.location_stats,
+    "sources": summary.sources, "missing_measures": summary.missing_measures}
+
+
 @empties_scratch
 def profile(wide: DataFrame, out: str, layout: Layout = WIDE) -> None:
-    """Write the profile tables, one folder each."""
+    """Write the profile tables, one folder each, and the summary that most of them read.
+
+    `extend_profile` adds a load to the summary without reading the table again.
+    """
+    summary.write_summary(summary.summarize(wide, layout), f"{out}/summary")
+    _write_reports(summary.read_summary(wide.sparkSession, f"{out}/summary", layout), out)
     reports = {
         "schema": profiling.profile_schema(wide),
         "describe": profiling.profile_describe(wide, layout),
-        "missing": profiling.profile_missing(wide),
-        "date_gaps": profiling.profile_date_gaps(wide, layout),
         "quality_report": profiling.profile_quality_report(wide, layout),
-        "candidate_problems": profiling.profile_candidate_problems(wide, layout),
         "percentiles": profiling.profile_percentiles(wide, layout),
         "temperature_jumps": profiling.profile_jumps(wide, layout.mean_temperature,
                                                      layout=layout),
@@ -298,3 +311,20 @@ def profile(wide: DataFrame, out: str, layout: Layout = WIDE) -> None:
         "advanced_problems": profiling.profile_advanced_problems(wide, layout)}
     for name, report in reports.items():
         report.write.mode("errorifexists").parquet(f"{out}/{name}")
+
+
+def _write_reports(totals: summary.Summary, out: str) -> None:
+    for name, report in SUMMARY_REPORTS.items():
+        report(totals).write.mode("errorifexists").parquet(f"{out}/{name}")
+
+
+@empties_scratch
+def extend_profile(profiled: str, load: DataFrame, out: str, layout: Layout = WIDE) -> None:
+    """The summary and its reports for a profiled table and a load of further rows.
+
+    Only the load is read; `profiled` is the folder of the earlier profile, and
+    `out` a new one.
+    """
+    stored = summary.read_summary(load.sparkSession, f"{profiled}/summary", layout)
+    summary.write_summary(summary.merge(stored, summary.summarize(load, layout)), f"{out}/summary")
+    _write_reports(summary.read_summary(load.sparkSession, f"{out}/summary", layout), out)

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daymark.operators import compare, profiling
+from daymark.operators import compare, profiling, quality, summary
+from daymark.plans.pipeline import SUMMARY_REPORTS, extend_profile, profile
 from daymark.schema import WIDE
 
 
@@ -177,3 +178,41 @@ def test_pairs_equal_sorted_lists(spark):
         assert compare.tolerant_compare_join(a, b, ["key"], "v").first()["max_abs_difference"] >= gap
     finally:
         compare.BLOCK = old
+
+
+def rows_of(df):
+    def plain(v):
+        return round(v, 9) if isinstance(v, float) else v
+    return sorted((tuple(plain(v) for v in r) for r in df.collect()), key=str), df.columns
+
+
+def test_reports_of_merged_summaries_equal_those_of_the_rows(spark, tmp_path):
+    """A table with gaps, copies, nulls, two sources and moved points, profiled whole and load by load."""
+    _, df = table(spark, 11, days=500, places=("A", "B", None), copies=0.2)
+    df = df.withColumns({
+        "source": F.when(F.dayofyear("date") % 5 == 0, "OTHER").otherwise(F.col("source")),
+        "latitude": F.when(F.dayofyear("date") % 7 == 0, 95.0).otherwise(F.col("latitude")),
+        "date": F.when(F.dayofyear("date") % 11 != 0, F.col("date")),
+        "rh2m": F.when(F.dayofyear("date") % 3 == 0, F.col("rh2m") + 100).otherwise(F.col("rh2m"))}).cache()
+    part = F.pmod(F.xxhash64(*df.columns, F.monotonically_increasing_id()), F.lit(2))
+    loads = [df.withColumn("_p", part).filter(F.col("_p") == i).drop("_p").cache() for i in range(2)]
+    assert loads[0].count() + loads[1].count() == df.count() and loads[1].count() > 0
+    profile(loads[0], str(tmp_path / "first"))
+    extend_profile(str(tmp_path / "first"), loads[1], str(tmp_path / "both"))
+    whole = summary.summarize(df)
+    direct = {"date_gaps": profiling.profile_date_gaps, "missing": profiling.profile_missing}
+    for name, report in SUMMARY_REPORTS.items():
+        plain = direct.get(name) or getattr(profiling, f"profile_{name}")
+        expected = rows_of(plain(df))
+        assert rows_of(report(whole)) == expected, name
+        assert rows_of(spark.read.parquet(str(tmp_path / "both" / name))) == expected, name
+    rules = {r["rule_name"]: r["affected_rows"] for r in quality.quality_summary(df).collect()}
+    got = {r["rule_name"]: r["affected_rows"] for r in summary.rule_rows(whole).collect()}
+    assert got == {n: rules[n] for n in got} and len(got) == 10 and rules["duplicate_location_date"] > 0
+
+
+def test_summary_of_nothing(spark):
+    none = summary.summarize(spark.createDataFrame([], WIDE.wide_schema()))
+    assert summary.coverage(summary.merge(none, none)).first()["records"] == 0
+    assert summary.date_gaps(none).count() == 0
+    assert {r["affected_rows"] for r in summary.rule_rows(none).collect()} == {0}
