@@ -14,7 +14,7 @@ from daymark.functions.skew import repeated_keys
 from daymark.functions.storage import pinned
 from daymark.operators.checks import one_row_table
 from daymark.operators.quality import iqr_flags, long_values
-from daymark.schema import SENTINELS, WIDE, Layout, code_of
+from daymark.schema import CANDIDATE_PROBLEMS, SENTINELS, WIDE, Layout, code_of
 
 # Quantile columns of the percentile report.
 TAIL_QUANTILES = {"p0_1": 0.001, "p1": 0.01, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99,
@@ -302,15 +302,8 @@ def profile_candidate_problems(df: DataFrame, layout: Layout = WIDE) -> DataFram
 
 def problem_rows(totals: DataFrame) -> DataFrame:
     """The six basic problems from one row of totals."""
-    problems = [("Completeness", "Missing daily dates", "missing_days"),
-                ("Uniqueness", "Duplicate location-date records", "duplicate_location_date_rows"),
-                ("Consistency", "Invalid min/mean/max temperature ordering",
-                 "temperature_consistency_violations"),
-                ("Validity", "Relative humidity outside 0-100%", "invalid_relative_humidity"),
-                ("Validity", "Negative precipitation values", "negative_precipitation"),
-                ("Validity", "Negative wind-speed values", "negative_wind_speed")]
     entries = F.array(*[F.struct(F.lit(d).alias("dimension"), F.lit(p).alias("problem"),
-                                 F.col(c).cast("long").alias("count")) for d, p, c in problems])
+                                 F.col(c).cast("long").alias("count")) for d, p, c in CANDIDATE_PROBLEMS])
     return totals.select(F.inline(entries))
 
 
@@ -522,14 +515,15 @@ def profile_jumps(df: DataFrame, measure: str, quantile: float = 0.999,
 
     Further copies of a reading have a change of zero.
     """
-    # Read three times: twice for the quantile and once for the result.
+    # Read twice for the quantile and once for the result.
     changes = pinned(daily_changes(df, measure, layout).withColumn("_size", F.abs("change")))
-    sizes = changes.select(F.inline(F.array(
-        F.struct(F.col("_size").alias("_size"), F.lit(1).cast("long").alias("_weight")),
-        F.struct(F.when(F.col("value").isNotNull(), 0.0).alias("_size"),
-                 (F.col("copies") - 1).alias("_weight")))))
-    limit = exact_quantiles(sizes, [], "_size", {"threshold": quantile},
-                            weight=F.col("_weight"))
+    sizes, weight = changes.select("_size"), None
+    if not changes.filter("copies > 1 AND value IS NOT NULL").limit(1).isEmpty():
+        sizes, weight = changes.select(F.inline(F.array(
+            F.struct(F.col("_size").alias("_size"), F.lit(1).cast("long").alias("_weight")),
+            F.struct(F.when(F.col("value").isNotNull(), 0.0).alias("_size"),
+                     (F.col("copies") - 1).alias("_weight"))))), F.col("_weight")
+    limit = exact_quantiles(sizes, [], "_size", {"threshold": quantile}, weight=weight)
     # One row.
     joined = changes.crossJoin(F.broadcast(limit))
     # Copies matter only when a change of zero reaches the threshold.

@@ -118,3 +118,13 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("sha256", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("last_verified_at", T.TimestampType())])
+
+# Dimension and label of each basic problem, and the total that counts it.
+CANDIDATE_PROBLEMS = (
+    ("Completeness", "Missing daily dates", "missing_days"),
+    ("Uniqueness", "Duplicate location-date records", "duplicate_location_date_rows"),
+    ("Consistency", "Invalid min/mean/max temperature ordering",
+     "temperature_consistency_violations"),
+    ("Validity", "Relative humidity outside 0-100%", "invalid_relative_humidity"),
+    ("Validity", "Negative precipitation values", "negative_precipitation"),
+    ("Validity", "Negative wind-speed values", "negative_wind_speed"))
