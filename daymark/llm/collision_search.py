@@ -39,6 +39,8 @@ def nearest(rows: DataFrame, asked: DataFrame, k: int = 5, vector_id: str = "vec
 
 def collisions(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, k: int):
     """Verified pairs (query, row, cosine) of one block."""
+    # Powers of two change no cosine, and keep squares of very large and small entries in range.
+    x, q = (np.ldexp(m, -np.frexp(np.abs(m).max(axis=1))[1][:, None]) for m in (x, q))
     lengths, asked = [np.sqrt((m * m).sum(axis=1)) for m in (x, q)]
     unit, turned = x / lengths[:, None], q / asked[:, None]
     axes = np.random.default_rng(SEED).standard_normal((x.shape[1], DIRECTIONS))

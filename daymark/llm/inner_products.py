@@ -9,7 +9,7 @@ whose bound reaches the k-th best are multiplied out. The first k-th best score
 bounded number of the longest vectors. Any rotation and any first score give the same result; they
 only decide how much is skipped. Bounds are widened by more than their rounding errors.
 
-Scores are exact while they stay below 2**63; see vector_blocks for null, odd and repeated rows.
+Products that are no exact longs stop the run; see vector_blocks for null, odd and repeated rows.
 """
 
 from __future__ import annotations
@@ -64,6 +64,8 @@ def pruned(ids, x, own, q, basis, floor, k):
     lengths, asked = [np.sqrt((m * m).sum(axis=1)) for m in (xr, qr)]
     rest, rest_asked = [np.sqrt((m[:, head:] ** 2).sum(axis=1)) for m in (xr, qr)]
     slack = 1 + SLACK * asked * (lengths[0] if len(lengths) else 0)
+    if len(x) and len(q) and (lengths.max() * asked.max() >= 2.0 ** 62 or max(lengths.max(), asked.max()) >= 2.0 ** 52):
+        raise ValueError("products of these vectors are no exact longs")
     exact, wanted = x.astype(np.int64), q.astype(np.int64)
     least = np.where(np.isfinite(floor), floor, -np.inf)
     held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))

@@ -92,3 +92,18 @@ def test_rules_for_odd_urls(spark):
         ("c", "/\n/é", "c/", "block"), ("u:p@b.com", "/x", None, "allow"), ("b.com", "//x", None, "allow")]
     assert url_rules.judge(pages.where("false"), rules).count() == 0
     assert {r.verdict for r in url_rules.judge(pages, rules.where("false")).collect()} == {"allow"}
+
+
+def test_very_large_and_small_vectors(spark):
+    """Cosines of finite vectors of any size; products beyond exact longs are refused."""
+    rng = np.random.default_rng(12)
+    plain = rng.normal(size=(40, 6))
+    sizes = 10.0 ** rng.choice([-200, -3, 0, 5, 200], 40)
+    kind = "vec_id long, embedding array<double>"
+    rows = [spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], kind)
+            for m in (plain, plain * sizes[:, None])]
+    got = [sorted((r.query_id, r.vec_id, round(r.score, 9)) for r in
+                  collision_search.nearest(df, df.where("vec_id % 10 = 0")).collect()) for df in rows]
+    assert got[0] == got[1] and len(got[0]) == 20
+    with pytest.raises(Exception, match="no exact longs"):
+        inner_products.largest(rows[1], rows[1].where("vec_id % 10 = 0")).collect()
