@@ -35,9 +35,16 @@ def _counted(left: DataFrame, right: DataFrame) -> DataFrame:
 BLOCK = 1 << 18
 
 
-def _intervals(counted: DataFrame, exact: Sequence[str], numbers: Sequence[str],
+def _open_rows(counted: DataFrame, exact: Sequence[str]) -> DataFrame:
+    """Distinct rows of the keys that the sides hold differently; none when they are alike."""
+    open_ = counted.filter(F.col("_na") != F.col("_nb")).select(*exact).distinct()
+    rest = counted.alias("a").join(open_.alias("b"), _same_keys(exact), "left_semi")
+    return pinned(rest.select(*[F.col(f"a.{c}") for c in counted.columns]), "open_rows")
+
+
+def _intervals(rest: DataFrame, exact: Sequence[str], numbers: Sequence[str],
                tolerance: float) -> DataFrame:
-    """Distinct rows of the keys that the sides hold differently, with the places of their copies.
+    """The rows with the places of their copies.
 
     A row's copies take the places `_a_to - _na` to `_a_to - 1` among the left
     rows of its exact columns, and likewise among the right ones.  Places follow
@@ -45,10 +52,8 @@ def _intervals(counted: DataFrame, exact: Sequence[str], numbers: Sequence[str],
     for the order of the next number, so a move below it does not decide which
     rows meet.
     """
-    open_ = counted.filter(F.col("_na") != F.col("_nb")).select(*exact).distinct()
-    rest = counted.alias("a").join(open_.alias("b"), _same_keys(exact), "left_semi")
-    # A single number has the order of its groups.
-    for i, c in enumerate(numbers if len(numbers) > 1 else []):
+    # A single number has the order of its groups, and no rows have none.
+    for i, c in enumerate(numbers if len(numbers) > 1 and not rest.isEmpty() else []):
         near = Window.partitionBy(*exact).orderBy(c)
         apart = F.coalesce(F.col(c) - F.lag(c).over(near) > tolerance, F.lit(False))
         rest = rest.withColumn(f"_apart{i}", apart.cast("int")) \
@@ -70,8 +75,7 @@ def _paired(counted: DataFrame, exact: Sequence[str], numbers: Sequence[str],
     places, and a sweep over the ends of both sides' intervals, cut into blocks of
     BLOCK places, gives the runs of places at which the same two rows meet.
     """
-    # Read for both sides; keys that the sides hold alike are not in it.
-    rest = pinned(_intervals(counted, exact, numbers, tolerance), "intervals")
+    rest = _intervals(_open_rows(counted, exact), exact, numbers, tolerance)
     held = F.struct(F.lit(True).alias("held"), *numbers)
     none = F.struct(F.lit(False).alias("held"), *[F.lit(None).cast(dict(rest.dtypes)[c]).alias(c)
                                                   for c in numbers])
