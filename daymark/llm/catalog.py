@@ -158,9 +158,76 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN listed USING (r)"""
 
+def _op11_sql() -> str:
+    """Repairs as a recursion over rows: per place in the pattern the least text of eight digits of cost and audit."""
+    def plus(state: str, cost: str, letters: str) -> str:
+        return f"lpad(CAST(CAST(left({state}, 8) AS INTEGER) + {cost} AS VARCHAR), 8, '0') || substr({state}, 9) || '{letters}'"
+
+    def least(*options: str) -> str:
+        return f"least({', '.join(options)})"
+
+    closed_a = least("pa", plus("pu", "2", "I"), plus("p0", "4", "II"), plus("ps", "4", "II"))
+    closed_u = least("pu", *[plus(p, "2", "I") for p in ("p0", "ps", "pa")])
+
+    def kept(initial: str, *states: str) -> list[str]:
+        return [f"CASE WHEN kind = '{initial}' THEN {plus(x, 'more', 'K')} END" for x in states]
+
+    def reroled(*states: str) -> list[str]:
+        return [f"CASE WHEN kind <> 'x' THEN {plus(x, '(2 + more)', 'R')} END" for x in states]
+
+    before_u = ("i0", "is_", "ia")
+    return f"""
+WITH RECURSIVE crc AS (SELECT list(v ORDER BY n) AS t FROM (SELECT n, list_reduce(range(8),
+  lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n) AS v FROM range(256) r(n))),
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+kinds AS (SELECT given.*, xor(4294967295, list_reduce(list_transform(string_split(key, ''), lambda b: CAST(ascii(b) AS BIGINT)),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) % 20 AS k FROM given, crc),
+damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+  CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS times,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+faulty AS (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN times > 1 THEN 'duplicate'
+  WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM placed),
+ready AS (SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'x' WHEN left(role, 1) IN ('s', 'u', 'a')
+  THEN left(role, 1) ELSE 'o' END AS kind, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS more,
+  lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM faulty),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM ready GROUP BY conv_id),
+cells(conv_id, n, i, p0, ps, pu, pa) AS (
+ SELECT conv_id, n, 0::BIGINT, '00000000', NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM counts
+ UNION ALL SELECT conv_id, n, i, {plus('i0', '3', 'D')}, {least(plus('is_', '3', 'D'), *kept('s', 'i0'))},
+  {least(plus('iu', '3', 'D'), *reroled(*before_u), *kept('u', *before_u))},
+  {least(plus('ia', '3', 'D'), *reroled('iu'), *kept('a', 'iu'))}
+ FROM (SELECT c.conv_id, n, r.i, kind, more, p0 AS i0, ps AS is_, {closed_u} AS iu, {closed_a} AS ia
+  FROM cells c JOIN ready r ON c.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = c.i + 1)),
+ended AS (SELECT conv_id, least(p0, {closed_a}) AS best FROM cells WHERE i = n),
+audits AS (SELECT conv_id, CAST(left(best, 8) AS BIGINT) AS cost, substr(best, 9) AS audit FROM ended),
+edits AS (SELECT conv_id, p, substr(audit, p, 1) AS edit, length(replace(substr(audit, 1, p), 'I', '')) AS i
+ FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS p FROM audits)),
+stay AS (SELECT e.conv_id, edit, CASE WHEN edit <> 'I' THEN role END AS role,
+  CASE WHEN edit = 'I' THEN '' ELSE text END AS text, row_number() OVER (PARTITION BY e.conv_id ORDER BY p) AS place
+ FROM edits e LEFT JOIN ready r ON e.conv_id IS NOT DISTINCT FROM r.conv_id AND e.i = r.i WHERE edit <> 'D'),
+led AS (SELECT *, max(CASE WHEN place = 1 AND edit = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END)
+  OVER (PARTITION BY conv_id) AS lead FROM stay),
+digests AS (SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - lead) % 2 = 1 THEN 'user'
+  ELSE 'assistant' END || ':' || text, chr(10) ORDER BY place)) AS repaired_sha256 FROM led GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+ coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+ coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN audits a ON o.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN digests d ON o.conv_id IS NOT DISTINCT FROM d.conv_id"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_nearest, op2_url_filters, op3_mixing, op4_near_duplicates, op5_class_model,
                             op6_token_counts, op7_toxicity, op8_inner_products, op9_pieces, op10_pii,
                             op11_conversations, op12_whitening, op13_decontamination)}
 SQL: dict[str, str] = {"op2_url_filters": OP2_SQL, "op3_mixing": OP3_SQL, "op8_inner_products": OP8_SQL,
-                       "op13_decontamination": OP13_SQL}
+                       "op11_conversations": _op11_sql(), "op13_decontamination": OP13_SQL}
