@@ -24,9 +24,28 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are the smallest id of their group of near-duplicates."""
+    """Documents that are the smallest id of their group of near-duplicates.
+
+    Of rows that repeat a kept id one stays, that with the smallest hash of its text. Rows without an
+    id are no near-duplicates of others: of equal texts one stays, and none that a row with an id has.
+    """
     gone = near_duplicates.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    left = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    named = left.where("doc_id IS NOT NULL")
+    again = named.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
+    kept = named
+    if not again.isEmpty():
+        one = named.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(
+            F.min_by(F.struct(*COLUMNS[1:]), F.struct(F.xxhash64("text"), *COLUMNS[1:])).alias("row"))
+        kept = named.join(again, "doc_id", "left_anti").unionByName(one.select("doc_id", "row.*"))
+    if not docs.where("doc_id IS NULL").isEmpty():
+        digest = F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256).alias("digest")
+        one = left.where("doc_id IS NULL").groupBy(digest).agg(
+            F.min(F.struct(*COLUMNS[1:])).alias("row"))
+        known = docs.where("doc_id IS NOT NULL").select(digest)
+        kept = kept.unionByName(one.join(known, "digest", "left_anti").select(
+            F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "row.*"))
+    return kept.select(*COLUMNS)
 
 
 def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
