@@ -8,6 +8,7 @@ import re
 import subprocess
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -244,7 +245,81 @@ def test_exchange_reports_the_best_move():
         assert np.allclose(kept, matrix(tried))
 
 
+def test_best_classes_of_several_words_equal_one_by_one():
+    rng = np.random.default_rng(2)
+    size = class_model.CLASSES
+    pairs = rng.integers(0, 40, (30, 30)) * (rng.random((30, 30)) < 0.4)
+    now = rng.integers(1, 6, 30)
+    now[0] = 0
+    matrix = np.zeros((size, size))
+    np.add.at(matrix, (now[:, None], now[None, :]), pairs)
+    out, into = (np.array([np.bincount(now, x, size) for x in side]) for side in (pairs, pairs.T))
+    got = class_model.best_classes(out[1:], into[1:], np.diagonal(pairs)[1:].astype(float), now[1:], matrix)
+    for i in range(1, 30):
+        assert got[i - 1] == class_model.exchanged(out[i], into[i], float(pairs[i, i]), int(now[i]), matrix.copy())
+
+
+def test_class_model_scores_equal_a_plain_model(docs, monkeypatch):
+    """Classes, counts of class bigrams and scores from dictionaries of words, without arrays."""
+    monkeypatch.setattr(class_model, "UNIT_SHARE", 2e-3)
+    given = class_model.prepared(docs)
+    model = class_model.learned(given)
+    hasher = Hasher(tails=True)
+    rows = []
+    for r in given.collect():
+        part = list(hasher.slices(pa.array([bytes(r.blob)], pa.binary())))[0]
+        rows.append((r, part.words.view(np.int64).tolist(), model.classes[model.units.of(part.words, part.tails)].tolist()))
+    seen = Counter(w for r, own, _ in rows if not r.held_out for w in own)
+    kept = {r.word: r for r in model.words.collect()}
+    assert {w: r.n for w, r in kept.items()} == dict(seen)
+    start = {w: c for _, own, classes in rows for w, c in zip(own, classes)}
+    frequent = set(model.units.words.view(np.int64).tolist())
+    moved = {w for w in seen if kept[w]["class"] != start[w]}
+    assert moved and all(seen[w] >= class_model.MIN_COUNT and w not in frequent for w in moved)
+
+    def path(own):
+        return [(0, None)] + [(kept[w]["class"] if w in kept else start[w], w) for w in own] + [(0, None)]
+
+    texts = sum(not r.held_out for r, _, _ in rows)
+    after, mass, spread = Counter(), Counter({0: texts}), Counter({0: 1})
+    for w, r in kept.items():
+        mass[r["class"]] += r.n
+        spread[r["class"]] += 1
+    for r, own, _ in rows:
+        if not r.held_out:
+            after.update((a[0], b[0]) for a, b in zip(path(own), path(own)[1:]))
+    ahead = Counter()
+    for (a, _), n in after.items():
+        ahead[a] += n
+    got = {r.doc_id: r.score for r in class_model.score_texts(docs).collect()}
+    for r, own, _ in rows:
+        want = 0.0
+        for (a, _), (b, w) in zip(path(own), path(own)[1:]):
+            count = texts if w is None else seen[w]
+            want += math.log10((after[a, b] + 0.5) / (ahead[a] + 0.5 * class_model.CLASSES))
+            want += math.log10((count + 0.1) / (mass[b] + 0.1 * (spread[b] + 1)))
+        assert got[r.doc_id] == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
+def test_most_words_of_a_growing_corpus_are_exchanged_on_their_own(spark, folder):
+    """The exchanged vocabulary grows with the corpus, and the held-out gain with it."""
+    sizes, gains = [], []
+    for sf in ("sf0.01", "sf0.1"):
+        docs = spark.read.parquet(f"{folder.replace('sf0.001', sf)}/documents.parquet")
+        words = class_model.learned(class_model.prepared(docs)).words
+        sizes.append(words.agg(F.count(F.when(F.col("n") >= class_model.MIN_COUNT, 1)).alias("words"),
+                               F.sum(F.when(F.col("n") >= class_model.MIN_COUNT, F.col("n"))) / F.sum("n")).first())
+        got = class_model.score_texts(docs).where("held_out").agg(
+            F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).first()
+        gains.append(got[0])
+    assert sizes[1][0] > 3 * sizes[0][0] and sizes[1][1] > sizes[0][1] > 0.5
+    assert gains[1] > gains[0] > 0
+
+
 def test_class_model_of_odd_rows(odd, empty):
+    clashing = odd.withColumn("block", F.lit(1)).withColumn("class", F.lit("x")).withColumn("Score", F.lit(2))
+    assert sorted(map(str, class_model.score_texts(clashing).collect())) == \
+        sorted(map(str, class_model.score_texts(odd).collect()))
     got = class_model.score_texts(odd).collect()
     assert len(got) == 13 and all(np.isfinite(r.score) for r in got)
     assert {r.n_tokens for r in got if r.doc_id in (4, 5, 6)} == {1}
