@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by collision counting over single projections.
 
 Every vector, scaled to length one, is projected on seeded random directions; a block keeps one
-sorted array per direction. A query looks at the window around its own projection in each array.
+sorted array per direction, built once and asked by all queries. A query looks at the window around its own projection in each array.
 Virtual rehashing widens all windows with the search radius, so no array is built anew. Vectors
 that lie in the windows of at least a given share of the directions are verified by their cosine.
 A search ends when the k best verified vectors lie within the radius, or the windows span all.
@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from daymark.functions.storage import pinned
 from daymark.llm import vector_blocks
 
 DIRECTIONS, SEED = 64, 20240607
@@ -31,22 +33,42 @@ def nearest(rows: DataFrame, asked: DataFrame, k: int = 5, vector_id: str = "vec
     def some(df):
         return vector_blocks.usable(df, vector_id, vector).where("exists(v, x -> x != 0)")
 
-    def best(ids, x, own, q):
-        return collisions(ids, x, own, q, k)
+    data, queries = some(rows), vector_blocks.asked_once(some(asked))
+    _, width, blocks = vector_blocks.shape(data, queries)
+    # The written row number spreads copies of a row over blocks.
+    block = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(blocks))
+    data = pinned(data.withColumn("block", block), "vectors")
+    queries = queries.select(vector_blocks.numbers(blocks).alias("blocks"), "vec_id", "v",
+                             F.lit(None).cast("double").alias("least"))
+    return vector_blocks.search(data, queries, width, blocks, lambda ids, x: Block(ids, x, k), "double", k)
 
-    return vector_blocks.search(some(rows), some(asked), best, "double", k)
 
+def _scaled(m: np.ndarray) -> np.ndarray:
+    """Powers of two change no cosine, and keep squares of very large and small entries in range."""
+    return np.ldexp(m, -np.frexp(np.abs(m).max(axis=1))[1][:, None])
 
-def collisions(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, k: int):
-    """Verified pairs (query, row, cosine) of one block."""
-    # Powers of two change no cosine, and keep squares of very large and small entries in range.
-    x, q = (np.ldexp(m, -np.frexp(np.abs(m).max(axis=1))[1][:, None]) for m in (x, q))
-    lengths, asked = [np.sqrt((m * m).sum(axis=1)) for m in (x, q)]
-    unit, turned = x / lengths[:, None], q / asked[:, None]
-    axes = np.random.default_rng(SEED).standard_normal((x.shape[1], DIRECTIONS))
-    places, looked = (unit @ axes).T, (turned @ axes).T
-    order = np.argsort(places, axis=1, kind="stable")
-    arrays = np.take_along_axis(places, order, axis=1)
+
+class Block:
+    """The sorted arrays of one block of vectors; called, it returns verified pairs of queries."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
+        self.ids, self.x, self.k = ids, _scaled(x), k
+        self.lengths = np.sqrt((self.x * self.x).sum(axis=1))
+        self.axes = np.random.default_rng(SEED).standard_normal((x.shape[1], DIRECTIONS))
+        places = ((self.x / self.lengths[:, None]) @ self.axes).T
+        self.order = np.argsort(places, axis=1, kind="stable")
+        self.arrays = np.take_along_axis(places, self.order, axis=1)
+
+    def __call__(self, own: np.ndarray, q: np.ndarray, least: np.ndarray):
+        q = _scaled(q)
+        asked = np.sqrt((q * q).sum(axis=1))
+        looked = ((q / asked[:, None]) @ self.axes).T
+        return collisions(self, own, q, asked, looked)
+
+
+def collisions(block: Block, own: np.ndarray, q: np.ndarray, asked: np.ndarray, looked: np.ndarray):
+    """Verified pairs (query, row, cosine) of one block; looked: projections of the queries."""
+    ids, x, lengths, arrays, order, k = block.ids, block.x, block.lengths, block.arrays, block.order, block.k
     needed = DIRECTIONS * (CHANCE - MARGIN * np.sqrt(CHANCE * (1 - CHANCE) / DIRECTIONS))
     n, radius = len(x), FIRST_RADIUS
     low = np.stack([np.searchsorted(a, p) for a, p in zip(arrays, looked, strict=True)])

@@ -44,7 +44,7 @@ def test_collision_search_recall(spark, folder):
 
 def test_blocks_of_any_size_give_the_same_products(spark, folder, monkeypatch):
     whole = sorted(map(str, QUERIES["op8_inner_products"](spark, folder).collect()))
-    for name, size in (("BLOCK_ROWS", 60), ("QUERY_ROWS", 3)):
+    for name, size in (("BLOCK_ROWS", 60), ("LEAST_ROWS", 20), ("QUERY_ROWS", 3)):
         monkeypatch.setattr(vector_blocks, name, size)
     monkeypatch.setattr(inner_products, "STEP_ROWS", 7)
     assert sorted(map(str, QUERIES["op8_inner_products"](spark, folder).collect())) == whole
@@ -94,6 +94,39 @@ def test_rules_for_odd_urls(spark):
     assert {r.verdict for r in url_rules.judge(pages, rules.where("false")).collect()} == {"allow"}
 
 
+def test_queries_skip_blocks_of_short_vectors(spark, monkeypatch):
+    """One id on a third of the rows; queries meet all blocks that can hold a best row and few others."""
+    monkeypatch.setattr(vector_blocks, "BLOCK_ROWS", 100)
+    rng = np.random.default_rng(3)
+    lengths = np.exp(rng.normal(0, 2, 3000))
+    points = rng.normal(size=(3000, 8)) * lengths[:, None] / 8
+    ids = np.where(np.arange(3000) % 3 == 1, 7, np.arange(3000))
+    rows = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, points)], "vec_id long, embedding array<double>")
+    sent = []
+    whole_search = vector_blocks.search
+
+    def counted(data, queries, width, blocks, *rest):
+        sent.append((queries.select(F.sum(F.size("blocks")), F.count("*")).first(), blocks))
+        sent.append(data.groupBy("block").count().agg(F.max("count")).first()[0])
+        return whole_search(data, queries, width, blocks, *rest)
+
+    monkeypatch.setattr(vector_blocks, "search", counted)
+    asked = rows.where("vec_id % 50 = 0")
+    got = {}
+    for r in inner_products.largest(rows, asked).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    (pairs, queries), blocks = sent[0]
+    assert blocks >= 20 and pairs < 0.3 * queries * blocks and sent[1] < 300
+    x = np.floor(256 * points).astype(np.int64)
+    for i in np.flatnonzero(ids % 50 == 0):
+        others = np.flatnonzero(ids != ids[i])
+        scores = x[others] @ x[i]
+        order = np.lexsort((ids[others], -scores))[:5]
+        assert sorted(got[ids[i]]) == [(n + 1, ids[others[o]], scores[o]) for n, o in enumerate(order)]
+    near = collision_search.nearest(rows, asked).collect()
+    assert sent[3] < 300 and {r.query_id for r in near} == set(got)
+
+
 def test_very_large_and_small_vectors(spark):
     """Cosines of finite vectors of any size; products beyond exact longs are refused."""
     rng = np.random.default_rng(12)
