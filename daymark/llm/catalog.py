@@ -11,7 +11,8 @@ from public_tokenizers import path as tokenizer
 from daymark.llm import (class_model, collision_search, conversations, decontamination, inner_products, mixing,
                          near_duplicates, pieces, pseudonyms, token_counts, toxicity, url_rules, whitening)
 
-PSEUDONYM_KEY = "pseudonyms of round two"
+#: The session setting that names the secret key of pseudonyms, and the key of sessions without it, as in tests.
+KEY_SETTING, PSEUDONYM_KEY = "spark.daymark.pseudonym.key", "pseudonyms of round two"
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
          ("org", "/fr/", "allow")]
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
@@ -72,9 +73,14 @@ def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(pieces.encode_decode(docs, tokenizer("piece_bpe_32k.model")))
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    """The key of the session; who knows it can reverse every pseudonym."""
+    return spark.conf.get(KEY_SETTING, PSEUDONYM_KEY)
+
+
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return pseudonyms.pseudonymize(docs, PSEUDONYM_KEY)
+    return pseudonyms.pseudonymize(docs, pseudonym_key(spark))
 
 
 def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
