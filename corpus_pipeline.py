@@ -12,7 +12,7 @@ from public_tokenizers import path as tokenizer
 
 from daymark.functions.storage import pinned
 from daymark.llm import mixing, near_duplicates, pieces, pseudonyms, toxicity
-from daymark.llm.catalog import PSEUDONYM_KEY, held_out, table
+from daymark.llm.catalog import held_out, pseudonym_key, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -50,7 +50,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms in place of personal numbers, dates and addresses."""
-    found = pseudonyms.pseudonymize(docs.select(*COLUMNS), PSEUDONYM_KEY)
+    found = pseudonyms.pseudonymize(docs.select(*COLUMNS), pseudonym_key(spark))
     return found.withColumn("n_chars", F.when(F.col("n_replaced") > 0, F.length("text").cast("long"))
                             .otherwise(F.col("n_chars"))).select(*COLUMNS)
 
