@@ -49,7 +49,7 @@ UNION ALL SELECT 'repeated row', COUNT(*) + 2, false FROM mart""")
 def _(t: Tables):
     """Fingerprints of other layouts of the mart, and of changed ones, against its own."""
     base = mart(t)
-    reordered = base.repartition(5, "t2m").select(*reversed(base.columns))
+    reordered = base.hint("rebalance", "t2m").select(*reversed(base.columns))
     changed = base.withColumn("t2m", F.when(
         F.col("location_name") == "S1", F.col("t2m") + 1).otherwise(F.col("t2m")))
     twice = base.orderBy("location_name", "observation_date").limit(1)
