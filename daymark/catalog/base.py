@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.functions.columns import snap_doubles
+from daymark.functions.storage import pinned
 from daymark.operators.features import SplitPlan
 from daymark.schema import MART, WIDE
 
@@ -111,6 +112,11 @@ class Tables:
     def w2(self) -> DataFrame:
         return self._view(W2, "lineitem", self.given("lineitem"))
 
+    @cached_property
+    def w2_kept(self) -> DataFrame:
+        """w2 written once, for queries that read it several times."""
+        return pinned(self.w2, "w2")
+
     @cached_property
     def w3(self) -> DataFrame:
         text = W3.replace("FROM lineitem", "FROM {lineitem}").replace("FROM events", "FROM {events}")

@@ -24,11 +24,51 @@ def _same_keys(keys: Sequence[str]) -> Column:
     return condition
 
 
-def _counted(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Each distinct row with how often the sides hold it, `_na` and `_nb`."""
-    signed = left.withColumns({"_a": F.lit(1), "_b": F.lit(0)}).unionByName(
+def _signed(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The rows of both sides, with the side in `_a` and `_b`."""
+    return left.withColumns({"_a": F.lit(1), "_b": F.lit(0)}).unionByName(
         right.withColumns({"_a": F.lit(0), "_b": F.lit(1)}))
-    return signed.groupBy(*left.columns).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+
+
+def _counted(signed: DataFrame) -> DataFrame:
+    """Each distinct row with how often the sides hold it, `_na` and `_nb`."""
+    return signed.groupBy(*[c for c in signed.columns if c not in ("_a", "_b")]).agg(
+        F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+
+
+# Buckets of keys whose rows are compared by the sums of their hashes.
+BUCKETS = 1 << 14
+
+
+def _bucket(exact: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(F.lit(0), *exact), F.lit(BUCKETS))
+
+
+def _bucket_sums(signed: DataFrame, exact: Sequence[str]) -> DataFrame:
+    """Per bucket of keys the rows of both sides, and whether the sides hold it alike.
+
+    Alike are buckets with as many rows and the same sums of two 64-bit hashes of
+    whole rows; sums keep track of repeated rows.  They are combined on the map
+    side, so no row is shuffled.  The halves of the hashes are summed apart and
+    stay within a long for two billion rows of a bucket.
+    """
+    columns = [c for c in signed.columns if c not in ("_a", "_b")]
+    side = F.col("_a") - F.col("_b")
+    hashes = [F.xxhash64(F.lit(i), *columns) for i in range(2)]
+    halves = [half for h in hashes for half in (F.shiftright(h, 32), h.bitwiseAND(F.lit((1 << 32) - 1)))]
+    alike = F.sum(side) == 0
+    for half in halves:
+        alike = alike & (F.sum(side * half) == 0)
+    return signed.groupBy(_bucket(exact).alias("_bucket")).agg(
+        F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"), alike.alias("_alike"))
+
+
+def _doubtful(signed: DataFrame, exact: Sequence[str], sums: DataFrame) -> DataFrame:
+    """The rows of the buckets that the sides do not hold alike; all rows of a key stay together."""
+    open_ = sums.filter(~F.col("_alike")).select("_bucket")
+    # At most BUCKETS numbers.
+    return signed.withColumn("_bucket", _bucket(exact)).join(F.broadcast(open_), "_bucket", "left_semi") \
+        .drop("_bucket")
 
 
 # Places of a key's sorted rows that are paired in one group at most.
@@ -119,7 +159,7 @@ def tolerant_compare_join(left: DataFrame, right: DataFrame, keys: Sequence[str]
     A key may occur several times: its values are compared position by position
     in sorted order, and different numbers of them are a mismatch of counts.
     """
-    counted = _counted(left.select(*keys, value), right.select(*keys, value))
+    counted = _counted(_signed(left.select(*keys, value), right.select(*keys, value)))
     by_key = counted.groupBy(*keys).agg(F.sum("_na").alias("_na"), F.sum("_nb").alias("_nb")).agg(
         F.count_if(F.col("_na") > 0).alias("left_keys"),
         F.count_if(F.col("_nb") > 0).alias("right_keys"),
@@ -147,13 +187,13 @@ def tables_equal(left: DataFrame, right: DataFrame, keys: Sequence[str],
     """One row: same columns, row count and rows, numbers within the tolerance.
 
     Rows with the same key and the same other exact columns are paired up in the
-    order of their numbers; see `_paired`.
+    order of their numbers; see `_paired`.  Only rows of buckets of keys that the
+    sides hold differently are shuffled; see `_bucket_sums`.
     """
     same_columns = left.columns == right.columns
-    counts = left.agg(F.count("*").alias("left_rows")).crossJoin(
-        right.agg(F.count("*").alias("right_rows")))
     if not same_columns:
-        return counts.select(
+        return left.agg(F.count("*").alias("left_rows")).crossJoin(
+            right.agg(F.count("*").alias("right_rows"))).select(
             F.lit(False).alias("same_columns"), "left_rows", "right_rows",
             F.lit(None).cast("long").alias("differing_rows"), F.lit(False).alias("equal"))
     kinds = dict(left.dtypes)
@@ -162,7 +202,11 @@ def tables_equal(left: DataFrame, right: DataFrame, keys: Sequence[str],
     differs = F.col("a").isNull() | F.col("b").isNull()
     for c in numbers:
         differs = differs | _apart(F.col(f"a.{c}"), F.col(f"b.{c}"), tolerance)
-    bad = _paired(_counted(left, right), exact, numbers, tolerance).agg(
+    signed = _signed(left, right)
+    sums = pinned(_bucket_sums(signed, exact), "bucket_sums")
+    counts = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n)
+                        for c, n in (("_na", "left_rows"), ("_nb", "right_rows"))])
+    bad = _paired(_counted(_doubtful(signed, exact, sums)), exact, numbers, tolerance).agg(
         _times(differs).alias("differing_rows"))
     return counts.crossJoin(bad).select(
         F.lit(True).alias("same_columns"), "left_rows", "right_rows", "differing_rows",
