@@ -52,7 +52,7 @@ STAR = "WITH " + star_sql("SELECT * FROM w2")
 
 
 def tables(t: Tables, wide=None):
-    return star.build_star(t.w2 if wide is None else wide, LAYOUT, source_catalog=SOURCES,
+    return star.build_star(t.w2_kept if wide is None else wide, LAYOUT, source_catalog=SOURCES,
                            ingested_at=literal_time(LOADED_AT))
 
 
@@ -76,9 +76,9 @@ SELECT pair, "check", expected, actual, expected = actual AS ok FROM (
 def _(t: Tables):
     """A batch whose readings all become facts, and one with rows that lost their location."""
     s = tables(t)
-    damaged = t.w2.withColumn("location", F.when(F.col("location") != "S3", F.col("location")))
+    damaged = t.w2_kept.withColumn("location", F.when(F.col("location") != "S3", F.col("location")))
     parts = []
-    for name, wide in (("whole", t.w2), ("damaged", damaged)):
+    for name, wide in (("whole", t.w2_kept), ("damaged", damaged)):
         long = star.wide_to_long(wide, LAYOUT)
         matched = star.fact_dim_lookup(long, s["dim_date"], s["dim_location"], s["dim_variable"],
                                        s["dim_source"], LAYOUT)
@@ -88,7 +88,7 @@ def _(t: Tables):
 
 def incoming(t: Tables, s=None):
     s = s or tables(t)
-    return star.fact_dim_lookup(star.wide_to_long(t.w2, LAYOUT), s["dim_date"],
+    return star.fact_dim_lookup(star.wide_to_long(t.w2_kept, LAYOUT), s["dim_date"],
                                 s["dim_location"], s["dim_variable"], s["dim_source"], LAYOUT)
 
 
@@ -191,7 +191,7 @@ UNION ALL SELECT 'variables', 7, (SELECT COUNT(*) FROM dv), true
 UNION ALL SELECT 'sources_present', 1, LEAST((SELECT COUNT(*) FROM ds), 1), true
 UNION ALL SELECT 'facts', (SELECT COUNT(*) * 7 FROM src), (SELECT COUNT(*) FROM fo), true""")
 def _(t: Tables):
-    return star.load_reconcile(t.w2, tables(t), LAYOUT)
+    return star.load_reconcile(t.w2_kept, tables(t), LAYOUT)
 
 
 _DAMAGE = """bad AS (SELECT * FROM fo UNION ALL SELECT * FROM fo WHERE date_id = 19970101),
@@ -259,7 +259,7 @@ WHERE value < lower_bound OR value > upper_bound""")
 def _(t: Tables):
     s = tables(t)
     return star.quality_flag_fact(s["fact_observation"], s["dim_variable"],
-                                  star.star_bounds(t.w2, LAYOUT), literal_time(LOADED_AT))
+                                  star.star_bounds(t.w2_kept, LAYOUT), literal_time(LOADED_AT))
 
 
 @query("star_table_counts", f"{STAR} " + " UNION ALL ".join(

@@ -45,7 +45,22 @@ def calendar_ids(df: DataFrame, day: str, minor: str, order: Sequence[str], name
     this one.  Only the second runs in one task, over one row per calendar day.
     Blocks follow from the values alone, so nothing has to be pinned.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(minor) / F.lit(block)).cast("long"))
+    blocked = in_blocks(df, minor, block)
+    rank = F.row_number().over(
+        Window.partitionBy(day, "_block").orderBy(minor, *order))
+    return (blocked.withColumn("_in_slot", rank)
+            .join(block_offsets(blocked, day), [day, "_block"])
+            .withColumn(name, (F.col("_in_slot") + F.col("_offset")).cast("long"))
+            .drop("_block", "_in_slot", "_offset"))
+
+
+def in_blocks(df: DataFrame, minor: str, block: int = 1024) -> DataFrame:
+    """The rows with the block of neighbouring ids they fall in, `_block`."""
+    return df.withColumn("_block", F.floor(F.col(minor) / F.lit(block)).cast("long"))
+
+
+def block_offsets(blocked: DataFrame, day: str) -> DataFrame:
+    """Per day and block the number of rows before it, `_offset`."""
     sizes = blocked.groupBy(day, "_block").agg(F.count("*").alias("_size"))
     before = (Window.unboundedPreceding, -1)
     in_day = Window.partitionBy(day).orderBy("_block").rowsBetween(*before)
@@ -55,11 +70,5 @@ def calendar_ids(df: DataFrame, day: str, minor: str, order: Sequence[str], name
     over_days = Window.orderBy(day).rowsBetween(*before)
     day_offsets = days.select(
         F.col(day), F.coalesce(F.sum("_day_size").over(over_days), F.lit(0)).alias("_by_day"))
-    offsets = (blocks.join(day_offsets, day)
-               .select(day, "_block", (F.col("_in_day") + F.col("_by_day")).alias("_offset")))
-    rank = F.row_number().over(
-        Window.partitionBy(day, "_block").orderBy(minor, *order))
-    return (blocked.withColumn("_in_slot", rank)
-            .join(offsets, [day, "_block"])
-            .withColumn(name, (F.col("_in_slot") + F.col("_offset")).cast("long"))
-            .drop("_block", "_in_slot", "_offset"))
+    return (blocks.join(day_offsets, day)
+            .select(day, "_block", (F.col("_in_day") + F.col("_by_day")).alias("_offset")))
