@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymark.functions import days as day_bits
-from daymark.functions.ids import calendar_ids, range_ids
+from daymark.functions.ids import block_offsets, calendar_ids, in_blocks, range_ids
 from daymark.functions.skew import repeated_keys
 from daymark.functions.storage import pinned
 from daymark.operators.checks import check_rows
@@ -186,15 +186,39 @@ def merged_days(days: DataFrame) -> DataFrame:
         *[F.expr(f"bit_or(days{i})").alias(f"days{i}") for i in range(day_bits.WORDS)])
 
 
+def fact_marks(facts: DataFrame) -> DataFrame:
+    """The four-part keys of all facts, exactly: 64 neighbouring variables as bits of one number.
+
+    The readings of a day and point lie together, so they become one row on the
+    map side.
+    """
+    return facts.filter(" AND ".join(f"{c} IS NOT NULL" for c in FACT_KEY)) \
+        .groupBy("date_id", "location_id", "source_id", F.expr(_WORD).alias("word")) \
+        .agg(F.expr(f"bit_or(shiftleft(1L, {_BIT}))").alias("marks"))
+
+
+_WORD, _BIT = "shiftright(CAST(variable_id AS BIGINT), 6)", "CAST(variable_id & 63 AS INT)"
+
+
 def new_facts(incoming: DataFrame, existing: DataFrame | None = None,
               days: DataFrame | None = None) -> DataFrame:
     """Incoming facts whose four-part key is not stored yet.
 
-    Stored keys are asked for by their days (see `fact_days`), which are read
-    where they are kept or made from the stored facts; the facts themselves are
-    never shuffled.
+    Where the days of the stored facts are kept (see `fact_days`), keys are asked
+    for by them.  Otherwise they are made from the stored facts as short marks
+    (see `fact_marks`), which meet the incoming facts by day and point, so that
+    the readings of a day and point travel together.
     """
-    stored = merged_days(days) if days is not None else fact_days(existing)
+    if days is None:
+        marks = fact_marks(existing)
+        marks = marks.select(*[F.col(c).alias(f"_{c}") for c in marks.columns])
+        same = F.expr(f"{_WORD} = _word")
+        for c in ("date_id", "location_id", "source_id"):
+            same = same & (F.col(c) == F.col(f"_{c}"))
+        there = F.expr(f"getbit(_marks, {_BIT}) = 1")
+        return incoming.join(marks, same, "left").filter(~F.coalesce(there, F.lit(False))) \
+            .select(*incoming.columns)
+    stored = merged_days(days)
     marks = stored.select(*[F.col(c).alias(f"_{c}") for c in (*SERIES_KEY, "year")],
                           *[f"days{i}" for i in range(day_bits.WORDS)])
     same = F.expr("date_id DIV 10000 = _year")
@@ -278,6 +302,11 @@ def load_checks(wide: DataFrame, long: DataFrame, matched: DataFrame,
         ("facts", f"rows * {len(layout.measures)}", "facts")])
 
 
+# Numbers whose keys are counted as one row by `constraint_audit`.
+WORD_BITS = 3
+WORD = 1 << WORD_BITS
+
+
 def constraint_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Violations of keys, required columns and references of the star schema.
 
@@ -318,27 +347,48 @@ def constraint_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
                f"{domains.index((target, (c,)))} AS domain, 'lost' AS kind)"
                for t, c, target in references]
 
-    def text(columns: Sequence[str], missing: str) -> str:
-        return "concat_ws('\u0001', " + ", ".join(
-            f"coalesce(CAST({c} AS STRING), '{missing}')" for c in columns) + ")"
+    # Whole numbers that lie close share a word: their key names the word, a bit each of them.
+    def number(domain: int) -> int | None:
+        """Position of the column whose numbers are bits; None if a key of the domain is no number."""
+        owner, columns = domains[domain]
+        at = columns.index("variable_id") if "variable_id" in columns else len(columns) - 1
+        held = [(owner, columns[at])] + [(t, c) for t, c, target in references
+                                         if (target, (c,)) == domains[domain]]
+        whole = all(dict(tables[t].dtypes)[c] in ("tinyint", "smallint", "int", "bigint") for t, c in held)
+        return at if whole else None
+
+    packed = [number(d) for d in range(len(domains))]
+
+    def word(domain: int, columns: Sequence[str], missing: str) -> str:
+        """SQL texts of the key and of the place of the bit."""
+        at = packed[domain]
+        parts = [f"shiftright(CAST({c} AS BIGINT), {WORD_BITS})" if i == at else c
+                 for i, c in enumerate(columns)]
+        key = "concat_ws('\u0001', " + ", ".join(
+            f"coalesce(CAST({p} AS STRING), '{missing}')" for p in parts) + ")"
+        place = "0" if at is None else f"coalesce(CAST({columns[at]} & {WORD - 1} AS INT), 0)"
+        return f"{key} AS key, {place} AS place"
 
     def tagged(table: str) -> DataFrame:
         """One row per key that the table holds or refers to, and per missing required cell."""
-        held = [f"struct({d} AS domain, {text(columns, chr(2))} AS key, 1L AS own, 0L AS used)"
+        held = [f"struct({d} AS domain, {word(d, columns, chr(2))}, 1L AS own, 0L AS used)"
                 for d, (owner, columns) in enumerate(domains) if owner == table]
         # A missing reference equals no key, a missing one included.
-        held += [f"struct({domains.index((target, (c,)))} AS domain, {text([c], chr(3))} AS key, "
+        held += [f"struct({(d := domains.index((target, (c,))))} AS domain, {word(d, [c], chr(3))}, "
                  "0L AS own, 1L AS used)"
                  for t, c, target in references if t == table]
-        held += [f"IF({c} IS NULL, struct({-1 - i} AS domain, '' AS key, 1L AS own, 0L AS used), NULL)"
+        held += [f"IF({c} IS NULL, struct({-1 - i} AS domain, '' AS key, 0 AS place, 1L AS own, 0L AS used), NULL)"
                  for i, (t, c) in enumerate(required) if t == table]
         return tables[table].select(F.expr(f"inline(array_compact(array({', '.join(held)})))"))
 
     every = reduce(DataFrame.unionByName, [tagged(t) for t in tables])
-    found = every.groupBy("domain", "key").agg(F.sum("own").alias("own"), F.sum("used").alias("used")) \
+    lost = " + ".join(f"IF(getbit(bits, {i}) = 0, used{i}, 0L)" for i in range(WORD))
+    found = every.groupBy("domain", "key").agg(
+        F.sum("own").alias("own"), F.expr("bit_or(IF(own = 1, shiftleft(1L, place), 0L))").alias("bits"),
+        *[F.expr(f"sum(IF(place = {i}, used, 0L))").alias(f"used{i}") for i in range(WORD)]) \
         .groupBy("domain").agg(
-        F.sum(F.greatest(F.col("own") - 1, F.lit(0))).alias("twice"), F.sum("own").alias("rows"),
-        F.sum(F.when(F.col("own") == 0, F.col("used")).otherwise(0)).alias("lost"))
+        F.sum(F.expr("own - bit_count(bits)")).alias("twice"), F.sum("own").alias("rows"),
+        F.sum(F.expr(lost)).alias("lost"))
     listed = found.sparkSession.range(1).select(F.expr(f"inline(array({', '.join(labels)}))"))
     violations = F.when(F.col("kind") == "twice", F.col("twice")) \
         .when(F.col("kind") == "rows", F.col("rows")).otherwise(F.col("lost"))
@@ -384,16 +434,20 @@ def facts_from_wide(wide: DataFrame, tables: Mapping[str, DataFrame], layout: La
             .join(tables["dim_location"].select("location_id", F.col("location_name").alias(layout.location)),
                   layout.location)
             .select("date_id", "location_id", "source_id", *layout.measures))
-    ranked = calendar_ids(rows, "date_id", "location_id", ["source_id", *layout.measures], "_rank")
-    # The sources of one day and point, a handful of rows.
-    point = Window.partitionBy("date_id", "location_id")
-    placed = ranked.withColumns({"_size": F.count("*").over(point), "_first": F.min("_rank").over(point)})
+    blocked = in_blocks(rows, "location_id")
+    rank = F.row_number().over(Window.partitionBy("date_id", "_block")
+                               .orderBy("location_id", "source_id", *layout.measures))
+    # The sources of one day and point, a handful of rows; they stay in their block's task.
+    point = Window.partitionBy("date_id", "_block", "location_id")
+    placed = blocked.withColumn("_rank", rank) \
+        .withColumns({"_size": F.count("*").over(point), "_first": F.min("_rank").over(point)}) \
+        .join(block_offsets(blocked, "date_id"), ["date_id", "_block"])
     readings = F.array(*[F.struct(F.lit(code_of(m)).alias("variable_code"), F.col(m).cast("double")
                                   .alias("value")) for m in layout.measures])
-    long = placed.select("date_id", "location_id", "source_id", "_rank", "_size", "_first",
+    long = placed.select("date_id", "location_id", "source_id", "_rank", "_size", "_first", "_offset",
                          F.inline(readings)).join(variables, "variable_code")
     count = F.lit(len(layout.measures)).cast("long")
-    number = (F.col("_first") - 1) * count + (F.col("variable_id") - 1) * F.col("_size") \
+    number = (F.col("_offset") + F.col("_first") - 1) * count + (F.col("variable_id") - 1) * F.col("_size") \
         + F.col("_rank") - F.col("_first") + 1
     at = F.current_timestamp() if ingested_at is None else ingested_at
     return long.select(number.cast("long").alias("observation_id"), *FACT_KEY, "value",

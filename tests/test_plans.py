@@ -4,6 +4,8 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from daymark.functions import quantiles, storage
 from daymark.operators import features, profiling, quality, queries, serving, star
 from daymark.schema import WIDE
@@ -91,6 +93,43 @@ def test_audit_reads_each_table_once(spark, stored, tmp_path):
     assert text.count("Exchange hashpartitioning") == 2
 
 
+def test_first_load_shuffles_rows_once(stored):
+    """Sources of a day and point are counted where the block of the day is sorted."""
+    made = star.build_star(stored)
+    text = plan(star.facts_from_wide(stored, made))
+    assert "Exchange hashpartitioning(date_id#" in text and not [
+        line for line in text.splitlines() if "Exchange hashpartitioning(date_id" in line and "location_id" in line]
+
+
+def test_audit_counts_close_numbers_in_one_row(spark):
+    """Facts of a day and point take a row per word of numbers, and repeats and lost references are exact."""
+    days = spark.range(20_000).selectExpr("CAST(20200101 + id % 7 AS INT) AS date_id", "CAST(id DIV 49 AS INT) AS location_id",
+                                          "CAST(id DIV 7 % 7 AS INT) AS variable_id", "1 AS source_id",
+                                          "id - 10000 AS observation_id")
+    facts = days.coalesce(1).sortWithinPartitions("date_id", "location_id").unionByName(
+        days.filter("observation_id IN (-9, 0, 7)")).unionByName(
+        days.limit(2).withColumns({"observation_id": F.lit(None).cast("long"), "variable_id": F.lit(None).cast("int")}))
+    dims = {"dim_location": days.selectExpr("location_id", "CAST(location_id AS STRING) AS location_name", "1D AS latitude",
+                                            "1D AS longitude").distinct().filter("location_id <> 9"),
+            "dim_date": days.selectExpr("date_id", "date_id AS full_date", "1 AS year", "1 AS quarter", "1 AS month",
+                                        "'a' AS month_name", "1 AS day", "1 AS day_of_year").distinct(),
+            "dim_variable": days.selectExpr("variable_id", "variable_id AS variable_code", "'v' AS variable_name").distinct(),
+            "dim_source": spark.sql("SELECT 1 AS source_id, 's' AS source_name"), "fact_observation": facts,
+            "fact_quality_flag": spark.sql("SELECT explode(array(-9L, -10001L, -10001L, 12L, 20000L, NULL)) AS observation_id, "
+                                           "1L AS quality_flag_id, 'r' AS rule_name")}
+    audit = star.constraint_audit(dims)
+    got = {r["constraint"]: r["violations"] for r in audit.collect() if r["violations"]}
+    assert got == {
+        "unique fact_observation(observation_id)": 4,
+        "unique fact_observation(date_id, location_id, variable_id, source_id)": 3,
+        "unique fact_quality_flag(quality_flag_id)": 5,
+        "not null fact_observation.variable_id": 2, "not null fact_quality_flag.observation_id": 1,
+        "reference fact_observation.location_id -> dim_location": days.filter("location_id = 9").count(),
+        "reference fact_observation.variable_id -> dim_variable": 2,
+        "reference fact_quality_flag.observation_id -> fact_observation": 4}, got
+    assert "bit_or" in plan(audit)
+
+
 def test_features_shuffle_rows_once_without_sliding_frames(stored, spark):
     mart = stored.selectExpr("date AS observation_date", "location AS location_name", "latitude", "longitude",
                              "source AS source_name", "PRECTOTCORR AS prectotcorr", "T2M AS t2m", "RH2M AS rh2m")
