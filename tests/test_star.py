@@ -240,3 +240,15 @@ def test_reload_does_not_shuffle_stored_facts(spark, tmp_path):
     text = star.new_facts(incoming, days=days)._jdf.queryExecution().executedPlan().toString()
     assert days.count() == 7
     assert text.count("FileScan") == 2 and "SortMergeJoin" not in text
+
+
+def test_stored_keys_are_marks_of_days_and_points(spark):
+    """Marks hold a day and point in one row; missing, negative and large numbers keep their own."""
+    shape = "date_id int, location_id int, variable_id int, source_id int, value double"
+    rows = [(20200101, 1, v, 1, 1.0) for v in (1, 2, 3, 63, 64, -1, 200)]
+    stored = spark.createDataFrame([*rows, (20200101, None, 1, 1, 1.0)], shape)
+    assert star.fact_marks(stored).count() == 4
+    more = [(20200101, 1, 0, 1, 2.0), (20200101, 1, 65, 1, 2.0), (20200102, 1, 1, 1, 2.0), (20200101, 1, 1, 2, 2.0),
+            (20200101, None, 1, 1, 2.0), (20200101, 1, None, 1, 2.0)]
+    got = star.new_facts(spark.createDataFrame(rows + more, shape), stored)
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, more))
