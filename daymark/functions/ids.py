@@ -45,11 +45,12 @@ def calendar_ids(df: DataFrame, day: str, minor: str, order: Sequence[str], name
     this one.  Only the second runs in one task, over one row per calendar day.
     Blocks follow from the values alone, so nothing has to be pinned.
     """
-    blocked = in_blocks(df, minor, block)
+    blocked = in_blocks(df, minor, block).filter(F.col(day).isNotNull() & F.col("_block").isNotNull())
     rank = F.row_number().over(
         Window.partitionBy(day, "_block").orderBy(minor, *order))
     return (blocked.withColumn("_in_slot", rank)
-            .join(block_offsets(blocked, day), [day, "_block"])
+            # Every block has its row; readers of other columns need no join then.
+            .join(block_offsets(blocked, day), [day, "_block"], "left")
             .withColumn(name, (F.col("_in_slot") + F.col("_offset")).cast("long"))
             .drop("_block", "_in_slot", "_offset"))
 

@@ -49,7 +49,7 @@ def pinned(df: DataFrame, label: str = "pinned") -> DataFrame:
     executors; later reads touch only the columns they need.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

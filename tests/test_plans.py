@@ -152,3 +152,11 @@ def test_other_layouts_are_not_dealt_to_a_fixed_number_of_tasks(spark, tmp_path)
         result = REGISTRY[name].build(Tables(spark, str(tmp_path)))
         text = result._jdf.queryExecution().executedPlan().toString()
         assert "REPARTITION_BY_NUM" not in text and "REBALANCE_PARTITIONS_BY" in text
+
+
+def test_stored_keys_need_no_numbering(stored):
+    """Keys of facts that are numbered on the way are read without the sort that numbers them."""
+    made = star.build_star(stored)
+    numbered = star.fact_load(made["fact_observation"].drop("observation_id", "ingested_at"))
+    text = plan(star.fact_marks(numbered))
+    assert "Window" not in text and "Join" not in text and text.count("Exchange") == 1
