@@ -115,7 +115,7 @@ class Tables:
     @cached_property
     def w2_kept(self) -> DataFrame:
         """w2 written once, for queries that read it several times."""
-        return pinned(self.w2, "w2")
+        return pinned(self.w2.sortWithinPartitions("date", "location"), "w2")
 
     @cached_property
     def w3(self) -> DataFrame:
