@@ -140,3 +140,40 @@ def test_very_large_and_small_vectors(spark):
     assert got[0] == got[1] and len(got[0]) == 20
     with pytest.raises(Exception, match="no exact longs"):
         inner_products.largest(rows[1], rows[1].where("vec_id % 10 = 0")).collect()
+
+
+def test_block_of_vectors_returns_its_best_only(monkeypatch):
+    """A search widens its windows no further than the k-th verified vector, and keeps k pairs a query."""
+    rng = np.random.default_rng(5)
+    x, ids = rng.normal(size=(6000, 24)), np.arange(6000)
+    x[4000:4040] = x[7]
+    asked = ids[:4000:50]
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    counts = []
+    monkeypatch.setattr(collision_search, "verified", lambda block, rows, *rest, whole=collision_search.verified:
+                        counts.append(len(rows)) or whole(block, rows, *rest))
+    q, r, s = collision_search.Block(ids, x, 5)(asked, x[asked], np.full(len(asked), -np.inf))
+    assert len(q) == 5 * len(asked) and 0 < sum(counts) < 0.5 * len(asked) * len(x)
+    hits = 0
+    for i, own in enumerate(asked):
+        cosines = np.where(ids == own, -9, unit @ unit[own])
+        assert s[q == i] == pytest.approx(cosines[r[q == i]], abs=1e-12)
+        hits += len(set(r[q == i]) & set(np.argsort(-cosines)[:5]))
+    assert hits >= 0.95 * len(q)
+    q, r, s = collision_search.Block(ids, x, 5)(np.array([4001]), x[[7]], np.full(1, -np.inf))
+    assert r.tolist() == [7, 4000, 4002, 4003, 4004] and len(set(s.tolist())) == 1
+
+
+@pytest.mark.parametrize("size", [1, 4, 70_000])
+def test_blocks_of_few_and_many_vectors(size):
+    """All of fewer than k rows are found, and places beyond two bytes."""
+    rng = np.random.default_rng(6)
+    x, ids = rng.normal(size=(size, 3)), np.arange(1, size + 1)
+    x[size // 2:] *= -1
+    asked = np.concatenate([x[:1], -x[:1], x[-1:]])
+    q, r, s = collision_search.Block(ids, x, 5)(np.zeros(3, np.int64), asked, np.full(3, -np.inf))
+    assert len(q) == 3 * min(size, 5)
+    unit = [m / np.linalg.norm(m, axis=1)[:, None] for m in (asked, x)]
+    best = -np.sort(-unit[0] @ unit[1].T, axis=1)[:, :min(size, 5)]
+    got = np.stack([-np.sort(-s[q == i]) for i in range(3)])
+    assert got[:, 0] == pytest.approx(best[:, 0], abs=1e-12) and (got > best - 0.001).all()
